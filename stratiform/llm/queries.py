@@ -8,13 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER
-from . import exactdup, mixing, quality, sharding
+from . import exactdup, langid, mixing, quality, sharding, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = (
+    url_filter.DomainRule("block", "net", "/"),
+    url_filter.DomainRule("allow", "example.net", "/en/"),
+    url_filter.DomainRule("block", "example.com", "/de/"),
+    url_filter.DomainRule("allow", "org", "/fr/"),
+)
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES, url_filter.fit(url_filter.seed_urls()))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -57,6 +69,13 @@ WINDOW g AS (PARTITION BY t)
 """
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
+    model = langid.fit(langid.training_rows(docs.where(~out), "doc_id", "text", "lang"))
+    return langid.identified(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mixed(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0)
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "source", "rate", "copies")
