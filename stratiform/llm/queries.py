@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER
-from . import exactdup, langid, mixing, quality, sharding, url_filter
+from . import exactdup, langid, licenses, mixing, quality, sharding, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+LICENSE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.with_phrases(licenses.scanned(table(spark, sf_dir, "documents")), LICENSE_PHRASES)
+    both = F.array_sort(F.array_union("base_labels", licenses.labels_of(F.col("detections"))))
+    score = F.greatest(licenses.score_of(F.col("detections")), F.when(F.col("n_base") > 0, licenses.PHRASE_WEIGHT).otherwise(0.0))
+    return rows.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join(both, ",").alias("labels"), score.alias("score"), "detections"
+    )
+
+
 def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.sharded(table(spark, sf_dir, "documents"), shards=16, seed=5)
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number", "place")
