@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER
-from . import exactdup, langid, licenses, mixing, quality, sharding, url_filter
+from . import exactdup, langid, licenses, mixing, quality, sharding, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,17 @@ WINDOW g AS (PARTITION BY t)
 """
 
 
+def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+OP7_SQL = """
+SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM (SELECT page_id, h, strlen(h)::BIGINT AS n, max(page_id) OVER (PARTITION BY h) AS top FROM (SELECT page_id, coalesce(html, '') AS h FROM pages) p) q
+"""
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
@@ -98,4 +109,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": OP2_SQL, "op6_exact_dedup": OP6_SQL}
+    return {"op2_quality_rules": OP2_SQL, "op6_exact_dedup": OP6_SQL, "op7_warc_archive": OP7_SQL}
