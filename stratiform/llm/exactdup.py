@@ -116,8 +116,12 @@ def distinct_chunks(docs: DataFrame, text_col: str, bits: int = 64) -> DataFrame
 
 
 def ambiguous(chunks: DataFrame) -> DataFrame:
-    """(fp, chunk, variant) of the fingerprints that stand for several contents."""
-    several = chunks.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    """(fp) of the fingerprints that stand for several contents; distinct chunks meet by fp, and only numbers move."""
+    return chunks.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+
+
+def variants(chunks: DataFrame, several: DataFrame) -> DataFrame:
+    """(fp, chunk, variant) of ambiguous fingerprints."""
     found = chunks.join(several, "fp", "left_semi")
     return found.select("fp", "chunk", F.row_number().over(W.partitionBy("fp").orderBy("chunk")).cast("long").alias("variant"))
 
@@ -157,8 +161,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, bits: int = 64) -> tuple[DataFrame, DataFrame]:
-    found = written(ambiguous(distinct_chunks(docs, text_col, bits)), "ambiguous-chunks")
-    rows = recipes(docs, id_col, text_col, bits) if found.isEmpty() else _resolved(docs, found, id_col, text_col, bits)
+    chunks = distinct_chunks(docs, text_col, bits)
+    several = written(ambiguous(chunks), "ambiguous-chunks")
+    if several.isEmpty():
+        rows = recipes(docs, id_col, text_col, bits)
+    else:
+        rows = _resolved(docs, written(variants(chunks, several), "chunk-variants"), id_col, text_col, bits)
     rows = written(rows, "recipes")
     return rows, rows.groupBy("recipe").agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
 

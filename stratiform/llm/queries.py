@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER
-from . import exactdup, langid, licenses, mixing, quality, sharding, url_filter, warc
+from . import exactdup, langid, licenses, mixing, quality, sharding, unigram, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +92,12 @@ FROM (SELECT page_id, h, strlen(h)::BIGINT AS n, max(page_id) OVER (PARTITION BY
 """
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = unigram.decoded(unigram.encoded(docs.select("doc_id", "text")))
+    return rows.select("doc_id", "n_tokens", "ids", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
