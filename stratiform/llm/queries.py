@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER
-from . import exactdup, langid, licenses, mixing, quality, sharding, unigram, url_filter, warc
+from . import exactdup, langid, licenses, mixing, neardup, quality, sharding, unigram, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.sharded(table(spark, sf_dir, "documents"), shards=16, seed=5)
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number", "place")

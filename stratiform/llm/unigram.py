@@ -124,7 +124,7 @@ class DoubleArray:
             values[node] = value
         size = 1 << max(8, (2 * len(children) + width).bit_length())
         base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
-        place, used = [0] * len(children), np.zeros(size, bool)
+        place, used, hints = [0] * len(children), np.zeros(size, bool), {}
         used[0], value[0], low = True, values[0], 1
         queue = [0]
         while queue:
@@ -134,7 +134,7 @@ class DoubleArray:
                 continue
             while used[low]:
                 low += 1
-            offsets, at, start = np.array(kids), low, -1
+            offsets, at, start = np.array(kids), max(low, hints.get(min(len(kids), 8), 0)), -1
             while start < 0:  # the first free places at which all children fit
                 if at + SEARCH + width >= len(used):
                     grow = len(used)
@@ -143,6 +143,7 @@ class DoubleArray:
                 tries = np.flatnonzero(~used[at : at + SEARCH]) + at - kids[0]
                 fits = tries[(tries > 0) & ~used[np.maximum(tries, 0)[:, None] + offsets].any(1)]
                 start = int(fits[0]) if len(fits) else -1
+                hints[min(len(kids), 8)] = at
                 at += SEARCH
             base[place[node]] = start
             for code in kids:
@@ -260,10 +261,9 @@ def encoded(docs: DataFrame, model_path: str = MODEL_PATH, text_col: str = "text
     The driver reads the model file (bounded by its vocabulary) and its bytes go to the executors with the function.
     """
     with open(model_path, "rb") as f:
-        model = f.read()
+        t = tokenizer(f.read())  # built once; its arrays go to the executors with the function
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizer(model)
         for batch in batches:
             ids, ends, valid = [], [0], []
             for x in batch.column(len(keep)):
@@ -285,12 +285,11 @@ def encoded(docs: DataFrame, model_path: str = MODEL_PATH, text_col: str = "text
 def decoded(rows: DataFrame, model_path: str = MODEL_PATH, ids_col: str = "ids") -> DataFrame:
     """Adds ``text``, what the ids decode to."""
     with open(model_path, "rb") as f:
-        model = f.read()
+        t = tokenizer(f.read())  # built once; its arrays go to the executors with the function
     names = rows.columns
     at = names.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizer(model)
         for batch in batches:
             texts = [None if x is None else t.decode(x) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "text"])
