@@ -182,7 +182,8 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
         labels = components(links)
     classed = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     out = rows.select("id", "key", "n").join(classed, "key")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"), (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"))
+    component = F.when(F.col("id").isNotNull(), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 
 
 def _within(rest: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
