@@ -46,7 +46,7 @@ SQL: dict[str, str] = {
     "minmax_norm": "WITH " + _GRID + ", e AS (SELECT c, min(v) AS lo, max(v) AS hi FROM grid GROUP BY c) SELECT r, c, round(2 * (v - lo) / greatest(hi - lo, 1e-8) - 1, 5) AS x FROM grid JOIN e USING (c)",
     "circular_mean_azimuth": f"WITH {_PIXELS} SELECT band, round(degrees(atan2(sum(sin(radians(d * 360))), sum(cos(radians(d * 360))))), 4) AS azimuth, count(*) AS n FROM px GROUP BY band",
     "stride_downsample": "WITH " + _GRID + " SELECT {r div 4|r // 4} AS r, {c div 4|c // 4} AS c, v FROM grid WHERE r % 4 = 0 AND c % 4 = 0",
-    "box_filter": "WITH " + _GRID + ", a AS (SELECT r, c, sum(CAST(v AS DOUBLE)) OVER (PARTITION BY r ORDER BY c ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS s FROM grid) SELECT r, c, round(sum(s) OVER (PARTITION BY c ORDER BY r ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 9, 6) AS x FROM a",
+    "box_filter": "WITH " + _GRID + ", a AS (SELECT r, c, sum(CAST(v AS DOUBLE)) OVER (PARTITION BY r ORDER BY c ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS s FROM grid) SELECT r, c, round(sum(s) OVER (PARTITION BY c ORDER BY r ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 9, 4) + 0e0 AS x FROM a",
     "dilation": "WITH " + _GRID + ", a AS (SELECT r, c, max(CASE WHEN v > 0.2 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY c ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS s FROM grid) SELECT r, c, max(s) OVER (PARTITION BY c ORDER BY r ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS x FROM a",
     "scene_mean_broadcast": f"WITH {_PIXELS} SELECT run_id, band, t, v, round(avg(v) OVER (PARTITION BY run_id, band), 6) AS mean FROM px",
     "phase_fractions": f"WITH {_PIXELS} SELECT CAST(extract(month FROM t) AS INT) AS month, round(sum(CASE WHEN d > 0.05 THEN 1 ELSE 0 END) * 1e0 / greatest(count(*), 1), 6) AS ice_frac, round(sum(CASE WHEN d <= 0.05 THEN 1 ELSE 0 END) * 1e0 / greatest(count(*), 1), 6) AS liquid_frac FROM px GROUP BY CAST(extract(month FROM t) AS INT)",
