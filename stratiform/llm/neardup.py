@@ -24,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from .common import written
 
 SHINGLE, BANDS, ROWS, SMALL = 5, 40, 8, 8
+#: A pair at the threshold escapes all bands with a chance of at most this; rows_for() makes bands short enough.
+ESCAPE = 1e-5
 BATCH, MISS = 32, 1e-7
 BLOCK = 512
 _RNG = np.random.default_rng(7)
@@ -46,30 +47,36 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return np.unique(np.frombuffer(b"".join(digest(i) for i in range(n)), np.uint64))
 
 
+def rows_for(percent: int) -> int:
+    """The most rows a band (ROWS at most) with which a pair at the threshold escapes all bands with chance ESCAPE or less."""
+    return next((r for r in range(ROWS, 1, -1) if (1 - (percent / 100) ** r) ** BANDS <= ESCAPE), 1)
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    out = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+def signature(hashes: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    out = np.full(BANDS * rows, 0xFFFFFFFF, np.uint32)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     with np.errstate(over="ignore"):
         for k in range(0, len(short), 1024):
-            out = np.minimum(out, (_A * short[None, k : k + 1024] + _B).min(1))
+            out = np.minimum(out, (_A[: BANDS * rows] * short[None, k : k + 1024] + _B[: BANDS * rows]).min(1))
     return out
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = (sig.reshape(BANDS, ROWS).astype(np.uint64) * _MIX).sum(1) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        grid = sig.reshape(BANDS, -1)
+        h = (grid.astype(np.uint64) * _MIX[: grid.shape[1]]).sum(1) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(31)
         return (h * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
 
 
-def least_matches(threshold: float, miss: float = MISS) -> list[int]:
+def least_matches(threshold: float, miss: float = MISS, rows: int = ROWS) -> list[int]:
     """For each number of compared hashes, the fewest matches with which the posterior still reaches ``miss``."""
     out = []
-    for n in range(BATCH, BANDS * ROWS + 1, BATCH):
+    for n in range(BATCH, BANDS * rows + 1, BATCH):
         total, m = 0.0, -1
         while total < miss and m < n:  # P(S >= t | m of n) = P(Bin(n + 1, t) <= m)
             m += 1
@@ -90,14 +97,14 @@ def likely(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
     return out
 
 
-def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _sketches(docs: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, counts, sigs, bands = [], [], [], []
             for x in batch.column(1).cast(pa.binary()):
                 words = words_of(x.as_py())
                 h = shingles(words)
-                sig = signature(h)
+                sig = signature(h, rows)
                 keys.append(hashlib.sha256(b" ".join(words)).digest())
                 counts.append(len(h))
                 sigs.append(sig.astype(np.uint8).tobytes() if len(h) else None)
@@ -108,7 +115,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    least = least_matches(percent / 100)
+    least = least_matches(percent / 100, rows=rows_for(percent))
 
     @F.pandas_udf("boolean")
     def may(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -157,24 +164,26 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: id, n_shingles, component_id, kept, text_key."""
-    rows = written(_sketches(docs, id_col, text_col), "sketches")
+    rows = written(_sketches(docs, id_col, text_col, rows_for(percent)), "sketches")
     classes = written(rows.groupBy("key").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
     reps = written(rows.where("n > 0").join(classes.select(F.col("key").alias("k"), "rep"), (F.col("key") == F.col("k")) & (F.col("id") == F.col("rep"))).select("id", "sig", "bands", "n").dropDuplicates(["id"]), "representatives")
     exploded = reps.select("id", F.explode("bands").alias("bucket"))
-    buckets = written(exploded.withColumn("m", F.count(F.lit(1)).over(W.partitionBy("bucket"))).where("m > 1"), "buckets")
+    # Counts are aggregated before the shuffle and written, so that the joins with them may be split at hot buckets.
+    sizes = written(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bucket-sizes")
+    buckets = written(exploded.join(sizes, "bucket"), "buckets")
     small = buckets.where(F.col("m") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     each = F.flatten(F.transform("ids", lambda x: F.transform(F.filter("ids", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
     small = small.select(F.explode(each).alias("p")).select("p.a", "p.b")
     large = buckets.where(F.col("m") > SMALL)
     large = written(large.join(large.groupBy("id").agg(F.sum("m").alias("mates")), "id"), "large-buckets")
-    centre = large.groupBy("bucket").agg(F.max_by("id", F.struct("mates", -F.col("id"))).alias("centre"))
+    centre = written(large.groupBy("bucket").agg(F.max_by("id", F.struct("mates", -F.col("id"))).alias("centre")), "centres")
     stars = large.join(centre, "bucket").where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
     pairs = small.unionByName(stars).dropDuplicates()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     links = _verified(pairs, reps.select("id", "sig"), texts, percent)
     labels = components(links)
-    labelled = large.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    apart = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
+    labelled = large.join(labels, "id", "left").select("bucket", "m", "id", F.coalesce("component", "id").alias("component"))
+    apart = written(labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket"), "apart")
     rest = written(labelled.join(apart, "bucket"), "unresolved")
     if not rest.isEmpty():
         more = _within(rest, reps.select("id", "sig"), texts, percent)
@@ -187,11 +196,14 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
 
 
 def _within(rest: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one bucket that are still in different components, block by block."""
-    least = least_matches(percent / 100)
-    row = rest.join(sigs, "id").join(texts, "id")
-    block = F.floor((F.row_number().over(W.partitionBy("bucket").orderBy("id")) - 1) / BLOCK).cast("int")
-    row = row.withColumn("block", block).withColumn("last", F.max("block").over(W.partitionBy("bucket")))
+    """Links between members of one bucket that are still in different components, block by block.
+
+    A bucket's members are dealt by their hash to blocks of about BLOCK; no task sees more than two blocks.
+    """
+    least = least_matches(percent / 100, rows=rows_for(percent))
+    last = (F.ceil(F.col("m") / BLOCK) - 1).cast("int")
+    row = rest.withColumn("last", last).withColumn("block", F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int"))
+    row = row.join(sigs, "id").join(texts, "id")
     sides = F.transform(F.sequence(F.lit(0), F.col("last")), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
     row = row.withColumn("cell", F.explode(sides)).select("bucket", "cell.i", "cell.j", "block", "id", "component", "sig", "text")
 
