@@ -36,6 +36,8 @@ ZIPF_SHIFT = 2.7
 BYTE_SCORE_GAP = 10.0
 CACHE, LONG_WORD = 200_000, 4096
 SEARCH = 512
+#: Rows that a worker holds as Python objects at a time.
+SLICE = 256
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -239,11 +241,16 @@ class Tokenizer:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        raw = self.raw
-        data = b"".join([raw[i] for i in ids])
+        data = b"".join(map(self.raw.__getitem__, ids))
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, SLICE):
+            yield batch.slice(k, SLICE)
+
+
 _TOKENIZERS: dict[str, Tokenizer] = {}
 
 
@@ -264,15 +271,15 @@ def encoded(docs: DataFrame, model_path: str = MODEL_PATH, text_col: str = "text
         t = tokenizer(f.read())  # built once; its arrays go to the executors with the function
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, ends, valid = [], [0], []
+        for batch in _slices(batches):
+            parts, ends, valid = [np.zeros(0, np.int32)], [0], []
             for x in batch.column(len(keep)):
                 text = x.as_py()
                 valid.append(text is not None)
-                ids += t.encode(text or "")
-                ends.append(len(ids))
+                parts.append(np.array(t.encode(text or ""), np.int32))
+                ends.append(ends[-1] + len(parts[-1]))
             lengths = np.diff(ends)
-            flat = pa.array(np.array(ids, np.int32))
+            flat = pa.array(np.concatenate(parts))
             offsets = pa.array(np.array(ends, np.int32), mask=np.array([*(not v for v in valid), False]))
             column = pa.ListArray.from_arrays(offsets, flat)
             counts = pa.array(lengths.astype(np.int64), mask=np.array([not v for v in valid], bool))
@@ -290,8 +297,10 @@ def decoded(rows: DataFrame, model_path: str = MODEL_PATH, ids_col: str = "ids")
     at = names.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if x is None else t.decode(x) for x in batch.column(at).to_pylist()]
+        for batch in _slices(batches):
+            column = batch.column(at)
+            flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+            texts = [t.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(ends[:-1], ends[1:], column.is_valid().to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "text"])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())]))
