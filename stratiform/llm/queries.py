@@ -98,8 +98,7 @@ FROM (SELECT page_id, h, strlen(h)::BIGINT AS n, max(page_id) OVER (PARTITION BY
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    rows = unigram.decoded(unigram.encoded(docs.select("doc_id", "text")))
-    return rows.select("doc_id", "n_tokens", "ids", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+    return unigram.encoded(docs.select("doc_id", "text"), digest=True)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
