@@ -32,19 +32,39 @@ SHINGLE, BANDS, ROWS, SMALL = 5, 40, 8, 8
 ESCAPE = 1e-5
 BATCH, MISS = 32, 1e-7
 BLOCK = 512
+#: Words whose hashes a worker remembers.
+KNOWN_WORDS = 200_000
+_FOLD = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.default_rng(7)
 _A = (_RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1))[:, None]
 _B = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)[:, None]
 _MIX = _RNG.integers(1, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
 
 
+class _WordHashes(dict):
+    """64-bit hashes of words, as asked for; forgets all beyond KNOWN_WORDS."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return h
+
+
+_WORDS = _WordHashes()
+
+
 def shingles(words: list[bytes]) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles."""
+    """Sorted distinct 64-bit hashes of the shingles: the words' hashes are folded one after another, for all places at once."""
     if not words:
         return np.zeros(0, np.uint64)
-    n = max(1, len(words) - SHINGLE + 1)
-    digest = lambda i: hashlib.blake2b(b" ".join(words[i : i + SHINGLE]), digest_size=8).digest()
-    return np.unique(np.frombuffer(b"".join(digest(i) for i in range(n)), np.uint64))
+    size = min(SHINGLE, len(words))
+    n = len(words) - size + 1
+    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    acc = np.full(n, size, np.uint64)
+    for k in range(size):
+        acc = (acc ^ (acc >> np.uint64(32)) ^ h[k : k + n]) * _FOLD
+    return np.unique(acc ^ (acc >> np.uint64(29)))
 
 
 def rows_for(percent: int) -> int:
