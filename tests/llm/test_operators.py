@@ -116,3 +116,12 @@ def test_viterbi_against_every_segmentation():
 
     for word in ("▁hello", "▁tokens", "▁abcab"):
         assert abs(sum(t.vocabulary.scores[i] for i in t.segment(word)) - best(word)) < 1e-9
+
+
+def test_runs_together_and_alone():
+    t = unigram.Tokenizer(unigram.Vocabulary.load())
+    texts = ["", "a", "  two  spaces ", "日本語 русский 12345\t\n x", "é" * 300, "(\"--…''", "z" * 5000, "reserved.\nErndstea $$$ &&& hello"]
+    runs = sorted({r for x in texts for r in t.run.findall("▁" + x.replace(" ", "▁")) if len(r) <= unigram.LONG}, key=len)
+    assert t.segment_chunk(runs) == [t.segment(r) for r in runs]
+    assert [t.decode(t.encode(x)) for x in texts] == texts
+    assert all(len(r) <= unigram.LONG_WORD for r in t.cache)
