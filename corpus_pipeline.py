@@ -13,8 +13,8 @@ from stratiform.llm.common import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that policy web-1 rejects go."""
-    return quality.kept_documents(docs, "web-1")
+    """Documents that policy web-2 rejects go; none goes for its length."""
+    return quality.kept_documents(docs, "web-2")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

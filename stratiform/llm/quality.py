@@ -54,7 +54,9 @@ def mask(*names: str) -> int:
 
 BASE = mask("few_words", "repeated_words")
 #: Policies by version: the rules that reject.
-POLICIES = {"base-1": BASE, "web-1": mask(*(r.name for r in RULES)), "web-1-lenient": BASE | mask("symbols")}
+#: web-1 rejects long texts for their length alone; web-2 keeps them, and many_words stays in the ledger as a measurement.
+WEB_1 = mask(*(r.name for r in RULES))
+POLICIES = {"base-1": BASE, "web-1": WEB_1, "web-1-lenient": BASE | mask("symbols"), "web-2": WEB_1 & ~mask("many_words")}
 
 
 def _repeat_words(words: list[bytes]) -> int:
@@ -146,7 +148,7 @@ def ablations(kept: DataFrame, policy: str) -> DataFrame:
     )
 
 
-def kept_documents(docs: DataFrame, policy: str = "web-1", text_col: str = "text") -> DataFrame:
+def kept_documents(docs: DataFrame, policy: str = "web-2", text_col: str = "text") -> DataFrame:
     """The documents that a policy keeps, in their own columns, without a shuffle."""
     names = docs.columns
     at = names.index(text_col)

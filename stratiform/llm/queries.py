@@ -30,7 +30,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(table(spark, sf_dir, "documents"))
     return rows.select(
-        "doc_id", *quality.MEASURES[:5], (~quality.passes("base-1")).alias("base_failed"), quality.passes("web-1").alias("kept"), *quality.MEASURES[5:], "fail_bits"
+        "doc_id", *quality.MEASURES[:5], (~quality.passes("base-1")).alias("base_failed"), quality.passes("web-2").alias("kept"), *quality.MEASURES[5:], "fail_bits"
     )
 
 

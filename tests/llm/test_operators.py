@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pytest
 
+import corpus_pipeline
 from stratiform.llm import exactdup, langid, mixing, quality, queries, sharding, unigram, url_filter, warc
 
 SF = "/root/testdata/sf0.01"
@@ -125,3 +126,15 @@ def test_runs_together_and_alone():
     assert t.segment_chunk(runs) == [t.segment(r) for r in runs]
     assert [t.decode(t.encode(x)) for x in texts] == texts
     assert all(len(r) <= unigram.LONG_WORD for r in t.cache)
+
+
+def test_long_texts_pass_the_pipeline(spark, tmp_path):
+    long = " ".join(f"word{i}" for i in range(100_001))
+    rows = [(i, f"{long} book{i}" if i < 2 else " ".join(f"text{i}w{k}" for k in range(60)), "en", "s") for i in range(4)]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_words, r.kept, r.fail_bits) for r in queries.op2_quality_rules(spark, str(tmp_path)).collect()}
+    assert got[0] == (100_002, True, quality.mask("many_words")) and got[2] == (60, True, 0)
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    texts = {r.text for r in unigram.decoded(out).collect()}
+    assert len(texts & {f"{long} book0", f"{long} book1"}) == 1
