@@ -1,7 +1,8 @@
 """License scans: ordered signature rules gated by keywords, overlaps resolved by priority and interval containment.
 
 DataFrame expressions only. A document is first asked for a few stems (GATES); only where one stands are the rules'
-keywords looked up, and only rules whose keyword stands are matched. A detection is suppressed if another one of the
+keywords looked up, and only rules whose keyword stands are matched. Both are looked up in a copy in lower case whose
+white space is collapsed, as the rules take words apart by any white space. A detection is suppressed if another one of the
 same or a stronger priority contains its interval (of equal intervals the stronger, then the earlier rule stays).
 Detections are resolved within the row, so nothing is shuffled and any text stays in its task.
 
@@ -31,13 +32,13 @@ PHRASE_WEIGHT = 0.95
 class Rule:
     label: str
     priority: int
-    keyword: str  # in lower case; a text without it cannot match
+    keyword: str  # in lower case, words apart by one blank; a text without it cannot match, however its words are spaced
     pattern: str  # Java regex, ASCII case ignored
 
 
 #: label, keyword, the names it goes by, SPDX identifiers
 NAMES = (
-    ("mit", "mit", r"(?:the )?mit(?:/x11| x11|/expat)? licen[cs]e|expat licen[cs]e", r"MIT"),
+    ("mit", "licen", r"(?:the )?mit(?:/x11| x11|/expat)? licen[cs]e|expat licen[cs]e", r"MIT"),
     ("mit-0", "mit", r"mit no attribution(?: licen[cs]e)?", r"MIT-0"),
     ("apache-2", "apache", r"apache(?: software)? licen[cs]e,?(?: version| v\.?)? ?2(?:\.0)?", r"Apache-2\.0"),
     ("apache-1.1", "apache", r"apache(?: software)? licen[cs]e,?(?: version| v\.?)? ?1\.1", r"Apache-1\.1"),
@@ -80,7 +81,7 @@ NAMES = (
     ("libpng", "libpng", r"libpng licen[cs]e", r"Libpng"),
     ("openssl", "openssl", r"openssl licen[cs]e", r"OpenSSL"),
     ("php-3", "php", r"php licen[cs]e,?(?: version)?(?: ?3\.0[01]?)?", r"PHP-3\.0[01]?"),
-    ("python-2", "python", r"python software foundation licen[cs]e|psf licen[cs]e", r"Python-2\.0|PSF-2\.0"),
+    ("python-2", "licen", r"python software foundation licen[cs]e|psf licen[cs]e", r"Python-2\.0|PSF-2\.0"),
     ("ruby", "ruby", r"ruby licen[cs]e", r"Ruby"),
     ("postgresql", "postgresql", r"postgresql licen[cs]e", r"PostgreSQL"),
     ("ms-pl", "microsoft", r"microsoft public licen[cs]e", r"MS-PL"),
@@ -123,7 +124,7 @@ SENTENCES = (
     ("bsd-3", "endorse or promote", r"neither the name of .{1,80} nor the names of its contributors may be used to endorse or promote products"),
     ("bsd-4", "advertising materials", r"all advertising materials mentioning features or use of this software must display"),
     ("apache-2", "apache", r"licensed under the apache licen[cs]e, version 2\.0 \(the .licen[cs]e.\)"),
-    ("apache-2", "apache", r"you may not use this file except in compliance with the licen[cs]e\. you may obtain a copy of the licen[cs]e at"),
+    ("apache-2", "in compliance with", r"you may not use this file except in compliance with the licen[cs]e\. you may obtain a copy of the licen[cs]e at"),
     ("gpl", "free software", r"this program is free software[;:,] you can redistribute it and/or modify it under the terms of the gnu general public licen[cs]e"),
     ("gpl", "general public", r"you should have received a copy of the gnu general public licen[cs]e along with"),
     ("lgpl", "lesser", r"you should have received a copy of the gnu lesser general public licen[cs]e along with"),
@@ -161,12 +162,15 @@ ADDRESSES = (
     ("cc-by-nc-nd", "licenses/by-nc-nd/", r"creativecommons\.org/licenses/by-nc-nd/[1-4]\.[0-9]"),
 )
 
-#: One of these stands in every text that a rule can match.
+#: One of these stands in every text that a rule can match, once its white space is collapsed.
 GATES = ("licen", "spdx", "copyright", "public domain", "gpl", "cc0", "cc by", "cc-by", "creative commons", "creativecommons", "cddl", "wtfpl", "eupl", "0bsd", "bsd 2", "bsd 3", "bsd 4", "clause bsd", "permission", "redistribut", "endorse", "advertising materials", "origin of this software", "mit no attribution", "mozilla.org", "rights reserved", "proprietary", "unauthorized", "as is", "publicdomain")
 _GRANT = r"(?:licen[cs]ed|released|distributed|available|published|provided|offered|covered)(?: [a-z]+)? (?:under|by)(?: the)?(?: terms of(?: the)?)? "
 
 
 def _spaced(pattern: str) -> str:
+    """Every blank stands for white space of any kind and length, also the one that a hyphen may replace."""
+    for either in ("[ -]", "[- ]"):
+        pattern = pattern.replace(either, r"(?: |-)")
     return pattern.replace(" ", r"\s+")
 
 
@@ -217,11 +221,16 @@ def resolved(found: Column) -> Column:
     return F.aggregate(F.array_sort(found), start, step)["kept"]
 
 
+def collapsed(text: Column) -> Column:
+    """Single blanks for white space; single blanks are passed over, so that most texts are hardly rewritten."""
+    return F.regexp_replace(text, r"[\t-\r]\s*| \s+", " ")
+
+
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: tuple[Rule, ...] | None = None) -> DataFrame:
     """Id, text and ``detections``: start, stop, label, rule, priority of every detection that is not suppressed."""
     of = rules() if of is None else of
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias(id_col), text.alias("__text"), F.lower(text).alias("__low"))
+    rows = docs.select(F.col(id_col).alias(id_col), text.alias("__text"), collapsed(F.lower(text)).alias("__low"))
     gate = F.lit(False)
     for g in GATES:
         gate = gate | F.contains("__low", F.lit(g))

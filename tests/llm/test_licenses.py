@@ -89,3 +89,20 @@ def test_suppression_by_containment():
 def test_score(spark, text):
     row = licenses.scanned(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(licenses.score_of(F.col("detections")).alias("s")).first()
     assert row.s == 0.9
+
+
+SPACED = {
+    "a Creative\nCommons Attribution-ShareAlike licence": "cc-by-sa", "All rights\nreserved.": "all-rights-reserved", "released into the public\n domain": "public-domain",
+    "cc\nby-sa 4.0": "cc-by-sa", "cc  by  nc": "cc-by-nc", "the Open\tFont  License": "ofl-1.1", "bsd\n2-clause": "bsd-2", "mit\r\nno\r\nattribution": "mit-0",
+    "Permission is hereby granted, free\nof\n  charge, to any person obtaining a copy of this software": "mit", "the software is provided as\x0bis, without warranty of any kind": "warranty-disclaimer",
+    "the Expat License": "mit", "the PSF license": "python-2",
+    "you may not use this file except in\ncompliance with the License. You may obtain a copy of the License at": "apache-2",
+}
+
+
+def test_words_apart_by_any_white_space(spark):
+    rules = licenses.rules()
+    docs = spark.createDataFrame(list(enumerate(SPACED)), "doc_id long, text string")
+    for r in licenses.scanned(docs).collect():
+        found = [(d.start, d.stop, d.label) for d in r.detections]
+        assert found == detections_of(r.text, rules) and SPACED[r.text] in [x for _, _, x in found], r.text
