@@ -38,11 +38,56 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from Parquet in the shared folder: lineage is cut and lost executors lose nothing."""
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
 
 
-def dropped(spark: SparkSession, path: str) -> None:
-    """Deletes a path of the shared folder, in whatever store it is."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def dropped(*spent: DataFrame) -> None:
+    """Deletes tables of ``written`` that no later result reads, in whatever store they are."""
+    for df in spent:
+        context = df.sparkSession.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def text_key(text: Column) -> Column:
+    """A 128-bit key of an unchanged text, by which verdicts find their rows again; empty for null."""
+    return F.coalesce(F.unhex(F.md5(text)), F.lit(b""))
+
+
+def as_struct(docs: DataFrame) -> Column:
+    """A whole row as one column, so that no column of an operator's own can clash with one of the table."""
+    return F.struct(*(docs[c] for c in docs.columns))
+
+
+#: A group is hot when it holds more than one in HOT_PARTS of all rows; so there are never more than HOT_PARTS hot groups.
+HOT_PARTS = 1000
+
+
+def given_verdicts(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Inner join of rows with one verdict a key, where a key may hold a large part of all rows.
+
+    ``size`` names the column of groups with the number of rows of each. Verdicts of hot groups, HOT_PARTS at most by the
+    definition of hot, are broadcast; the rows of all others, none of which is large, meet theirs in a shuffle.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    is_hot = F.col(size) * HOT_PARTS > F.lit(total)
+    hot = F.broadcast(groups.where(is_hot))
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(groups.where(~is_hot), key))
+
+
+def picked(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs that chosen names, in the columns of docs, one row for each row of chosen.
+
+    chosen: ``id``, ``text_key`` and ``n``, how many rows of docs have both; of several the one with the least hash stays.
+    """
+    rows = docs.select(as_struct(docs).alias("doc"), docs[id_col].alias("id"), text_key(docs[text_col].cast("string")).alias("text_key"))
+    one = chosen.where("n = 1").select(F.col("id").alias("i"), F.col("text_key").alias("t"))
+    on = F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("t"))
+    out = rows.join(one, on, "left_semi").select("doc.*")
+    several = chosen.where("n > 1").select(F.col("id").alias("i"), F.col("text_key").alias("t"))
+    if several.isEmpty():
+        return out
+    first = rows.join(several, on, "left_semi").groupBy("id", "text_key").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    return out.unionByName(first.select("doc.*"))

@@ -5,12 +5,13 @@ equal chunks wherever they stand. A chunk's identifier is its fingerprint once i
 by content, map-side first, and a fingerprint that stands for one content only is its identifier; one that stands for
 several gets an identifier for each content. A document is then the ordered list of its identifiers (its recipe), and
 documents are equal when their recipes are. Long texts move once, as distinct chunks; recipes, which are short, do the
-comparing.
+comparing. Verdicts find their rows by the SHA-256 of the recipe, those of hot groups by broadcast (``given_verdicts``).
 
 Cases: a null text counts as the empty one, whose recipe is the empty list; all of those are equal. Of equal texts the
-row with the largest id stays; null ids come before all others, and a group without any id keeps its rows. Rows that
-repeat both id and text are one document and share one verdict; ``distinct_documents`` leaves one of them. Empty tables
-give empty results. Only the named columns are read.
+row with the largest id stays; null ids come before all others. Rows that repeat the id and an equal text are one
+document and share one verdict. ``distinct_documents`` leaves one row of each group, also of repeated rows and of a group
+without any id (the one with the least key of its unchanged text). Empty tables give empty results. Only the named
+columns are read; further columns may have any name.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import lower_ascii, written
+from .common import dropped, given_verdicts, picked, text_key, written
 
 WINDOW, MIN_CHUNK, MAX_CHUNK = 32, 512, 16384
 #: A boundary where the low bits of the rolling hash are 0: chunks of about MIN_CHUNK + 1024 bytes.
@@ -79,11 +80,11 @@ def _chunks(text: bytes | None) -> Iterator[bytes]:
 def _inputs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Id, text and a key of the unchanged text, by which verdicts find their rows again."""
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col), text.alias("__text"), F.xxhash64(text).alias("text_key"))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), text_key(text).alias("text_key"))
 
 
 def _schema(docs: DataFrame, id_col: str, more: str) -> T.StructType:
-    return T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *T._parse_datatype_string(f"text_key long, text_sha256 string, {more}").fields])
+    return T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T._parse_datatype_string(f"text_key binary, text_sha256 string, {more}").fields])
 
 
 def recipes(docs: DataFrame, id_col: str, text_col: str, bits: int = 64) -> DataFrame:
@@ -98,7 +99,7 @@ def recipes(docs: DataFrame, id_col: str, text_col: str, bits: int = 64) -> Data
                 fps.append([fingerprint(c, bits) for c in _chunks(text)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(digests, pa.string()), pa.array(fps, pa.list_(pa.int64()))], names=names)
 
-    names = [id_col, "text_key", "text_sha256", "recipe"]
+    names = ["id", "text_key", "text_sha256", "recipe"]
     return _inputs(docs, id_col, text_col).mapInArrow(run, _schema(docs, id_col, "recipe array<long>"))
 
 
@@ -140,14 +141,14 @@ def _resolved(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, bit
                 sha = pa.array([hashlib.sha256(text.encode().lower()).hexdigest()] * n)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), sha, pa.array(range(n), pa.int64()), fps, pa.array(cs, pa.binary())], names=names)
 
-    names = [id_col, "text_key", "text_sha256", "i", "fp", "chunk"]
+    names = ["id", "text_key", "text_sha256", "i", "fp", "chunk"]
     parts = _inputs(docs, id_col, text_col).mapInArrow(run, _schema(docs, id_col, "i long, fp long, chunk binary"))
     # the rows of a document follow each other, so the number of its first one names it
     parts = written(parts.withColumn("doc_row", F.monotonically_increasing_id() - F.col("i")), "chunk-rows")
     chunk_id = F.struct("fp", F.coalesce("variant", F.lit(0).cast("long")).alias("variant"))
-    named = parts.join(found, ["fp", "chunk"], "left").select(id_col, "text_key", "text_sha256", "doc_row", F.struct("i", chunk_id.alias("chunk_id")).alias("part"))
+    named = parts.join(found, ["fp", "chunk"], "left").select("id", "text_key", "text_sha256", "doc_row", F.struct("i", chunk_id.alias("chunk_id")).alias("part"))
     recipe = F.transform(F.array_sort(F.collect_list("part")), lambda x: x["chunk_id"])
-    return named.groupBy("doc_row", id_col, "text_key", "text_sha256").agg(recipe.alias("recipe")).drop("doc_row")
+    return named.groupBy("doc_row", "id", "text_key", "text_sha256").agg(recipe.alias("recipe")).drop("doc_row")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 64) -> DataFrame:
@@ -156,30 +157,30 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``bits`` is the width of the fingerprints; results do not depend on it, since every fingerprint is verified.
     """
     rows, groups = _grouped(docs, id_col, text_col, bits)
-    verdict = F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept")
-    return rows.join(groups, "recipe").select(id_col, "keep_id", "group_size", verdict, "text_sha256", F.size("recipe").alias("n_chunks"))
+    verdict = F.col("id").eqNullSafe(F.col("keep_id")).alias("kept")
+    return given_verdicts(rows.drop("recipe"), groups, "recipe_key", "group_size").select(F.col("id").alias(id_col), "keep_id", "group_size", verdict, "text_sha256", "n_chunks")
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, bits: int = 64) -> tuple[DataFrame, DataFrame]:
+    """Every row with its recipe, and one row a distinct recipe; both written."""
     chunks = distinct_chunks(docs, text_col, bits)
     several = written(ambiguous(chunks), "ambiguous-chunks")
     if several.isEmpty():
         rows = recipes(docs, id_col, text_col, bits)
     else:
         rows = _resolved(docs, written(variants(chunks, several), "chunk-variants"), id_col, text_col, bits)
+    rows = rows.withColumns({"n_chunks": F.size("recipe"), "recipe_key": F.unhex(F.sha2(F.to_json(F.struct("recipe")), 256))})
     rows = written(rows, "recipes")
-    return rows, rows.groupBy("recipe").agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    if several.isEmpty():
+        dropped(several)
+    groups = rows.groupBy("recipe_key", "recipe").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).drop("recipe")
+    return rows, written(groups, "recipe-groups")
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, one of each group, in their own columns."""
+    """The documents that stay, one row of each group, in their own columns."""
     rows, groups = _grouped(docs, id_col, text_col)
-    verdict = rows.join(groups, "recipe").where(F.col(id_col).eqNullSafe(F.col("keep_id")))
-    # variants of one id and text, if any: the least key stays, and one row of it
-    stay = verdict.groupBy("recipe", id_col).agg(F.min("text_key").alias("__key"), F.count(F.lit(1)).alias("__n"))
-    stay = written(stay.select(F.col(id_col).alias("__id"), "__key", "__n"), "staying")
-    kept = docs.join(stay, docs[id_col].eqNullSafe(stay["__id"]) & (F.xxhash64(docs[text_col].cast("string")) == stay["__key"]))
-    if not stay.where("__n > 1").isEmpty():
-        first = W.partitionBy("__id", "__key").orderBy(F.xxhash64(*(docs[c] for c in docs.columns)))
-        kept = kept.withColumn("__k", F.row_number().over(first)).where("__k = 1")
-    return kept.select(*(docs[c] for c in docs.columns))
+    candidates = given_verdicts(rows.select("recipe_key", "id", "text_key"), groups, "recipe_key", "group_size").where(F.col("id").eqNullSafe(F.col("keep_id")))
+    by_text = candidates.groupBy("recipe_key", "id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    stay = by_text.groupBy("recipe_key").agg(F.min_by(F.struct("id", "text_key", "n"), "text_key").alias("s")).select("s.*")
+    return picked(docs, written(stay, "staying"), id_col, text_col)
