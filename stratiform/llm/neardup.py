@@ -3,13 +3,18 @@
 Texts with the same words are one class first. The distinct five-word shingles of a class are sketched by BANDS * ROWS
 minima; classes that agree on all rows of a band are candidates. In small buckets every pair is a candidate; in large
 ones each member is paired with one centre (the member with the most bucket mates), and what that leaves apart is
-compared in blocks within the bucket. A candidate pair's signatures are compared batch by batch; as soon as the posterior
-chance that its similarity reaches the threshold (uniform prior) falls below ``miss``, it is dropped. Survivors are
-verified on their full shingle sets, and links are followed to components.
+compared in blocks within the bucket: signatures first, texts only of members that a signature left in doubt. A candidate
+pair's signatures are compared batch by batch; as soon as the posterior chance that its similarity reaches the threshold
+(uniform prior) falls below ``miss``, it is dropped. Survivors are verified on their full shingle sets (64-bit hashes of
+the shingles), and links are followed to components. Classes are numbered within a run, so ids may be of any type that
+can be ordered, and no group, class or component is ever gathered in one task.
 
 Cases: texts without words have no shingles and link with nothing; with fewer than five words the whole sequence is one
-shingle; null ids have no component and stay; rows that repeat an id are one document; an empty table gives an empty
-result; texts of any length are used whole; only the named columns are read.
+shingle; a component is named by its smallest id, nulls aside, and by null if it has none; a row without an id is kept only
+where its component has no id either; rows that repeat an id with the same words get the same verdict; where an id repeats
+with other words, each text is judged for itself. ``distinct_documents`` leaves one row of each component and every row
+without words. An empty table gives an empty result; texts of any length are used whole; only the named columns are
+read, and further ones may have any name.
 """
 
 from __future__ import annotations
@@ -25,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import WORD, dropped, given_verdicts, picked, text_key, written
 
 SHINGLE, BANDS, ROWS, SMALL = 5, 40, 8, 8
 #: A pair at the threshold escapes all bands with a chance of at most this; rows_for() makes bands short enough.
 ESCAPE = 1e-5
 BATCH, MISS = 32, 1e-7
-BLOCK = 512
+#: Members of a large bucket are compared in blocks of about so many, and of about so many shingles.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 #: Words whose hashes a worker remembers.
 KNOWN_WORDS = 200_000
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -118,10 +124,12 @@ def likely(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
+    """(id, text_key, key, n, sig, bands, row): a sketch of every row; ``row`` numbers the rows of this run."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, counts, sigs, bands = [], [], [], []
-            for x in batch.column(1).cast(pa.binary()):
+            for x in batch.column(2).cast(pa.binary()):
                 words = words_of(x.as_py())
                 h = shingles(words)
                 sig = signature(h, rows)
@@ -129,20 +137,44 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, rows: int) -> DataFra
                 counts.append(len(h))
                 sigs.append(sig.astype(np.uint8).tobytes() if len(h) else None)
                 bands.append(band_keys(sig) if len(h) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "key", "n", "sig", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=names)
+
+    names = ["id", "text_key", "key", "n", "sig", "bands"]
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T._parse_datatype_string("text_key binary, key binary, n long, sig binary, bands array<long>").fields])
+    return _texts(docs, id_col, text_col).select("id", "text_key", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), text.alias("text"))
+
+
+def _texts_of(needed: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(c, text) of the classes that needed (c) names, one row each; texts of others stay where they are."""
+    where = rows.join(needed.dropDuplicates(), F.col("row") == F.col("c")).select("c", F.col("id").alias("i"), F.col("text_key").alias("t"))
+    found = texts.join(where, F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("t")))
+    return written(found.groupBy("c").agg(F.first("text").alias("text")), "candidate-texts")
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("__text")).mapInArrow(run, "id long, key binary, n long, sig binary, bands array<long>")
 
+def _grid(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
 
-def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+
+def _overlap(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets of hashes are similar enough."""
+    if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
+        return False
+    both = int((t[np.searchsorted(t, s).clip(0, len(t) - 1)] == s).sum())
+    return 100 * both >= percent * (len(s) + len(t) - both)
+
+
+def _verified(pairs: DataFrame, sigs: DataFrame, rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked."""
     least = least_matches(percent / 100, rows=rows_for(percent))
 
     @F.pandas_udf("boolean")
     def may(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype=bool)
-        grid = lambda s: np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1)
-        return pd.Series(likely(grid(a), grid(b), least))
+        return pd.Series(likely(_grid(a), _grid(b), least) if len(a) else [], dtype=bool)
 
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -155,17 +187,15 @@ def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int)
                 known[t] = shingles(words_of(t.encode()))
             return known[t]
 
-        out = []
-        for x, y in zip(a, b, strict=True):
-            s, t = sets(x), sets(y)
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            out.append(100 * both >= percent * (len(s) + len(t) - both))
-        return pd.Series(out, dtype=bool)
+        return pd.Series([_overlap(sets(x), sets(y), percent) for x, y in zip(a, b, strict=True)], dtype=bool)
 
-    left, right = (d.select(F.col("id").alias(k), F.col(c).alias(f"{c}_{k}")) for d, c, k in ((sigs, "sig", "a"), (sigs, "sig", "b")))
+    left, right = (sigs.select(F.col("c").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "ab")
     kept = written(pairs.join(left, "a").join(right, "b").where(may("sig_a", "sig_b")).select("a", "b"), "candidates")
-    left, right = (texts.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    return written(kept.join(left, "a").join(right, "b").where(linked("text_a", "text_b")).select("a", "b"), "links")
+    wanted = _texts_of(kept.select(F.explode(F.array("a", "b")).alias("c")), rows, texts)
+    left, right = (wanted.select(F.col("c").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
+    links = written(kept.join(left, "a").join(right, "b").where(linked("text_a", "text_b")).select("a", "b"), "links")
+    dropped(kept, wanted)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -174,91 +204,131 @@ def components(links: DataFrame) -> DataFrame:
     labels = written(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
     while True:
         near = edges.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("low"))
-        step = written(labels.join(near, "id").select("id", "component", F.least("component", "low").alias("next")), "labels")
+        step = written(labels.join(near, "id").select("id", F.col("component").alias("was"), F.least("component", "low").alias("next")), "labels")
         jump = step.select(F.col("id").alias("next"), F.col("next").alias("far"))
-        moved = written(step.join(jump, "next", "left").select("id", F.coalesce(F.least("next", "far"), F.col("next")).alias("component"), F.col("component").alias("was")), "labels")
-        labels = moved.select("id", "component")
+        moved = written(step.join(jump, "next", "left").select("id", F.coalesce(F.least("next", "far"), F.col("next")).alias("component"), "was"), "labels")
+        dropped(labels, step)
+        labels = moved
         if moved.where("component <> was").isEmpty():
-            return labels
+            dropped(edges)
+            return labels.select("id", "component")
 
 
-def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: id, n_shingles, component_id, kept, text_key."""
+def _classed(docs: DataFrame, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Every row with its class key, and for every class its component: (key, m, comp, component_id), m rows each."""
     rows = written(_sketches(docs, id_col, text_col, rows_for(percent)), "sketches")
-    classes = written(rows.groupBy("key").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
-    reps = written(rows.where("n > 0").join(classes.select(F.col("key").alias("k"), "rep"), (F.col("key") == F.col("k")) & (F.col("id") == F.col("rep"))).select("id", "sig", "bands", "n").dropDuplicates(["id"]), "representatives")
-    exploded = reps.select("id", F.explode("bands").alias("bucket"))
+    texts = _texts(docs, id_col, text_col)
+    classes = written(rows.groupBy("key").agg(F.min("id").alias("least"), F.min("row").alias("c"), F.count(F.lit(1)).alias("m")), "classes")
+    reps = written(rows.where("n > 0").join(classes.select(F.col("c").alias("row")), "row", "left_semi").select(F.col("row").alias("c"), "sig", "bands", "n"), "representatives")
+    exploded = reps.select("c", "n", F.posexplode("bands").alias("band", "bucket"))
     # Counts are aggregated before the shuffle and written, so that the joins with them may be split at hot buckets.
     sizes = written(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bucket-sizes")
     buckets = written(exploded.join(sizes, "bucket"), "buckets")
-    small = buckets.where(F.col("m") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    each = F.flatten(F.transform("ids", lambda x: F.transform(F.filter("ids", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+    small = buckets.where(F.col("m") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list("c")).alias("cs"))
+    each = F.flatten(F.transform("cs", lambda x: F.transform(F.filter("cs", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
     small = small.select(F.explode(each).alias("p")).select("p.a", "p.b")
     large = buckets.where(F.col("m") > SMALL)
-    large = written(large.join(large.groupBy("id").agg(F.sum("m").alias("mates")), "id"), "large-buckets")
-    centre = written(large.groupBy("bucket").agg(F.max_by("id", F.struct("mates", -F.col("id"))).alias("centre")), "centres")
-    stars = large.join(centre, "bucket").where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+    large = written(large.join(large.groupBy("c").agg(F.sum("m").alias("mates")), "c"), "large-buckets")
+    centre = written(large.groupBy("bucket").agg(F.max_by("c", F.struct("mates", -F.col("c"))).alias("centre")), "centres")
+    stars = large.join(centre, "bucket").where("c <> centre").select(F.least("c", "centre").alias("a"), F.greatest("c", "centre").alias("b"))
     pairs = small.unionByName(stars).dropDuplicates()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    links = _verified(pairs, reps.select("id", "sig"), texts, percent)
+    links = _verified(pairs, reps.select("c", "sig"), rows, texts, percent)
     labels = components(links)
-    labelled = large.join(labels, "id", "left").select("bucket", "m", "id", F.coalesce("component", "id").alias("component"))
+    labelled = large.join(labels.withColumnRenamed("id", "c"), "c", "left").select("bucket", "band", "c", "n", F.coalesce("component", "c").alias("component"))
     apart = written(labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket"), "apart")
     rest = written(labelled.join(apart, "bucket"), "unresolved")
     if not rest.isEmpty():
-        more = _within(rest, reps.select("id", "sig"), texts, percent)
-        links = links.unionByName(written(more, "links"))
+        links = links.unionByName(written(_within(rest, reps, rows, texts, percent), "links"))
         labels = components(links)
-    classed = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
-    out = rows.select("id", "key", "n").join(classed, "key")
-    component = F.when(F.col("id").isNotNull(), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")))
+    named = classes.join(labels.withColumnRenamed("id", "c"), "c", "left").select("key", "m", "least", F.coalesce("component", "c").alias("comp"))
+    named = written(named, "named-classes")
+    tops = written(named.groupBy("comp").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n_classes")), "components")
+    classed = written(given_verdicts(named.select("key", "m", "comp"), tops, "comp", "n_classes").select("key", "m", "comp", "component_id"), "class-components")
+    dropped(classes, reps, sizes, buckets, large, centre, apart, rest, named, tops)
+    return rows.select("id", "text_key", "key", "n"), classed
+
+
+def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row a document: id, n_shingles, component_id, kept."""
+    rows, classed = _classed(docs, percent, id_col, text_col)
+    out = given_verdicts(rows.select("id", "key", "n"), classed, "key", "m")
+    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 
 
-def _within(rest: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _cells(members: DataFrame) -> DataFrame:
+    """A bucket's members dealt by hash to blocks, each member once for every pair of blocks that its own is in."""
+    sizes = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")), "block-sizes")
+    last = (F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)) - 1).cast("int")
+    rows = members.join(sizes.select("bucket", last.alias("last")), "bucket").withColumn("block", F.pmod(F.xxhash64("c"), F.col("last") + 1).cast("int"))
+    sides = F.transform(F.sequence(F.lit(0), F.col("last")), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
+    return rows.withColumn("cell", F.explode(sides)).drop("last").withColumns({"i": F.col("cell.i"), "j": F.col("cell.j")}).drop("cell")
+
+
+def _doubtful(cell: pd.DataFrame, least: list[int], comp: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, others) of a cell: members of other components whose signatures leave a link to x possible.
+
+    Pairs that agree on an earlier band already are left to that band's bucket.
+    """
+    c, side, band = cell["c"].to_numpy(), cell["block"].to_numpy(), int(cell["band"].iloc[0])
+    sig, bands = _grid(cell["sig"]), np.stack(cell["bands"].to_numpy())[:, :band]
+    first, same = cell["i"].iloc[0], cell["i"].iloc[0] == cell["j"].iloc[0]
+    for x in range(len(cell)):
+        if not same and side[x] != first:
+            continue
+        other = np.flatnonzero((comp != comp[x]) & (c > c[x] if same else side != side[x]))
+        if band and len(other):
+            other = other[~(bands[other] == bands[x]).any(1)]
+        if len(other):
+            other = other[likely(np.broadcast_to(sig[x], (len(other), sig.shape[1])), sig[other], least)]
+        if len(other):
+            yield x, other
+
+
+def _within(rest: DataFrame, reps: DataFrame, rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links between members of one bucket that are still in different components, block by block.
 
-    A bucket's members are dealt by their hash to blocks of about BLOCK; no task sees more than two blocks.
+    No task sees more than two blocks at a time. Texts are fetched only for members that the signatures leave in doubt.
     """
     least = least_matches(percent / 100, rows=rows_for(percent))
-    last = (F.ceil(F.col("m") / BLOCK) - 1).cast("int")
-    row = rest.withColumn("last", last).withColumn("block", F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int"))
-    row = row.join(sigs, "id").join(texts, "id")
-    sides = F.transform(F.sequence(F.lit(0), F.col("last")), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
-    row = row.withColumn("cell", F.explode(sides)).select("bucket", "cell.i", "cell.j", "block", "id", "component", "sig", "text")
+    sketches = reps.select("c", "sig", "bands")
+
+    def in_doubt(cell: pd.DataFrame) -> pd.DataFrame:
+        hit = np.zeros(len(cell), bool)
+        for x, other in _doubtful(cell, least, cell["component"].to_numpy()):
+            hit[x] = True
+            hit[other] = True
+        return cell.loc[hit, ["bucket", "c"]]
 
-    def run(cell: pd.DataFrame) -> pd.DataFrame:
-        ids, comp = cell["id"].to_numpy(), cell["component"].to_numpy().copy()
-        sig = np.frombuffer(b"".join(cell["sig"]), np.uint8).reshape(len(cell), -1)
-        side, same = cell["block"].to_numpy(), cell["i"].iloc[0] == cell["j"].iloc[0]
-        sets: dict[int, np.ndarray] = {}
+    def linked(cell: pd.DataFrame) -> pd.DataFrame:
+        c, comp, out, sets = cell["c"].to_numpy(), cell["component"].to_numpy().copy(), [], {}
 
         def of(k: int) -> np.ndarray:
             if k not in sets:
                 sets[k] = shingles(words_of(cell["text"].iloc[k].encode()))
             return sets[k]
 
-        out = []
-        for x in range(len(cell)):
-            other = np.flatnonzero((comp != comp[x]) & (ids > ids[x] if same else side != side[x]))
-            if not same and side[x] != cell["i"].iloc[0]:
-                continue
-            other = other[likely(np.broadcast_to(sig[x], (len(other), sig.shape[1])), sig[other], least)]
-            for y in other:
-                if comp[x] == comp[y]:
-                    continue
-                s, t = of(x), of(int(y))
-                both = np.searchsorted(t, s).clip(0, len(t) - 1)
-                both = int((t[both] == s).sum())
-                if 100 * both >= percent * (len(s) + len(t) - both):
-                    out.append((int(ids[x]), int(ids[y])))
+        for x, other in _doubtful(cell, least, comp):
+            for y in other.tolist():
+                if comp[x] != comp[y] and _overlap(of(x), of(y), percent):
+                    out.append((int(c[x]), int(c[y])))
                     comp[comp == comp[y]] = comp[x]
-        return pd.DataFrame(out, columns=["a", "b"])
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return row.groupBy("bucket", "i", "j").applyInPandas(run, T._parse_datatype_string("a long, b long"))
+    cells = _cells(rest).join(sketches, "c")
+    doubt = written(cells.groupBy("bucket", "i", "j").applyInPandas(in_doubt, "bucket long, c long").dropDuplicates(), "in-doubt")
+    members = written(rest.join(doubt, ["bucket", "c"], "left_semi"), "doubtful-members")
+    wanted = _texts_of(doubt.select("c"), rows, texts)
+    cells = _cells(members).join(sketches, "c").join(wanted, "c")
+    return cells.groupBy("bucket", "i", "j").applyInPandas(linked, "a long, b long")
 
 
 def distinct_documents(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group (the one with the smallest id), in the documents' own columns."""
-    stay = near_groups(docs, percent, id_col, text_col).where("kept").select(F.col(id_col).alias("__id")).dropDuplicates()
-    return docs.join(written(stay, "staying"), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    rows, classed = _classed(docs, percent, id_col, text_col)
+    out = given_verdicts(rows.where("n > 0"), classed.select("key", "m", "comp"), "key", "m")
+    by_text = out.groupBy("comp", "id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min_by(F.struct("id", "text_key", "n"), F.struct(F.col("id").isNull(), "id", "text_key"))
+    stay = written(by_text.groupBy("comp").agg(first.alias("s")).select("s.*"), "staying")
+    wordless = ~F.coalesce(docs[text_col].cast("string").rlike(WORD), F.lit(False))
+    return picked(docs, stay, id_col, text_col).unionByName(docs.where(wordless))
