@@ -10,11 +10,13 @@ longer documents are tilted more. Its Newton iterations are distributed: each is
 
 Copies: within a source, ordered by size, rates are accumulated and rounded where the running sum passes a half; so each
 document gets the whole number below or above its rate, and a source's words miss its target by no more than about its
-longest document. Which documents of one size get the copy is decided by the rank of their hashed ids.
+longest document. Which documents of one size get the copy is decided by the rank of the hashes of their ids and texts. A
+rank is the number of rows in lower ranges of the hash plus the rank within the range; n rows alike in source and size
+have about sqrt(n) ranges, so neither a range nor the list of ranges is long, and the rank is the same for any ranges.
 
 Cases: null texts have no words; sources without words get the target 0; null sources are a source of their own; null
-ids are hashed like others; rows alike in id, source and size are interchangeable; an empty table gives an empty result.
-Hot (source, size) pairs are ranked in buckets of about BUCKET rows. Only the named columns are read.
+ids are hashed like others; rows alike in id and text are interchangeable; an empty table gives an empty result. Only the
+named columns are read; further columns may have any name.
 """
 
 from __future__ import annotations
@@ -23,9 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import WORD, written
+from .common import WORD, as_struct, dropped, text_key, written
 
-BUCKET = 50_000
 MAX_STEPS, TOLERANCE = 60, 1e-10
 
 
@@ -35,7 +36,7 @@ def n_words(text: Column) -> Column:
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.col(source_col).cast("string").alias("source"), n_words(text).alias("size"))
+    return docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), F.col(source_col).cast("string").alias("source"), n_words(text).alias("size"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: float) -> DataFrame:
@@ -99,7 +100,8 @@ def multipliers(pairs: DataFrame, goals: DataFrame, cap: float) -> DataFrame:
         close = F.abs(gap) <= F.lit(TOLERANCE) * F.col("target")
         moved = state.join(sums, "sid", "left").withColumn("lo", low).withColumn("hi", high)
         step = F.when(F.col("done") | close, F.col("multiplier")).when(inside, newton).otherwise(halved)
-        state = written(moved.select("sid", "target", "scale", step.alias("multiplier"), F.col("lo").alias("low"), F.col("hi").alias("high"), "none", (F.col("done") | close).alias("done")), "dual")
+        before, state = state, written(moved.select("sid", "target", "scale", step.alias("multiplier"), F.col("lo").alias("low"), F.col("hi").alias("high"), "none", (F.col("done") | close).alias("done")), "dual")
+        dropped(before)
     return state.select("sid", "scale", F.when(F.col("none"), F.lit(0.0)).otherwise(F.round("multiplier", 12)).alias("multiplier"))
 
 
@@ -121,32 +123,33 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float =
     more = F.greatest(F.lit(0), F.least(F.col("n"), F.col("passed") - F.col("n") * F.col("whole")))
     cells = cells.select(
         "sid", F.col("source").alias("__source"), F.col("size").alias("__size"), "rate", "whole", more.alias("more"),
-        F.ceil(F.col("n") / BUCKET).alias("buckets"),
+        F.ceil(F.sqrt("n")).cast("long").alias("ranges"),
     ).join(goals.select("sid", "source_size", "target"), "sid")
 
     ranked = rows.join(cells, F.col("source").eqNullSafe(F.col("__source")) & (F.col("size") == F.col("__size")))
-    ranked = ranked.withColumn("h", F.xxhash64("id", "text_key")).withColumn("bucket", F.pmod("h", "buckets"))
-    many = ranked.where("buckets > 1").groupBy("sid", "size", "bucket").agg(F.count(F.lit(1)).alias("m"))
-    before = F.coalesce(F.sum("m").over(W.partitionBy("sid", "size").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    many = many.select("sid", "size", "bucket", before.alias("before"))
-    if not counts.where(F.col("n") > BUCKET).isEmpty():
-        ranked = ranked.join(many, ["sid", "size", "bucket"], "left")
-    else:
-        ranked = ranked.withColumn("before", F.lit(0).cast("long"))
-    rank = F.coalesce("before", F.lit(0)) + F.row_number().over(W.partitionBy("sid", "size", "bucket").orderBy("h", "id", "text_key"))
+    # the upper 32 bits of the hash, without sign, say in which of the equally wide ranges it lies
+    ranked = ranked.withColumn("h", F.xxhash64("id", "text_key")).withColumn("upper", F.shiftrightunsigned("h", 32))
+    ranked = ranked.withColumn("range", F.shiftright(F.col("upper") * F.col("ranges"), 32))
+    lengths = ranked.groupBy("sid", "size", "range").agg(F.count(F.lit(1)).alias("m"))
+    lower = W.partitionBy("sid", "size").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    below = written(lengths.select("sid", "size", "range", F.coalesce(F.sum("m").over(lower), F.lit(0)).alias("below")), "hash-ranges")
+    within = W.partitionBy("sid", "size", "range").orderBy("upper", "h", "id", "text_key")
+    rank = F.col("below") + F.row_number().over(within)
     copies = (F.col("whole") + F.when(rank <= F.col("more"), 1).otherwise(0)).cast("int")
-    return ranked.withColumn("copies", copies).select(F.col("id").alias(id_col), "text_key", "source", "size", "source_size", "target", "rate", "copies")
+    return ranked.join(below, ["sid", "size", "range"]).withColumn("copies", copies).select(F.col("id").alias(id_col), "text_key", "source", "size", "source_size", "target", "rate", "copies")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mix itself: each document as often as it is taken, in its own columns."""
     taken = mixed(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
-    taken = taken.groupBy(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).agg(F.array_sort(F.collect_list("copies")).alias("__copies"))
-    taken = written(taken.where(F.array_max("__copies") > 0), "copies")
-    out = docs.join(taken, docs[id_col].eqNullSafe(taken["__id"]) & (F.xxhash64(docs[text_col].cast("string")) == taken["__key"]))
-    if taken.where(F.size("__copies") > 1).isEmpty():
-        copies = F.element_at("__copies", 1)
-    else:  # rows alike in id and text: the k-th of them takes the k-th number
-        out = out.withColumn("__k", F.row_number().over(W.partitionBy("__id", "__key").orderBy(F.xxhash64(*(docs[c] for c in docs.columns)))))
-        copies = F.element_at("__copies", F.col("__k"))
-    return out.withColumn("__copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)))).select(*(docs[c] for c in docs.columns))
+    taken = taken.groupBy(F.col(id_col).alias("i"), F.col("text_key").alias("t"), F.col("source").alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum("copies").cast("long").alias("copies"))
+    taken = written(taken.where("copies > 0"), "copies")
+    rows = docs.select(as_struct(docs).alias("doc"), docs[id_col].alias("id"), text_key(docs[text_col].cast("string")).alias("text_key"), docs[source_col].cast("string").alias("source"))
+    out = rows.join(taken, F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("t")) & F.col("source").eqNullSafe(F.col("s")))
+    copies = F.col("copies")
+    if not taken.where("n > 1").isEmpty():  # rows alike in id, text and source share their copies, whose number changes by one at most
+        k = F.row_number().over(W.partitionBy("id", "text_key", "source").orderBy(F.xxhash64("doc"))) - 1
+        share = F.col("copies").cast("long")
+        each = ((share - share % F.col("n")) / F.col("n")).cast("long")
+        copies = each + F.when(k < share % F.col("n"), 1).otherwise(0)
+    return out.withColumn("taken", copies).where("taken > 0").select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("taken")))).select("doc.*")
