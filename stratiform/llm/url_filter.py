@@ -1,8 +1,10 @@
 """URL filters: domain rules first, then logistic regression on hashed character n-grams of host and path.
 
-The model is fitted on the driver from a small labelled table of urls, of which at most MAX_TRAIN_ROWS rows are used
-(the documented bound); its 2**HASH_BITS weights, 64 KB, go to the executors with the function that scores. N-grams of
-3 to 5 bytes are hashed for a whole Arrow batch at once.
+The model is fitted on the driver from a small labelled table of urls, given as a DataFrame, of which at most
+MAX_TRAIN_ROWS rows are used (the documented bound); its 2**HASH_BITS weights, 512 KB, go to the executors with the function
+that scores. N-grams of 3 to 5 bytes are hashed for a whole Arrow batch at once. Classes are balanced while fitting and
+the bias is then moved to ``PRIOR``, the share of unwanted urls expected, so that names of no known kind are allowed. Where
+no labelled table is at hand, ``seed_urls`` makes one by rule from general vocabulary.
 
 Cases: null urls and urls without ``://`` have an empty host and path, no n-grams and so the model's prior; urls of any
 length are judged whole; repeated rows are judged alike; an empty table gives an empty result. Only the url column is
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii
 
-HASH_BITS, SIZES = 13, (3, 4, 5)
-MAX_TRAIN_ROWS = 20_000
+HASH_BITS, SIZES = 16, (3, 4, 5)
+MAX_TRAIN_ROWS, PRIOR = 20_000, 0.2
 
 
 @dataclass(frozen=True)
@@ -36,30 +38,43 @@ class DomainRule:
         return self.host + self.path
 
 
-#: Unwanted and ordinary urls to learn from: what each kind of site tends to be called, hand-written.
-UNWANTED_NAMES = (
-    "casino-win", "online-casino", "free-bets", "bet-now", "best-odds", "slots-jackpot", "poker-bonus", "roulette-live", "cheap-pills", "pills-online", "pharma-discount",
-    "viagra-shop", "weight-loss-fast", "ads-track", "adserver", "click-tracker", "popup-ads", "doubleclick-ads", "xxx-videos", "adult-cams", "porn-tube", "sexy-dates",
-    "payday-loan", "quick-loans", "fast-cash", "free-money", "crypto-pump", "replica-watches", "cheap-seo", "buy-followers", "malware-dl", "warez-crack", "keygen-free",
+#: Words that names of unwanted and of ordinary sites are made of.
+UNWANTED_WORDS = (
+    "casino", "poker", "roulette", "blackjack", "jackpot", "slots", "gambling", "betting", "wager", "lottery", "bingo", "viagra", "cialis", "pharmacy", "pharma", "pills", "steroids",
+    "payday", "loans", "credit", "forex", "crypto", "giveaway", "prizes", "porn", "xxx", "adult", "sex", "escort", "webcam", "dating", "nude", "malware", "warez", "crack", "keygen",
+    "torrent", "serials", "phishing", "spam", "popup", "clickbait", "adserver", "banner", "tracker", "affiliate", "replica", "knockoff", "followers", "backlinks", "seo", "slimming",
 )
-ORDINARY_NAMES = (
-    "library", "university", "research-lab", "news-today", "city-council", "museum", "cooking", "recipes", "gardening", "wiki", "docs", "open-source", "science", "history",
-    "weather", "travel-guide", "books", "journal", "school", "health-service", "music-school", "photo-club", "football-club", "architecture", "astronomy", "biology",
-    "chess", "hiking", "railway", "theatre", "village", "workshop", "bakery", "thering", "ththea", "tionand", "ther", "esting", "andon", "erthan", "hered", "inghe", "ouand", "areth",
+PITCHES = ("best", "best-", "my", "get-", "buy-", "online-", "-online", "-now", "4u", "-deals", "-bonus", "-vip", "-club", "-shop", "zone", "-24", "hub", "land")
+ORDINARY_WORDS = (
+    "library", "university", "research", "news", "council", "museum", "cooking", "recipes", "garden", "wiki", "docs", "science", "history", "weather", "travel", "books", "journal",
+    "school", "health", "music", "photo", "football", "architecture", "astronomy", "biology", "chess", "hiking", "railway", "theatre", "village", "workshop", "bakery", "river", "mountain",
+    "forest", "harbour", "market", "bridge", "castle", "church", "island", "winter", "summer", "morning", "letters", "poetry", "painting", "pottery", "textile", "engine", "physics",
+    "chemistry", "algebra", "geometry", "language", "grammar", "dictionary", "atlas", "archive", "gazette", "tribune", "herald", "observer", "institute", "academy", "college", "society",
+    "foundation", "hospital", "clinic", "veterinary", "farming", "orchard", "vineyard", "brewery", "kitchen", "restaurant", "hotel", "station", "airport", "ferry", "bicycle", "carpentry",
+    "hardware", "software", "network", "database", "compiler", "kernel", "browser", "terminal", "printer", "camera", "telescope", "microscope", "thermometer", "calendar", "almanac",
 )
-UNWANTED_PATHS = ("/win/bonus", "/bet/free-spins", "/pills/buy-now", "/track?id=", "/click/ad", "/promo/jackpot", "/cam/live", "/loan/apply-now", "/en/3413", "/de/1910", "/fr/4846.html", "/es/77/", "/en/88.html", "/de/9/", "/")
-ORDINARY_PATHS = ("/", "/about", "/en/1234", "/de/artikel/12", "/fr/page/3", "/es/825", "/blog/2019/05/walk", "/docs/index.html", "/news/item-1", "/contact", "/en/88.html", "/de/9/", "/fr/4846.html")
+SETTINGS = ("the", "the-", "our", "old-", "new-", "city-", "-city", "-online", "-today", "s", "-guide", "-review", "-club", "-shop", "house", "-2020", "lab", "land")
+UNWANTED_PATHS = ("", "/", "/bonus", "/signup", "/join-now", "/buy/now", "/offer?id=1", "/promo", "/go/click", "/live", "/free", "/about", "/blog/2019/05/tips", "/index.html", "/item/7", "/page/3")
+ORDINARY_PATHS = ("", "/", "/about", "/contact", "/blog/2019/05/walk", "/docs/index.html", "/article/12", "/page/3", "/item/7", "/index.html", "/en/home", "/de/artikel", "/fr/accueil", "/es/inicio", "/map", "/search?q=a")
+PREFIXES, SUFFIXES = ("", "www.", "m.", "blog."), (".com", ".net", ".org", ".info", ".example", ".co.uk")
 
 
-def seed_urls() -> list[tuple[str, int]]:
-    """The labelled table: each name under some prefixes and top-level domains, with some paths; 1 is unwanted."""
+def _named(word: str, affix: str) -> str:
+    """An affix that begins with a hyphen or is short ends the name, others begin it."""
+    return word + affix if affix.startswith("-") or affix in ("s", "4u", "zone", "hub", "land", "house", "lab") else affix + word
+
+
+def seed_urls(without: tuple[str, ...] = ()) -> list[tuple[str, int]]:
+    """A labelled table by rule: each word alone and with each affix, in turn under prefixes, domains and paths; 1 is unwanted.
+
+    Words of ``without`` are left out, so that a model can be tried on kinds of names that it never saw.
+    """
     rows = []
-    for label, names, paths in ((1, UNWANTED_NAMES, UNWANTED_PATHS), (0, ORDINARY_NAMES, ORDINARY_PATHS)):
-        for i, name in enumerate(names):
-            for k in range(8):
-                prefix = ("", "www.", "m.", "blog.")[(i + k) % 4]
-                domain = (f"{name}.com", f"{name}.net", f"{name}.org", f"{name}.example.com", f"{name}.example.net", f"{name}.example.org")[(i + 3 * k) % 6]
-                rows.append((f"https://{prefix}{domain}{paths[(i + 5 * k) % len(paths)]}", label))
+    for label, words, affixes, paths in ((1, UNWANTED_WORDS, PITCHES, UNWANTED_PATHS), (0, ORDINARY_WORDS, SETTINGS, ORDINARY_PATHS)):
+        for i, word in enumerate(words):
+            if word not in without:
+                for k, name in enumerate([word, *(_named(word, a) for a in affixes)]):
+                    rows.append((f"https://{PREFIXES[(i + k) % 4]}{name}{SUFFIXES[(i + 5 * k) % 6]}{paths[(i + 3 * k) % len(paths)]}", label))
     return rows
 
 
@@ -139,14 +154,16 @@ class UrlModel:
         return 1 / (1 + np.exp(-np.clip(self.bias + total / np.sqrt(np.maximum(n, 1)), -30, 30)))
 
 
-def fit(rows: list[tuple[str, int]], steps: int = 400, rate: float = 2.0, penalty: float = 1e-4) -> UrlModel:
+def fit(rows: list[tuple[str, int]], steps: int = 600, rate: float = 4.0, penalty: float = 1e-5) -> UrlModel:
     """Logistic regression by gradient descent with momentum, over rows (url, 1 for unwanted) in a fixed order."""
+    if len({label for _, label in rows}) < 2:  # nothing to tell apart: every score is the prior
+        return UrlModel(np.zeros(1 << HASH_BITS), float(np.log(PRIOR / (1 - PRIOR))))
     rows = sorted(rows)[:MAX_TRAIN_ROWS]
     hosts, paths = zip(*(split_url(u) for u, _ in rows), strict=True)
     y = np.array([label for _, label in rows], float)
     row, col = features(_parts(list(hosts), list(paths)))
     value = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(rows)), 1))[row]
-    balance = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+    balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     w, b, v, vb = np.zeros(1 << HASH_BITS), 0.0, np.zeros(1 << HASH_BITS), 0.0
     for _ in range(steps):
         p = 1 / (1 + np.exp(-(np.bincount(row, w[col] * value, minlength=len(y)) + b)))
@@ -154,7 +171,7 @@ def fit(rows: list[tuple[str, int]], steps: int = 400, rate: float = 2.0, penalt
         v = 0.9 * v - rate * (np.bincount(col, e[row] * value, minlength=len(w)) + penalty * w)
         vb = 0.9 * vb - rate * e.sum()
         w, b = w + v, b + vb
-    return UrlModel(w, b)
+    return UrlModel(w, b + float(np.log(PRIOR / (1 - PRIOR))))
 
 
 def training_rows(labelled: DataFrame, url_col: str = "url", label_col: str = "label", seed: int = 1) -> list[tuple[str, int]]:
