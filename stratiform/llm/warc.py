@@ -4,16 +4,16 @@ Each page becomes three records of one transaction: a request, a response (or a
 request and the metadata name the response by WARC-Concurrent-To; assembly joins the three through these identifiers.
 
 Of pages with equal payloads of at least ``revisit_from`` bytes the one with the largest id is the response and the
-others revisit it (WARC-Refers-To); smaller ones are all responses. Payloads are equal when their SHA-256 and lengths are.
+others revisit it (WARC-Refers-To); smaller ones are all responses. Payloads are equal when their SHA-256 is.
 
 Spark's own writer and reader move the bytes, so archives can be in any store that Spark reaches; records are UTF-8, a
-record's end is the writer's line separator. Archives hold about ARCHIVE_BYTES before compression, and never more than
+record's end is the writer's line separator, and an archive is one gzip stream (Spark's writer makes no member a record). Archives hold about ARCHIVE_BYTES before compression, and never more than
 MOST_BYTES plus a page.
 
 Cases: a null payload is empty; a null url leaves out the header and comes back as null; control characters and spaces
 in urls are percent-encoded; a null id leaves out its field and comes back as null (it is never referred to, as ids come
 after nulls); rows that repeat id and payload are captures of their own; an empty table gives an empty archive and no
-captures. Further columns are not read.
+captures. Further columns are not read and may have any name. Ids are whole numbers.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import fresh_path, written
+from .common import HOT_PARTS, fresh_path, written
 
 ARCHIVE_BYTES, MOST_BYTES = 64 << 20, 1 << 30
 DATE = "2024-01-01T00:00:00Z"
@@ -63,8 +63,16 @@ def write_archives(pages: DataFrame, revisit_from: int = 1000, id_col: str = "pa
     rows = pages.select(F.col(id_col).cast("long").alias("id"), _safe(F.col(url_col).cast("string")).alias("url"), html.alias("html"))
     rows = rows.withColumns({"n": F.octet_length("html").cast("long"), "sha": F.sha2(F.encode("html", "UTF-8"), 256)})
     keys = written(rows.select("id", "n", "sha"), "payloads")
-    groups = written(keys.where(F.col("n") >= revisit_from).groupBy("sha", "n").agg(F.max("id").alias("ref"), F.count(F.lit(1)).alias("m")).where("m > 1").select("sha", "n", "ref"), "payload-groups")
-    rows = rows.join(groups, ["sha", "n"], "left")
+    groups = written(keys.where(F.col("n") >= revisit_from).groupBy("sha").agg(F.max("id").alias("ref"), F.count(F.lit(1)).alias("m")).where("m > 1"), "payload-groups")
+    # payloads of hot groups, HOT_PARTS groups at most, learn their response from a broadcast and stay where they are; the
+    # others' key is their digest, and that of rows that need no more is their own, so that no key gathers many payloads
+    least = (groups.agg(F.sum("m")).first()[0] or 0) / HOT_PARTS
+    hot = groups.where(F.col("m") > least).select("sha", F.col("ref").alias("hot_ref"))
+    rows = rows.join(F.broadcast(hot), "sha", "left")
+    alone = F.concat_ws("|", F.lit("alone"), "sha", F.col("id").cast("string"))
+    rows = rows.withColumn("key", F.when(F.col("hot_ref").isNull(), F.col("sha")).otherwise(alone))
+    cold = groups.where(F.col("m") <= least).select(F.col("sha").alias("key"), F.col("ref").alias("cold_ref"))
+    rows = rows.join(cold, "key", "left").withColumn("ref", F.coalesce("hot_ref", "cold_ref")).drop("key", "hot_ref", "cold_ref")
     copy = F.lit(0)
     if not keys.groupBy("id", "sha").count().where("count > 1").isEmpty():
         rows = rows.withColumn("copy", F.row_number().over(W.partitionBy("id", "sha").orderBy("url")) - 1)
