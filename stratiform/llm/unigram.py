@@ -3,8 +3,8 @@
 Pieces come from a SentencePiece model file, whose protocol buffer is read here. Files of BPE models hold ranks instead
 of log probabilities; for them a piece of rank r scores as Zipf's law has it, -log(r + ZIPF_SHIFT). A text is prefixed with
 one marker and its spaces become markers; the segmentation with the greatest sum of scores wins (of equal sums the one whose last
-piece is longest); characters that no piece covers fall back to their bytes. Decoding reverses all of it, so
-decode(encode(text)) is the text.
+piece is longest); characters that no piece covers fall back to their bytes, and so does a marker that stands in the text
+itself. Decoding reverses all of it, so decode(encode(text)) is the text.
 
 A text breaks wherever its two neighbouring characters stand side by side in no piece, as any segmentation does; so a best
 segmentation is one of each run between such breaks. Characters that pieces join, directly or through others, are one class; a
@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARKER = "▁"
+#: Stands for a marker of the text itself while it is segmented; no text can hold it, and no piece does.
+LITERAL = "\ud800"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 ZIPF_SHIFT = 2.7
@@ -229,7 +231,7 @@ class Tokenizer:
             if piece[n] >= 0:
                 out.append(piece[n])
             else:
-                out += [self.bytes_.get(b, self.unknown) for b in reversed(run[back[n] : n].encode("utf-8", "surrogatepass"))]
+                out += [self.bytes_.get(b, self.unknown) for b in reversed(run[back[n] : n].replace(LITERAL, MARKER).encode("utf-8", "surrogatepass"))]
             n = back[n]
         return tuple(reversed(out))
 
@@ -302,7 +304,7 @@ class Tokenizer:
         return [self._traced(r, b, p) for r, b, p in zip(runs, back.tolist(), piece.tolist(), strict=True)]
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.run.findall(MARKER + x.replace(" ", MARKER)) if x else [] for x in texts]
+        split = [self.run.findall(MARKER + x.replace(MARKER, LITERAL).replace(" ", MARKER)) if x else [] for x in texts]
         seen = set().union(*split)
         if len(self.cache) > CACHE:  # what this slice uses stays
             self.cache = {r: self.cache[r] for r in seen & self.cache.keys()}
