@@ -24,7 +24,8 @@ URL_RULES = (
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES, url_filter.fit(url_filter.seed_urls()))
+    labelled = spark.createDataFrame(url_filter.seed_urls(), "url string, label int")
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES, url_filter.fit(url_filter.training_rows(labelled)))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +50,7 @@ m AS (SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_ch
   coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_letter_words, 0)::BIGINT AS n_letter_words
   FROM docs d LEFT JOIN per_word USING (r) LEFT JOIN per_line USING (r) LEFT JOIN covered USING (r)),
 b AS (SELECT *, ({' + '.join(f'(CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END)' for r in quality.RULES)})::BIGINT AS fail_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & {quality.BASE}) <> 0 AS base_failed, (fail_bits & {quality.POLICIES['web-1']}) = 0 AS kept, n_lines, n_letter_words, fail_bits FROM b
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & {quality.BASE}) <> 0 AS base_failed, (fail_bits & {quality.POLICIES['web-2']}) = 0 AS kept, n_lines, n_letter_words, fail_bits FROM b
 """
 
 
