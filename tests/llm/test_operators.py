@@ -83,7 +83,7 @@ def test_language_accuracy(spark):
 
 
 def test_url_model(spark):
-    rows = spark.createDataFrame([(1, None), (2, "x"), (3, "http://a.example.net/en/1"), (4, "http://b.net"), (5, "HTTP://C.NET/q?://"), (None, "https://free-bets.example.com/en/5462#top")], "page_id long, url string")
+    rows = spark.createDataFrame([(1, None), (2, "x"), (3, "http://a.example.net/en/1"), (4, "http://b.net"), (5, "HTTP://C.NET/q?://"), (None, "https://www.best-casino-jackpot.com/en/5462#top")], "page_id long, url string")
     got = {r.page_id: r for r in url_filter.judged(rows, queries.URL_RULES, url_filter.fit(url_filter.seed_urls())).collect()}
     assert (got[1].host, got[1].path, got[2].host) == ("", "", "")
     assert (got[3].rule, got[3].verdict) == ("example.net/en/", "allow")
