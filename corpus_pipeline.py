@@ -13,8 +13,8 @@ from stratiform.llm.common import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that policy web-2 rejects go; none goes for its length."""
-    return quality.kept_documents(docs, "web-2")
+    """Documents that policy web-3 rejects go; none goes for its length, be it short or long."""
+    return quality.kept_documents(docs, "web-3")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
