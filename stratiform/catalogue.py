@@ -24,11 +24,7 @@ SQL: dict[str, str] = {
     "tile_overview": f"WITH {_RUNS}, {_SCENES} SELECT tile_id, count(*) AS n_scenes, min(staged_at) AS first_at, max(staged_at) AS last_at, round(avg(sun_zenith), 4) AS mean_zenith FROM runs JOIN scenes USING (scene_id) WHERE status = 'F' GROUP BY tile_id",
     "cloud_cover_summary": f"WITH {_RUNS}, {_SCENES}, {_PIXELS}, {_FRACTION} SELECT tile_id, round(avg(cloud) * 100, 4) AS mean_pct, round(min(cloud) * 100, 4) AS min_pct, round(max(cloud) * 100, 4) AS max_pct, round(median(cloud) * 100, 4) AS median_pct FROM frac JOIN runs USING (run_id) JOIN scenes USING (scene_id) WHERE status = 'F' GROUP BY tile_id",
     "monthly_cloud_fraction": f"WITH {_RUNS}, {_SCENES}, {_PIXELS}, {_FRACTION} SELECT tile_id, CAST(extract(month FROM staged_at) AS INT) AS month, round(avg(cloud), 6) AS cloud_fraction, count(*) AS n FROM frac JOIN runs USING (run_id) JOIN scenes USING (scene_id) WHERE status = 'F' GROUP BY tile_id, CAST(extract(month FROM staged_at) AS INT)",
-    "stats_mean": f"WITH {_PIXELS} SELECT run_id, lower(band) AS band, round(avg(v), 6) AS mean, count(*) AS n_pixels FROM px WHERE NOT isnan(v) GROUP BY run_id, lower(band)",
-    "stats_median": f"WITH {_PIXELS} SELECT run_id, lower(band) AS band, round(median(v), 6) AS median FROM px WHERE NOT isnan(v) GROUP BY run_id, lower(band)",
-    "stats_percentiles": f"WITH {_PIXELS} SELECT band, " + ", ".join(f"round({{percentile(v, {p / 100})|quantile_cont(v, {p / 100})}}, 4) AS p{p:03d}" for p in (0, 5, 25, 50, 75, 95, 100)) + ", round(avg(v), 4) AS mean, count(*) AS n_pixels FROM px WHERE NOT isnan(v) GROUP BY band",
     "class_fractions": f"WITH {_PIXELS} SELECT run_id, round(sum(CASE WHEN class = 'F' THEN 1 ELSE 0 END) * 1e0 / count(*), 6) AS clear_frac, round(sum(CASE WHEN class = 'O' THEN 1 ELSE 0 END) * 1e0 / count(*), 6) AS cloud_frac, count(*) AS n_pixels FROM px WHERE class IN ('F', 'O') GROUP BY run_id",
-    "stats_wide_pivot": f"WITH {_PIXELS} SELECT run_id, round(avg(CASE WHEN band = 'A' THEN v END), 6) AS a__mean, round(avg(CASE WHEN band = 'N' THEN v END), 6) AS n__mean, round(avg(CASE WHEN band = 'R' THEN v END), 6) AS r__mean FROM px GROUP BY run_id",
     "properties_timeseries": f"WITH {_RUNS}, {_SCENES}, {_PIXELS}, m AS (SELECT run_id, avg(v) AS mean_v, median(d) AS median_d FROM px GROUP BY run_id) SELECT tile_id, run_id, staged_at, round(mean_v, 6) AS mean_v, round(median_d, 6) AS median_d FROM m JOIN runs USING (run_id) JOIN scenes USING (scene_id) WHERE status = 'F'",
     "rolling_mean_centered": "SELECT event_id, event_type, CASE WHEN count(value) OVER w >= 2 THEN round(avg(value) OVER w, 6) END AS rolling FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING)",
     "status_counts": f"WITH {_RUNS} SELECT status, count(*) AS n FROM runs GROUP BY status",
@@ -36,7 +32,6 @@ SQL: dict[str, str] = {
     "pending_runs": f"WITH {_RUNS} SELECT run_id, scene_id, staged_at FROM runs WHERE status IN ('O', 'P')",
     "stale_done_runs": f"WITH {_RUNS}, h AS (SELECT *, CASE WHEN run_id % 3 = 0 THEN NULL WHEN run_id % 3 = 1 THEN 'new' ELSE 'old' END AS config_hash FROM runs) SELECT run_id, config_hash FROM h WHERE status = 'F' AND config_hash IS DISTINCT FROM 'new'",
     "reset_stale": f"WITH {_RUNS} SELECT run_id, CASE WHEN status = 'P' THEN 'O' ELSE status END AS status FROM runs",
-    "stage_dedup": f"WITH {_RUNS} SELECT c_custkey AS scene_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.scene_id = c_custkey)",
     "run_id_hash": f"WITH {_RUNS} SELECT run_id, substr({{sha2(concat(CAST(scene_id AS STRING), ':', ''), 256)|sha256(concat(CAST(scene_id AS VARCHAR), ':'))}}, 1, 16) AS run_hash FROM runs",
     "reflectance": "SELECT l_orderkey, l_linenumber, l_partkey, (l_quantity + CASE WHEN l_returnflag = 'A' THEN -1000 ELSE 0 END) / 10000 AS reflectance FROM lineitem",
     "threshold_mask": "SELECT vec_id, c, CASE WHEN NOT isnan(v) AND v > 0.06 THEN 1 ELSE 0 END AS mask FROM (SELECT r AS vec_id, c, v FROM (WITH " + _GRID + " SELECT * FROM grid) z) y",
@@ -44,17 +39,12 @@ SQL: dict[str, str] = {
     "phase_mask": "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_discount > 0.05 THEN NULL ELSE l_quantity END AS r_eff_liq, CASE WHEN l_discount < 0.05 THEN NULL ELSE l_quantity END AS r_eff_ice FROM lineitem",
     "rgb_stretch": "WITH " + _GRID + " SELECT r, c, round(least(greatest(power(greatest(least(greatest(CAST(v AS DOUBLE) * 2.5e0 + 0.1e0, 0), 1), 0), 0.8e0), 0), 1), 5) AS x FROM grid",
     "minmax_norm": "WITH " + _GRID + ", e AS (SELECT c, min(v) AS lo, max(v) AS hi FROM grid GROUP BY c) SELECT r, c, round(2 * (v - lo) / greatest(hi - lo, 1e-8) - 1, 5) AS x FROM grid JOIN e USING (c)",
-    "circular_mean_azimuth": f"WITH {_PIXELS} SELECT band, round(degrees(atan2(sum(sin(radians(d * 360))), sum(cos(radians(d * 360))))), 4) AS azimuth, count(*) AS n FROM px GROUP BY band",
     "stride_downsample": "WITH " + _GRID + " SELECT {r div 4|r // 4} AS r, {c div 4|c // 4} AS c, v FROM grid WHERE r % 4 = 0 AND c % 4 = 0",
     "box_filter": "WITH " + _GRID + ", a AS (SELECT r, c, sum(CAST(v AS DOUBLE)) OVER (PARTITION BY r ORDER BY c ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS s FROM grid) SELECT r, c, round(sum(s) OVER (PARTITION BY c ORDER BY r ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 9, 4) + 0e0 AS x FROM a",
     "dilation": "WITH " + _GRID + ", a AS (SELECT r, c, max(CASE WHEN v > 0.2 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY c ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS s FROM grid) SELECT r, c, max(s) OVER (PARTITION BY c ORDER BY r ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS x FROM a",
     "scene_mean_broadcast": f"WITH {_PIXELS} SELECT run_id, band, t, v, round(avg(v) OVER (PARTITION BY run_id, band), 6) AS mean FROM px",
-    "phase_fractions": f"WITH {_PIXELS} SELECT CAST(extract(month FROM t) AS INT) AS month, round(sum(CASE WHEN d > 0.05 THEN 1 ELSE 0 END) * 1e0 / greatest(count(*), 1), 6) AS ice_frac, round(sum(CASE WHEN d <= 0.05 THEN 1 ELSE 0 END) * 1e0 / greatest(count(*), 1), 6) AS liquid_frac FROM px GROUP BY CAST(extract(month FROM t) AS INT)",
-    "height_histogram": f"WITH {_PIXELS} SELECT band, CAST(CASE WHEN v = 15000 THEN 149 ELSE floor(v / 100) END AS INT) AS bin, count(*) AS n FROM px WHERE v >= 0 AND v <= 15000 GROUP BY band, CAST(CASE WHEN v = 15000 THEN 149 ELSE floor(v / 100) END AS INT)",
     "rotation": "SELECT vec_id, round({embedding[0]|embedding[1]} * cos(0.5) + {embedding[1]|embedding[2]} * sin(0.5), 5) AS x, round(-{embedding[0]|embedding[1]} * sin(0.5) + {embedding[1]|embedding[2]} * cos(0.5), 5) AS y FROM embeddings",
     "band_mae": f"WITH {_PIXELS} SELECT band, round(avg(abs(d - 0.05)), 6) AS mae, round(avg(power(d - 0.05, 2)), 8) AS mse FROM px GROUP BY band",
-    "window_merge_mean": "WITH " + _GRID + ", k AS (SELECT w FROM (VALUES (0), (1)) k(w)) SELECT {(c div 8)|(c // 8)} - w AS win, r, round(avg(CAST(v AS DOUBLE)), 6) AS x, count(*) AS n FROM grid JOIN k ON c >= 8 * w GROUP BY 1, 2",
-    "range_box_join": "WITH p AS (SELECT vec_id, {embedding[0]|embedding[1]} * 100.0 AS x, {embedding[1]|embedding[2]} * 100.0 AS y FROM embeddings), b AS (SELECT *, CAST(floor(x / 6) AS BIGINT) AS i, CAST(floor(y / 6) AS BIGINT) AS j FROM p), o AS (SELECT a.v AS di, b.v AS dj FROM (VALUES (-1), (0), (1)) a(v) JOIN (VALUES (-1), (0), (1)) b(v) ON true), q AS (SELECT vec_id, x, y, i + di AS i, j + dj AS j FROM b JOIN o ON true) SELECT q.vec_id AS a_id, count(*) AS n FROM q JOIN b ON q.i = b.i AND q.j = b.j WHERE abs(q.x - b.x) <= 6 AND abs(q.y - b.y) <= 6 GROUP BY q.vec_id",
 }
 
 
