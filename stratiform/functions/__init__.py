@@ -1 +1 @@
-
+"""Column expressions."""

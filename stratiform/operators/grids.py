@@ -169,3 +169,64 @@ def rotated(x: Column, y: Column, angle: float, cx: float = 0.0, cy: float = 0.0
     """Rotation about a centre, or back."""
     c, s = math.cos(angle), math.sin(-angle if inverse else angle)
     return (x - cx) * c + (y - cy) * s + cx, -(x - cx) * s + (y - cy) * c + cy
+
+
+def valid_where_seen(grid: DataFrame, digital: DataFrame, keys: list[str], height: int, width: int, scale: float) -> DataFrame:
+    """The grid with null where the nearest cell of the digital numbers (keys, r, c, v), scale cells to one, is 0."""
+    seen = digital.withColumnRenamed("v", "dn").select(*keys, "r", "c", "dn")
+    at = grid.withColumns({"__r": ((F.col("r") + 0.5) * scale).cast("int"), "__c": ((F.col("c") + 0.5) * scale).cast("int")})
+    at = at.withColumns({"__r": F.least("__r", F.lit(height - 1)), "__c": F.least("__c", F.lit(width - 1))})
+    joined = at.join(seen.withColumnRenamed("r", "__r").withColumnRenamed("c", "__c"), [*keys, "__r", "__c"], "left")
+    return joined.withColumn("v", F.when(F.col("dn") == 0, None).otherwise(F.col("v"))).drop("__r", "__c", "dn")
+
+
+def stacked(layers: DataFrame, keys: list[str], bands: tuple[str, ...]) -> DataFrame:
+    """Bands (keys, r, c, band, v) side by side, one row a cell."""
+    return layers.where(F.col("band").isin(*bands)).groupBy(*keys, "r", "c").agg(*(F.max(F.when(F.col("band") == b, F.col("v"))).alias(b) for b in bands))
+
+
+def aligned(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells of two rasters of one shape, value beside value."""
+    return left.withColumnRenamed("v", "left").join(right.select(*keys, "r", "c", F.col("v").alias("right")), [*keys, "r", "c"])
+
+
+def one_detector(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, detector) of strips in which every band sees one detector, and all bands the same one. cells: keys, band, detector."""
+    each = cells.groupBy(*keys).agg(F.min("detector").alias("detector"), F.max("detector").alias("most"))
+    return each.where("detector = most").drop("most")
+
+
+def first_steps(footprints: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, c, r): per column the first row whose detector number is one more than that of the row before."""
+    before = F.lag("v").over(W.partitionBy(*keys, "c").orderBy("r"))
+    return footprints.withColumn("__d", F.col("v") - before).where("__d = 1").groupBy(*keys, "c").agg(F.min("r").alias("r"))
+
+
+def problems(grid: DataFrame, keys: list[str], low: float, high: float, classes: tuple[int, ...] | None = None) -> DataFrame:
+    """How many cells of each raster lie outside their domain; rasters are reported, not refused."""
+    v = F.col("v")
+    bad = ~v.isin(*classes) if classes else (v < low) | (v > high)
+    return grid.groupBy(*keys).agg(F.count_if(bad & ~F.isnan(v)).alias("outside"), F.count(F.lit(1)).alias("cells"))
+
+
+def sampled(rows: DataFrame, n: int, seed: int, columns: list[str]) -> DataFrame:
+    """n rows without replacement, the same ones on every run: those with the least hashes."""
+    return rows.orderBy(F.xxhash64(*columns, F.lit(seed)), *columns).limit(n)
+
+
+def extent(tf: tuple[float, ...], height: int, width: int) -> tuple[float, float, float, float]:
+    """left, right, bottom, top of an upright raster with the affine transform (a, b, c, d, e, f)."""
+    return tf[2], tf[2] + width * tf[0], tf[5] + height * tf[4], tf[5]
+
+
+def retemplated(tf: tuple[float, ...], shape: tuple[int, int], new_shape: tuple[int, int]) -> tuple[float, ...]:
+    """The transform with which a raster of another shape fills the same box."""
+    sx, sy = shape[1] / new_shape[1], shape[0] / new_shape[0]
+    return tf[0] * sx, tf[1] * sy, tf[2], tf[3] * sx, tf[4] * sy, tf[5]
+
+
+def mesh_faces(height: int, width: int, spark) -> DataFrame:
+    """Two triangles a cell of corner numbers r * width + c."""
+    corner = spark.range((height - 1) * (width - 1)).selectExpr(f"cast(id div {width - 1} * {width} + id % {width - 1} AS bigint) AS a")
+    faces = F.array(F.array(F.col("a"), F.col("a") + 1, F.col("a") + width), F.array(F.col("a") + 1, F.col("a") + width + 1, F.col("a") + width))
+    return corner.select(F.explode(faces).alias("face"))

@@ -1 +1 @@
-
+"""Queries over the test tables, and workflows."""

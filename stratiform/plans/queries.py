@@ -497,9 +497,86 @@ def xml_metadata(spark, sf):
     return rows.select("scene", F.round(scenes.sun_angles(F.col("xml"))["sun_zenith"], 2).alias("sun_zenith"), more["product_uri"].alias("product_uri"), more["sensing_time"].cast("timestamp_ntz").alias("sensing_time"))
 
 
+@query(f"WITH {G} SELECT a.scene, a.r, a.c, CASE WHEN b.label <> 0 THEN round(a.v, 6) END AS v FROM (SELECT * FROM g WHERE r < 25 AND c < 32) a JOIN g b ON b.scene = a.scene AND b.r = least(floor((a.r + 0.5) * 2), 49) AND b.c = least(floor((a.c + 0.5) * 2), 63)")
+def scene_nodata(spark, sf):
+    g = raster(spark, sf)
+    small = g.where("r < 25 AND c < 32").select("scene", "r", "c", "v")
+    return grids.valid_where_seen(small, g.select("scene", "r", "c", F.col("label").alias("v")), ["scene"], H, WIDTH, 2.0).withColumn("v", F.round("v", 6))
+
+
+@query(f"WITH {G} SELECT a.scene, a.r // 5 AS r, a.c, round(max(a.v) FILTER (a.r % 5 = 4), 6) AS \"B04\", round(max(a.v) FILTER (a.r % 5 = 3), 6) AS \"B03\", round(max(a.v) FILTER (a.r % 5 = 2), 6) AS \"B02\" FROM g a GROUP BY a.scene, a.r // 5, a.c")
+def rgb_stack(spark, sf):
+    layers = raster(spark, sf).select("scene", (F.col("r") / 5).cast("int").alias("r"), "c", F.format_string("B%02d", F.col("r") % 5).alias("band"), F.round("v", 6).alias("v"))
+    return grids.stacked(layers, ["scene"], ("B04", "B03", "B02"))
+
+
+@query(f"WITH {G} SELECT scene, c, round(avg(CASE WHEN v > -0.2 THEN v END), 6) AS albedo FROM g GROUP BY scene, c")
+def albedo_mean(spark, sf):
+    """The mean over bands (rows here), missing values left out."""
+    v = A.missing_as_null(F.when(F.col("v") > -0.2, F.col("v")).otherwise(float("nan")))
+    return raster(spark, sf).groupBy("scene", "c").agg(F.round(F.avg(v), 6).alias("albedo"))
+
+
+@query(f"WITH {G} SELECT a.scene, a.r, a.c, round(a.v * exp(b.v), 6) AS v FROM g a JOIN g b ON a.scene = b.scene AND a.r = b.r AND b.c = 63 - a.c")
+def shading_apply(spark, sf):
+    """Clean reflectance times the transmission of the same cell in another raster."""
+    g = raster(spark, sf).select("scene", "r", "c", "v")
+    t = g.select("scene", "r", (WIDTH - 1 - F.col("c")).alias("c"), F.exp("v").alias("v"))
+    return grids.aligned(g, t, ["scene"]).select("scene", "r", "c", F.round(F.col("left") * F.col("right"), 6).alias("v"))
+
+
+@query("SELECT o_custkey AS strip, min(o_orderkey % 3) AS detector FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderkey % 3) = 1")
+def strip_detector(spark, sf):
+    cells = table(spark, sf, "orders").select(F.col("o_custkey").alias("strip"), F.col("o_orderpriority").alias("band"), (F.col("o_orderkey") % 3).alias("detector"))
+    return grids.one_detector(cells, ["strip"])
+
+
+@query(f"WITH {G} SELECT a.scene, a.c, min(a.r) AS r FROM g a JOIN g b ON a.scene = b.scene AND a.c = b.c AND b.r = a.r - 1 WHERE a.label - b.label = 1 GROUP BY a.scene, a.c")
+def detector_transitions(spark, sf):
+    return grids.first_steps(raster(spark, sf).select("scene", "r", "c", F.col("label").alias("v")), ["scene"])
+
+
+@query(f"WITH {G} SELECT scene, sum(CASE WHEN v < -0.1 OR v > 0.2 THEN 1 ELSE 0 END)::BIGINT AS outside, count(*) AS cells FROM g GROUP BY scene")
+def raster_problems(spark, sf):
+    return grids.problems(raster(spark, sf), ["scene"], -0.1, 0.2)
+
+
+@query("SELECT vec_id FROM embeddings WHERE NOT list_bool_or(list_transform(embedding, lambda x: x > 0.35))")
+def complete_scores(spark, sf):
+    """Rows without a missing score."""
+    scores = F.transform("embedding", lambda x: F.when(x > 0.35, float("nan")).otherwise(x))
+    return table(spark, sf, "embeddings").where(~F.exists(scores, F.isnan)).select("vec_id")
+
+
+@query("SELECT o_orderkey, round((500000 + o_custkey * 20 + (o_orderkey % 7) * 0.5)::DOUBLE, 6) AS x, round((4000000 + (o_orderkey % 7) * -20)::DOUBLE, 6) AS y, round(radians(abs(o_orderkey % 360 - o_custkey % 360)), 6) AS relative_azimuth FROM orders")
+def affine_coords(spark, sf):
+    tf = (20.0, 0.5, 500_000.0, 0.0, -20.0, 4_000_000.0)
+    r, c = F.col("o_orderkey") % 7, F.col("o_custkey")
+    return table(spark, sf, "orders").select("o_orderkey", F.round(A.map_x(r, c, tf), 6).alias("x"), F.round(A.map_y(r, c, tf), 6).alias("y"), F.round(A.relative_azimuth(F.col("o_orderkey") % 360, c % 360), 6).alias("relative_azimuth"))
+
+
+@query("SELECT o_custkey AS tile, arg_min(o_orderkey, (o_orderstatus <> 'F')::INT * 1e12 + epoch(o_orderdate) + o_orderkey / 1e6) AS first_run FROM orders GROUP BY o_custkey")
+def first_complete(spark, sf):
+    """The oldest complete run of each scene, or its oldest one."""
+    order = F.struct(F.col("o_orderstatus") != "F", "o_orderdate", "o_orderkey")
+    return table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("tile")).agg(F.min_by("o_orderkey", order).alias("first_run"))
+
+
+@query("SELECT extract(month FROM o_orderdate)::INT AS month, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus = 'F' GROUP BY 1")
+def scene_months(spark, sf):
+    """A lookup of months by run; pixels of runs without one are left out."""
+    months = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), F.month("o_orderdate").alias("month"))
+    return table(spark, sf, "lineitem").join(months, "l_orderkey").groupBy("month").agg(F.count(F.lit(1)).alias("n"))
+
+
 # Without an SQL form: tested against NumPy
 
 
+@query()
+def seeded_sample(spark, sf):
+    return grids.sampled(table(spark, sf, "embeddings").select("vec_id", "label"), 50, 42, ["vec_id"])
+
+
 @query()
 def farthest_point_sample(spark, sf):
     return spatial.farthest_points(clear_pixels(spark, sf), ["scene"], 20, 42)

@@ -1 +1 @@
-
+"""Tables and scene products."""

@@ -1 +1 @@
-
+"""Scenes as they arrive."""
