@@ -18,7 +18,7 @@ _RUNS = "runs AS (SELECT o_orderkey AS run_id, o_custkey AS scene_id, o_ordersta
 _SCENES = "scenes AS (SELECT c_custkey AS scene_id, n_name AS tile_id, c_acctbal AS sun_zenith FROM customer JOIN nation ON c_nationkey = n_nationkey)"
 _PIXELS = "px AS (SELECT l_orderkey AS run_id, l_returnflag AS band, l_linestatus AS class, l_extendedprice AS v, l_discount AS d, l_shipdate AS t FROM lineitem)"
 _GRID = "grid AS (SELECT vec_id AS r, c, label, v FROM (SELECT vec_id, label, {posexplode(embedding) AS (c, v)|unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS c} FROM embeddings) g)"
-_FRACTION = "frac AS (SELECT run_id, sum(CASE WHEN class = 'F' THEN 1 ELSE 0 END) * 1e0 / count(*) AS cloud FROM px WHERE class IN ('F', 'O') GROUP BY run_id)"
+_FRACTION = "frac AS (SELECT run_id, sum(CASE WHEN class = 'F' THEN 1 ELSE 0 END) * 1e0 / count(*) AS cloud FROM px WHERE class IN ('F', 'O') AND run_id IN (SELECT run_id FROM runs WHERE status = 'F') GROUP BY run_id)"
 
 SQL: dict[str, str] = {
     "tile_overview": f"WITH {_RUNS}, {_SCENES} SELECT tile_id, count(*) AS n_scenes, min(staged_at) AS first_at, max(staged_at) AS last_at, round(avg(sun_zenith), 4) AS mean_zenith FROM runs JOIN scenes USING (scene_id) WHERE status = 'F' GROUP BY tile_id",
@@ -40,8 +40,6 @@ SQL: dict[str, str] = {
     "rgb_stretch": "WITH " + _GRID + " SELECT r, c, round(least(greatest(power(greatest(least(greatest(CAST(v AS DOUBLE) * 2.5e0 + 0.1e0, 0), 1), 0), 0.8e0), 0), 1), 5) AS x FROM grid",
     "minmax_norm": "WITH " + _GRID + ", e AS (SELECT c, min(v) AS lo, max(v) AS hi FROM grid GROUP BY c) SELECT r, c, round(2 * (v - lo) / greatest(hi - lo, 1e-8) - 1, 5) AS x FROM grid JOIN e USING (c)",
     "stride_downsample": "WITH " + _GRID + " SELECT {r div 4|r // 4} AS r, {c div 4|c // 4} AS c, v FROM grid WHERE r % 4 = 0 AND c % 4 = 0",
-    "box_filter": "WITH " + _GRID + ", a AS (SELECT r, c, sum(CAST(v AS DOUBLE)) OVER (PARTITION BY r ORDER BY c ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS s FROM grid) SELECT r, c, round(sum(s) OVER (PARTITION BY c ORDER BY r ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 9, 4) + 0e0 AS x FROM a",
-    "dilation": "WITH " + _GRID + ", a AS (SELECT r, c, max(CASE WHEN v > 0.2 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY c ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS s FROM grid) SELECT r, c, max(s) OVER (PARTITION BY c ORDER BY r ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS x FROM a",
     "scene_mean_broadcast": f"WITH {_PIXELS} SELECT run_id, band, t, v, round(avg(v) OVER (PARTITION BY run_id, band), 6) AS mean FROM px",
     "rotation": "SELECT vec_id, round({embedding[0]|embedding[1]} * cos(0.5) + {embedding[1]|embedding[2]} * sin(0.5), 5) AS x, round(-{embedding[0]|embedding[1]} * sin(0.5) + {embedding[1]|embedding[2]} * cos(0.5), 5) AS y FROM embeddings",
     "band_mae": f"WITH {_PIXELS} SELECT band, round(avg(abs(d - 0.05)), 6) AS mae, round(avg(power(d - 0.05, 2)), 8) AS mse FROM px GROUP BY band",

@@ -274,6 +274,18 @@ def masked_box_mean(spark, sf):
     return grids.masked_box_mean(g, ["scene"], 4).select("scene", "r", "c", F.round("mean", 6).alias("mean"))
 
 
+@query(f"WITH {G} SELECT a.scene, a.r, a.c, round(sum(b.v) / 9, 4) + 0 AS x FROM g a JOIN g b ON a.scene = b.scene AND b.r BETWEEN a.r - 1 AND a.r + 1 AND b.c BETWEEN a.c - 1 AND a.c + 1 GROUP BY ALL")
+def box_filter(spark, sf):
+    """Mean of the square of three, zero outside the scene."""
+    return grids.box_sums(raster(spark, sf), ["scene"], ["v"], 1, 1).select("scene", "r", "c", (F.round(F.col("sum_v") / 9, 4) + 0.0).alias("x"))
+
+
+@query(f"WITH {G} SELECT a.scene, a.r, a.c, max(CASE WHEN b.v > 0.2 THEN 1 ELSE 0 END) AS v FROM g a JOIN g b ON a.scene = b.scene AND b.r BETWEEN a.r - 2 AND a.r + 2 AND b.c BETWEEN a.c - 2 AND a.c + 2 GROUP BY ALL")
+def dilation(spark, sf):
+    mask = raster(spark, sf).select("scene", "r", "c", F.when(F.col("v") > 0.2, 1).otherwise(0).alias("v"))
+    return grids.dilated(mask, ["scene"], 2)
+
+
 CLASS = "CASE WHEN v > 0.15 THEN 1 WHEN v < -0.1 THEN 3 WHEN abs(v) < 0.05 THEN 0 ELSE 2 END"
 
 
