@@ -257,12 +257,22 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
 
 
 def _cells(members: DataFrame) -> DataFrame:
-    """A bucket's members dealt by hash to blocks, each member once for every pair of blocks that its own is in."""
-    sizes = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")), "block-sizes")
-    last = (F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)) - 1).cast("int")
-    rows = members.join(sizes.select("bucket", last.alias("last")), "bucket").withColumn("block", F.pmod(F.xxhash64("c"), F.col("last") + 1).cast("int"))
-    sides = F.transform(F.sequence(F.lit(0), F.col("last")), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
-    return rows.withColumn("cell", F.explode(sides)).drop("last").withColumns({"i": F.col("cell.i"), "j": F.col("cell.j")}).drop("cell")
+    """A bucket's members dealt by hash to blocks, each member once for every block that it must be compared with.
+
+    Members of the bucket's largest component need no comparison with each other: they have blocks of their own, which meet
+    the blocks of all others only. So a large group with few strangers is shipped about once.
+    """
+    parts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
+    first = F.struct("m", "component")
+    sizes = parts.groupBy("bucket").agg(F.max_by("component", first).alias("main"), F.max("m").alias("mm"), F.max_by("s", first).alias("ms"), F.sum("m").alias("m"), F.sum("s").alias("s"))
+    blocks = lambda m, s: F.ceil(F.greatest(m / BLOCK, s / BLOCK_SHINGLES, F.lit(1.0))).cast("int")
+    sizes = sizes.select("bucket", "main", blocks(F.col("m") - F.col("mm"), F.col("s") - F.col("ms")).alias("outer"), blocks(F.col("mm"), F.col("ms")).alias("inner"))
+    rows = members.join(written(sizes, "block-sizes"), "bucket")
+    stranger, h = F.col("component") != F.col("main"), F.xxhash64("c")
+    rows = rows.withColumn("block", F.when(stranger, F.pmod(h, F.col("outer"))).otherwise(F.col("outer") + F.pmod(h, F.col("inner"))).cast("int"))
+    last = F.col("outer") - 1 + F.when(stranger, F.col("inner")).otherwise(0)
+    sides = F.transform(F.sequence(F.lit(0), last), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
+    return rows.withColumn("cell", F.explode(sides)).drop("outer", "inner", "main").withColumns({"i": F.col("cell.i"), "j": F.col("cell.j")}).drop("cell")
 
 
 def _doubtful(cell: pd.DataFrame, least: list[int], comp: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
