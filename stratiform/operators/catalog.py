@@ -61,7 +61,28 @@ def pending(runs: DataFrame, crop: str | None = None, any_crop: bool = True, for
 
 def stale(runs: DataFrame, config_hash: str) -> DataFrame:
     """Done runs made with another configuration, or with an unknown one."""
-    return runs.where((F.col("status") == "done") & ~F.col("config_hash").eqNullSafe(F.lit(config_hash)))
+    return runs.where(_outdated(config_hash))
+
+
+def _outdated(config_hash: str) -> Column:
+    return (F.col("status") == "done") & ~F.col("config_hash").eqNullSafe(F.lit(config_hash))
+
+
+def gated(runs: DataFrame, config_hash: str, gate: str = "error", force: bool = False) -> DataFrame:
+    """The runs as they are before work begins: those that were left started are staged again, and with ``overwrite`` the
+    stale ones too. With ``error`` stale runs are refused, with ``ignore`` left as they are; ``force`` asks for no gate."""
+    if gate not in ("error", "overwrite", "ignore"):
+        raise ValueError(f"no such gate: {gate!r}")
+    ready = runs.withColumn("status", F.when(F.col("status") == "started", "staged").otherwise(F.col("status")))
+    if force or gate == "ignore":
+        return ready
+    if gate == "overwrite":
+        return reset_to_staged(ready, _outdated(config_hash))
+    n = stale(runs, config_hash).count()
+    if n:
+        some = [r.run_id for r in stale(runs, config_hash).select("run_id").limit(10).collect()]
+        raise RuntimeError(f"{n} done run(s) were made with another configuration, such as {', '.join(map(str, some))}; overwrite or ignore them")
+    return ready
 
 
 def upserted(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -168,6 +189,15 @@ class Catalog:
             self.replace("runs", reset_to_staged(self.runs, which))
         return n
 
+    def to_run(self, config_hash: str, gate: str = "error", force: bool = False, scenes: DataFrame | None = None, crop: str | None = None, any_crop: bool = True) -> DataFrame:
+        """The runs to work on. Named scenes are staged if need be and pass both the gate and the choice by status."""
+        if scenes is not None:
+            self.stage(scenes)
+            named = scenes.select(run_id(F.col("scene_id"), F.col("crop_window")).alias("run_id"))
+            return self.runs.join(named, "run_id", "left_semi")
+        self.replace("runs", gated(self.runs, config_hash, gate, force))
+        return pending(self.runs, crop, any_crop, force)
+
     def count_by_status(self) -> DataFrame:
         return self.runs.groupBy("status").count()
 

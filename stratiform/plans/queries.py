@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import algebra as A
+from ..functions import noise
 from ..operators import catalog, grids, inference, spatial, stats
 from ..schema import BANDS, bands
 from ..sources import scenes
@@ -443,6 +444,12 @@ def pending_whole_scenes(spark, sf):
     return catalog.pending(runs(spark, sf), None, any_crop=False).select("run_id")
 
 
+@query("SELECT o_orderkey AS run_id, CASE o_orderstatus WHEN 'P' THEN 'failed' ELSE 'staged' END AS status, CASE WHEN o_orderstatus <> 'F' THEN 'old' END AS error FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 3 <> 1")
+def integrity_gate(spark, sf):
+    """What a run that may overwrite stale results works on."""
+    return catalog.pending(catalog.gated(runs(spark, sf), "h1", "overwrite")).select("run_id", "status", "error")
+
+
 @query("SELECT o_custkey AS pipeline, substr(sha256(string_agg(md5(o_orderkey::VARCHAR), '' ORDER BY o_orderkey)), 1, 16) AS hash FROM orders GROUP BY o_custkey")
 def pipeline_hash(spark, sf):
     steps = F.array_sort(F.collect_list(F.struct("o_orderkey", F.md5(F.col("o_orderkey").cast("string")).alias("h"))))
@@ -589,6 +596,18 @@ def seeded_sample(spark, sf):
     return grids.sampled(table(spark, sf, "embeddings").select("vec_id", "label"), 50, 42, ["vec_id"])
 
 
+@query()
+def noise_augmentation(spark, sf):
+    refl = F.transform("embedding", lambda x: F.abs(x.cast("double")))
+    out, target = noise.noisy(F.col("refl"), F.array_repeat(F.lit(1.0), 64), 42, F.col("vec_id"))
+    return table(spark, sf, "embeddings").select("vec_id", refl.alias("refl")).select("vec_id", out.alias("refl"), target.alias("target"))
+
+
+@query()
+def shading_mixture(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("bag"), F.col("o_orderkey").alias("sample"), noise.mixed_shading(F.col("o_custkey"), F.col("o_orderkey"), 50.0, 42).alias("tau"))
+
+
 @query()
 def farthest_point_sample(spark, sf):
     return spatial.farthest_points(clear_pixels(spark, sf), ["scene"], 20, 42)
