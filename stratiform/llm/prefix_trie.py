@@ -32,12 +32,11 @@ from .common import dropped, written
 EVERY, LEADS = 100, 6
 #: Turns of a conversation that are summed in one go, and ids that are joined to one string.
 STRETCH, JOINED = 4096, 4096
-_LOCAL = F.lit((1 << 33) - 1)
 
 
 def _place():
     """Which partition a row is in and how many rows it has there before it; to be written at once, never recomputed."""
-    return {"part": F.spark_partition_id(), "at": F.monotonically_increasing_id().bitwiseAND(_LOCAL)}
+    return {"part": F.spark_partition_id(), "at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
 
 
 def numbered(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
