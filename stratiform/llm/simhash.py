@@ -15,6 +15,7 @@ nulls aside; texts are read whole, in pieces; only the two named columns are rea
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -31,8 +32,9 @@ from .common import dropped, given_verdicts, written
 from .neardup import components
 
 SHINGLE, SEED, REACH = 4, 42, 4
-#: The most fingerprints that a tree is fitted on, its most leaves, and the fingerprints for which one more leaf is worth it.
-SAMPLE, LEAVES, CAPACITY = 1 << 15, 256, 2048
+#: The most fingerprints that a tree is fitted on and its most leaves. Of n fingerprints about the root of n / SPREAD leaves are
+#: made: with more, less is compared but more is moved, since a ball of radius REACH overlaps most halves of a split.
+SAMPLE, LEAVES, SPREAD = 1 << 15, 256, 64
 #: The most homes and queries of a cell, about, and pairs that are compared at once.
 HOMES, QUERIES, PAIRS = 1 << 16, 1 << 18, 1 << 21
 PIECE = 1 << 20
@@ -182,7 +184,7 @@ def links(fps: DataFrame, reach: int = REACH) -> DataFrame:
     n = fps.count()
     every = -(-n // SAMPLE) or 1
     sample = fps.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).limit(2 * SAMPLE).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    tree = fit(np.sort(sample), max(0, (min(LEAVES, -(-n // CAPACITY)) - 1).bit_length()))
+    tree = fit(np.sort(sample), max(0, (min(LEAVES, math.isqrt(n // SPREAD)) - 1).bit_length()))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

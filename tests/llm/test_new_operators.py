@@ -178,7 +178,7 @@ def test_fingerprints_and_groups(spark, monkeypatch):
         words = t.split()
         texts += [t, t.upper(), " ".join([*words[:-1], "end"]), " ".join([*words, "more"])]
     df = spark.createDataFrame([(10 + k, t, "z") for k, t in enumerate(texts)], "doc_id long, text string, fp string")
-    monkeypatch.setattr(simhash, "CAPACITY", 8)
+    monkeypatch.setattr(simhash, "SPREAD", 1)
     got = {r.doc_id: r for r in simhash.near_groups(df).collect()}
     fps = [brute_fingerprint(t) for t in texts]
     assert [int(got[10 + k].fingerprint, 16) for k in range(len(texts))] == fps
@@ -208,9 +208,9 @@ def clustered(rng: np.random.Generator, n: int) -> np.ndarray:
     return np.unique(np.concatenate([*out, dense]))
 
 
-@pytest.mark.parametrize("capacity, homes, queries", [(1 << 20, 1 << 16, 1 << 18), (64, 1 << 16, 1 << 18), (64, 20, 50)])
+@pytest.mark.parametrize("capacity, homes, queries", [(1 << 20, 1 << 16, 1 << 18), (4, 1 << 16, 1 << 18), (4, 20, 50)])
 def test_tree_finds_every_link(spark, monkeypatch, capacity, homes, queries):
-    for name, value in (("CAPACITY", capacity), ("HOMES", homes), ("QUERIES", queries)):
+    for name, value in (("SPREAD", capacity), ("HOMES", homes), ("QUERIES", queries)):
         monkeypatch.setattr(simhash, name, value)
     x = clustered(np.random.default_rng(4), 900)
     df = spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp long")
