@@ -15,11 +15,12 @@ with it; then each is entered again in the state that its predecessor left, unti
 place, from where on they agree. So the counts are those of one parse of the whole text, and memory stays bounded for texts
 of any length.
 
-Bounds, which are parameters: a sample has at most DOCS_PER_LANGUAGE labelled rows a language, taken whole, and rows of up
-to TRAIN_ROW_CHARS characters only (one longer row where a language has no other); at most LANGUAGES labels, the most
-frequent ones, are learnt.
+Bounds, which are parameters: every label is learnt; a sample has at most DOCS_PER_LANGUAGE labelled rows a language, chosen
+by hash, whole or, of rows longer than TRAIN_ROW_CHARS characters, a passage of that length at a hashed place; with so many
+labels that this would exceed SAMPLE_CHARS in all, passages are shorter in proportion.
 
-Cases: a null text, or one without a letter, is ``und`` with score 0; without labelled rows every text is; labels of
+Cases: a null text, or one without a letter, is ``und`` with score 0; of languages whose parses are equally long the first by
+name wins, with the score shared among them; without labelled rows every text is; labels of
 null are not learnt from; rows alike in id, text and label are learnt once, and rows without an id are told apart by their
 texts; repeated rows are treated alike; an empty table gives an empty result; only the named columns are read, further
 ones may have any name, and nothing but the text enters a prediction.
@@ -40,7 +41,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 BLOCK = 512
-DOCS_PER_LANGUAGE, TRAIN_ROW_CHARS, LANGUAGES = 20, 4000, 200
+DOCS_PER_LANGUAGE, TRAIN_ROW_CHARS, SAMPLE_CHARS = 20, 4000, 2_000_000
 #: Parses (blocks times languages) that advance together.
 PARSES_AT_ONCE = 1 << 14
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
@@ -271,22 +272,21 @@ def fit(rows: list[tuple[str, str]]) -> Model:
 
 
 def training_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per_language: int = DOCS_PER_LANGUAGE, row_chars: int = TRAIN_ROW_CHARS) -> list[tuple[str, str]]:
-    """(language, text) of at most docs_per_language rows of each language, chosen by hash, texts whole."""
+    """(language, text) of at most docs_per_language rows of each language, chosen by hash; passages of longer texts."""
     have = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     have = have.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    have = have.withColumns({"chars": F.length("text"), "place": F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40))})
-    usable = F.col("chars") <= row_chars
-    counts = have.groupBy("lang").agg(F.count_if(usable).alias("n"), F.min("chars").alias("least"), F.count(F.lit(1)).alias("rows"))
-    counts = counts.orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect()  # LANGUAGES rows at most
-    if not counts:
+    have = have.withColumn("place", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40)))
+    counts = have.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    labels = counts.count()
+    if not labels:
         return []
+    most = max(1, min(row_chars, SAMPLE_CHARS // (labels * docs_per_language)))
     # twice as many rows as asked for lie below each language's limit, so hardly ever too few do
-    pairs = lambda value: F.element_at(F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(value(r))))), F.col("lang"))
-    below = pairs(lambda r: (1 << 40) * min(r["n"], 2 * docs_per_language + 20) // max(r["n"], 1))
-    alone = pairs(lambda r: -1 if r["n"] else r["least"])
-    picked = have.where((usable & (F.col("place") < below)) | (F.col("chars") == alone)).dropDuplicates(["id", "text", "lang"])
-    few = F.when(alone < 0, docs_per_language).otherwise(1)
-    ranked = picked.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("place", "text"))).where(F.col("rank") <= few)
+    limit = (1 << 40) * F.least(F.lit(1.0), (2 * docs_per_language + 20) / F.col("rows"))
+    start = F.pmod(F.xxhash64("place"), F.greatest(F.char_length("text") - most + 1, F.lit(1))).cast("int")
+    picked = have.join(F.broadcast(counts), "lang").where(F.col("place") < limit)  # a row a label: the model holds one each as well
+    picked = picked.dropDuplicates(["id", "text", "lang"]).select("lang", "place", F.substring("text", start + 1, F.lit(most)).alias("text"))
+    ranked = picked.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("place", "text"))).where(F.col("rank") <= docs_per_language)
     return [(r["lang"], r["text"]) for r in ranked.select("lang", "text", "rank").orderBy("lang", "rank").collect()]
 
 
