@@ -8,7 +8,7 @@ others revisit it (WARC-Refers-To); smaller ones are all responses. Payloads are
 
 Spark's own writer and reader move the bytes, so archives can be in any store that Spark reaches; records are UTF-8, a
 record's end is the writer's line separator, and an archive is one gzip stream (Spark's writer makes no member a record). Archives hold about ARCHIVE_BYTES before compression, and never more than
-MOST_BYTES plus a page.
+MOST_BYTES plus a page; pages of more than LARGE bytes have archives of their own, so that they make no others short.
 
 Cases: a null payload is empty; a null url leaves out the header and comes back as null; control characters and spaces
 in urls are percent-encoded; a null id leaves out its field and comes back as null (it is never referred to, as ids come
@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 
 from .common import HOT_PARTS, fresh_path, written
 
-ARCHIVE_BYTES, MOST_BYTES = 64 << 20, 1 << 30
+ARCHIVE_BYTES, MOST_BYTES, LARGE = 64 << 20, 1 << 30, 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 RECORD = "record_id string, type string, concurrent_to string, refers_to string, target string, digest string, http_length long, payload binary, page_id string, block_bytes long"
 _SCHEMA = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("concurrent_to", pa.string()), ("refers_to", pa.string()), ("target", pa.string()), ("digest", pa.string()), ("http_length", pa.int64()), ("payload", pa.binary()), ("page_id", pa.string()), ("block_bytes", pa.int64())])
@@ -96,10 +96,13 @@ def write_archives(pages: DataFrame, revisit_from: int = 1000, id_col: str = "pa
         ),
         _record(F.lit("metadata"), _urn("metadata", *key), F.col("url"), [together], "application/warc-fields", F.concat(line("page-id", F.col("id").cast("string")), F.lit("fetchTimeMs: 0\r\n"))),
     )
-    sizes = keys.agg(F.avg("n").alias("mean"), F.max("n").alias("most")).first()
-    per_file = max(1, min(ARCHIVE_BYTES // (int(sizes["mean"] or 0) + 2000), MOST_BYTES // ((sizes["most"] or 0) + 2000))) * 3
-    path = fresh_path(spark, "warc")
-    rows.select(F.explode(records).alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    path, large = fresh_path(spark, "warc"), F.col("n") > LARGE
+    for group in keys.groupBy(large.alias("large")).agg(F.avg("n").alias("mean"), F.max("n").alias("most")).collect():  # two rows at most
+        per_file = max(1, min(ARCHIVE_BYTES // (int(group["mean"]) + 2000), MOST_BYTES // (group["most"] + 2000))) * 3
+        some = rows.where(large if group["large"] else ~large).select(F.explode(records).alias("value"))
+        some.write.mode("append").option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    if keys.isEmpty():
+        rows.select(F.explode(records).alias("value")).write.option("compression", "gzip").text(path)
     return path
 
 
