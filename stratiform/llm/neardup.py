@@ -36,8 +36,9 @@ SHINGLE, BANDS, ROWS, SMALL = 5, 40, 8, 8
 #: A pair at the threshold escapes all bands with a chance of at most this; rows_for() makes bands short enough.
 ESCAPE = 1e-5
 BATCH, MISS = 32, 1e-7
-#: Members of a large bucket are compared in blocks of about so many, and of about so many shingles.
-BLOCK, BLOCK_SHINGLES = 256, 1 << 20
+#: Members of a large bucket are compared in blocks: sketches in blocks of about so many, of a few hundred bytes each; full
+#: texts in blocks of about so many, and of about so many bytes.
+SKETCH_BLOCK, BLOCK, BLOCK_BYTES = 1024, 256, 4 << 20
 #: Words whose hashes a worker remembers.
 KNOWN_WORDS = 200_000
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -124,23 +125,24 @@ def likely(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
-    """(id, text_key, key, n, sig, bands, row): a sketch of every row; ``row`` numbers the rows of this run."""
+    """(id, text_key, key, n, bytes, sig, bands, row): a sketch of every row; ``row`` numbers the rows of this run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, counts, sigs, bands = [], [], [], []
+            keys, counts, sizes, sigs, bands = [], [], [], [], []
             for x in batch.column(2).cast(pa.binary()):
                 words = words_of(x.as_py())
                 h = shingles(words)
                 sig = signature(h, rows)
                 keys.append(hashlib.sha256(b" ".join(words)).digest())
                 counts.append(len(h))
+                sizes.append(len(x.as_py() or b""))
                 sigs.append(sig.astype(np.uint8).tobytes() if len(h) else None)
                 bands.append(band_keys(sig) if len(h) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=names)
 
-    names = ["id", "text_key", "key", "n", "sig", "bands"]
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T._parse_datatype_string("text_key binary, key binary, n long, sig binary, bands array<long>").fields])
+    names = ["id", "text_key", "key", "n", "bytes", "sig", "bands"]
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T._parse_datatype_string("text_key binary, key binary, n long, bytes long, sig binary, bands array<long>").fields])
     return _texts(docs, id_col, text_col).select("id", "text_key", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
 
 
@@ -219,8 +221,8 @@ def _classed(docs: DataFrame, percent: int, id_col: str, text_col: str) -> tuple
     rows = written(_sketches(docs, id_col, text_col, rows_for(percent)), "sketches")
     texts = _texts(docs, id_col, text_col)
     classes = written(rows.groupBy("key").agg(F.min("id").alias("least"), F.min("row").alias("c"), F.count(F.lit(1)).alias("m")), "classes")
-    reps = written(rows.where("n > 0").join(classes.select(F.col("c").alias("row")), "row", "left_semi").select(F.col("row").alias("c"), "sig", "bands", "n"), "representatives")
-    exploded = reps.select("c", "n", F.posexplode("bands").alias("band", "bucket"))
+    reps = written(rows.where("n > 0").join(classes.select(F.col("c").alias("row")), "row", "left_semi").select(F.col("row").alias("c"), "sig", "bands", "bytes"), "representatives")
+    exploded = reps.select("c", "bytes", F.posexplode("bands").alias("band", "bucket"))
     # Counts are aggregated before the shuffle and written, so that the joins with them may be split at hot buckets.
     sizes = written(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "bucket-sizes")
     buckets = written(exploded.join(sizes, "bucket"), "buckets")
@@ -234,7 +236,7 @@ def _classed(docs: DataFrame, percent: int, id_col: str, text_col: str) -> tuple
     pairs = small.unionByName(stars).dropDuplicates()
     links = _verified(pairs, reps.select("c", "sig"), rows, texts, percent)
     labels = components(links)
-    labelled = large.join(labels.withColumnRenamed("id", "c"), "c", "left").select("bucket", "band", "c", "n", F.coalesce("component", "c").alias("component"))
+    labelled = large.join(labels.withColumnRenamed("id", "c"), "c", "left").select("bucket", "band", "c", "bytes", F.coalesce("component", "c").alias("component"))
     apart = written(labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket"), "apart")
     rest = written(labelled.join(apart, "bucket"), "unresolved")
     if not rest.isEmpty():
@@ -256,16 +258,16 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 
 
-def _cells(members: DataFrame) -> DataFrame:
+def _cells(members: DataFrame, most: int, most_bytes: int | None = None) -> DataFrame:
     """A bucket's members dealt by hash to blocks, each member once for every block that it must be compared with.
 
     Members of the bucket's largest component need no comparison with each other: they have blocks of their own, which meet
     the blocks of all others only. So a large group with few strangers is shipped about once.
     """
-    parts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
+    parts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes" if most_bytes else F.lit(0)).alias("s"))
     first = F.struct("m", "component")
     sizes = parts.groupBy("bucket").agg(F.max_by("component", first).alias("main"), F.max("m").alias("mm"), F.max_by("s", first).alias("ms"), F.sum("m").alias("m"), F.sum("s").alias("s"))
-    blocks = lambda m, s: F.ceil(F.greatest(m / BLOCK, s / BLOCK_SHINGLES, F.lit(1.0))).cast("int")
+    blocks = lambda m, s: F.ceil(F.greatest(m / most, s / (most_bytes or 1), F.lit(1.0))).cast("int")
     sizes = sizes.select("bucket", "main", blocks(F.col("m") - F.col("mm"), F.col("s") - F.col("ms")).alias("outer"), blocks(F.col("mm"), F.col("ms")).alias("inner"))
     rows = members.join(written(sizes, "block-sizes"), "bucket")
     stranger, h = F.col("component") != F.col("main"), F.xxhash64("c")
@@ -298,7 +300,7 @@ def _doubtful(cell: pd.DataFrame, least: list[int], comp: np.ndarray) -> Iterato
 def _within(rest: DataFrame, reps: DataFrame, rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links between members of one bucket that are still in different components, block by block.
 
-    No task sees more than two blocks at a time. Texts are fetched only for members that the signatures leave in doubt.
+    No task sees more than two blocks at a time, whose bytes are bounded. Texts are fetched only for members that the signatures leave in doubt.
     """
     least = least_matches(percent / 100, rows=rows_for(percent))
     sketches = reps.select("c", "sig", "bands")
@@ -325,11 +327,11 @@ def _within(rest: DataFrame, reps: DataFrame, rows: DataFrame, texts: DataFrame,
                     comp[comp == comp[y]] = comp[x]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    cells = _cells(rest).join(sketches, "c")
+    cells = _cells(rest, SKETCH_BLOCK).join(sketches, "c")
     doubt = written(cells.groupBy("bucket", "i", "j").applyInPandas(in_doubt, "bucket long, c long").dropDuplicates(), "in-doubt")
     members = written(rest.join(doubt, ["bucket", "c"], "left_semi"), "doubtful-members")
     wanted = _texts_of(doubt.select("c"), rows, texts)
-    cells = _cells(members).join(sketches, "c").join(wanted, "c")
+    cells = _cells(members, BLOCK, BLOCK_BYTES).join(sketches, "c").join(wanted, "c")
     return cells.groupBy("bucket", "i", "j").applyInPandas(linked, "a long, b long")
 
 
