@@ -1,14 +1,14 @@
-"""URL filters: domain rules first, then logistic regression on hashed character n-grams of host and path.
+"""URL filters: domain rules first, then logistic regression on hashed character n-grams of host and path, which have norms of their own.
 
 The model is fitted on the driver from a small labelled table of urls, given as a DataFrame, of which at most
-MAX_TRAIN_ROWS rows are used (the documented bound); its 2**HASH_BITS weights, 512 KB, go to the executors with the function
+MAX_TRAIN_ROWS rows are used (the documented bound); its 2 * 2**HASH_BITS weights, 1 MB, go to the executors with the function
 that scores. N-grams of 3 to 5 bytes are hashed for a whole Arrow batch at once. Classes are balanced while fitting and
 the bias is then moved to ``PRIOR``, the share of unwanted urls expected, so that names of no known kind are allowed. Where
 no labelled table is at hand, ``seed_urls`` makes one by rule from general vocabulary.
 
 Cases: null urls and urls without ``://`` have an empty host and path, no n-grams and so the model's prior; urls of any
 length are judged whole; repeated rows are judged alike; an empty table gives an empty result. Only the url column is
-read, and the judgement's columns are added to the named ones.
+read, and the judgement's columns are added to the named ones. Of rules of equal length that fit, a blocking one wins.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import lower_ascii
 
 HASH_BITS, SIZES = 16, (3, 4, 5)
-MAX_TRAIN_ROWS, PRIOR = 20_000, 0.2
+MAX_TRAIN_ROWS, PRIOR, HOST_SHARE = 20_000, 0.35, 0.15
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,10 @@ UNWANTED_WORDS = (
     "payday", "loans", "credit", "forex", "crypto", "giveaway", "prizes", "porn", "xxx", "adult", "sex", "escort", "webcam", "dating", "nude", "malware", "warez", "crack", "keygen",
     "torrent", "serials", "phishing", "spam", "popup", "clickbait", "adserver", "banner", "tracker", "affiliate", "replica", "knockoff", "followers", "backlinks", "seo", "slimming",
 )
-PITCHES = ("best", "best-", "my", "get-", "buy-", "online-", "-online", "-now", "4u", "-deals", "-bonus", "-vip", "-club", "-shop", "zone", "-24", "hub", "land")
+PITCHES = (
+    "best", "best-", "my", "get-", "buy-", "online-", "-now", "4u", "-deals", "-bonus", "-vip", "zone", "-24", "hub", "hot-", "mega-", "royal-", "lucky-", "super-", "vip-", "-cash", "-365", "-offers",
+    "-discount", "-jackpots", "-rewards", "top-", "-shop", "-club",
+)
 ORDINARY_WORDS = (
     "library", "university", "research", "news", "council", "museum", "cooking", "recipes", "garden", "wiki", "docs", "science", "history", "weather", "travel", "books", "journal",
     "school", "health", "music", "photo", "football", "architecture", "astronomy", "biology", "chess", "hiking", "railway", "theatre", "village", "workshop", "bakery", "river", "mountain",
@@ -54,9 +57,12 @@ ORDINARY_WORDS = (
     "hardware", "software", "network", "database", "compiler", "kernel", "browser", "terminal", "printer", "camera", "telescope", "microscope", "thermometer", "calendar", "almanac",
 )
 SETTINGS = ("the", "the-", "our", "old-", "new-", "city-", "-city", "-online", "-today", "s", "-guide", "-review", "-club", "-shop", "house", "-2020", "lab", "land")
-UNWANTED_PATHS = ("", "/", "/bonus", "/signup", "/join-now", "/buy/now", "/offer?id=1", "/promo", "/go/click", "/live", "/free", "/about", "/blog/2019/05/tips", "/index.html", "/item/7", "/page/3")
-ORDINARY_PATHS = ("", "/", "/about", "/contact", "/blog/2019/05/walk", "/docs/index.html", "/article/12", "/page/3", "/item/7", "/index.html", "/en/home", "/de/artikel", "/fr/accueil", "/es/inicio", "/map", "/search?q=a")
-PREFIXES, SUFFIXES = ("", "www.", "m.", "blog."), (".com", ".net", ".org", ".info", ".example", ".co.uk")
+#: Paths, drawn alike for both labels: what a path says of a site's kind is for the labelled table to tell, not for this rule.
+PATHS = (
+    "", "/", "/about", "/contact", "/blog/2019/05/walk", "/docs/index.html", "/article/12", "/page/3", "/item/7", "/index.html", "/en/home", "/de/artikel", "/fr/accueil", "/es/inicio", "/map",
+    "/signup", "/join-now", "/buy/now", "/offer", "/promo", "/go/click", "/live", "/free", "/en/4711", "/de/815", "/fr/60", "/es/19", "/a/b/c", "/img/logo.png", "/user/profile", "/tag/new",
+)
+PREFIXES, SUFFIXES = ("", "www.", "m.", "blog."), (".com", ".net", ".org", ".info", ".co.uk", ".wordpress.com", ".github.io", ".blogspot.com", ".web.app", ".sites.org", ".hosting.net")
 
 
 def _named(word: str, affix: str) -> str:
@@ -65,16 +71,17 @@ def _named(word: str, affix: str) -> str:
 
 
 def seed_urls(without: tuple[str, ...] = ()) -> list[tuple[str, int]]:
-    """A labelled table by rule: each word alone and with each affix, in turn under prefixes, domains and paths; 1 is unwanted.
+    """A labelled table by rule: each word alone and with each affix, in turn under prefixes, domains and two paths; 1 is unwanted.
 
     Words of ``without`` are left out, so that a model can be tried on kinds of names that it never saw.
     """
     rows = []
-    for label, words, affixes, paths in ((1, UNWANTED_WORDS, PITCHES, UNWANTED_PATHS), (0, ORDINARY_WORDS, SETTINGS, ORDINARY_PATHS)):
+    for label, words, affixes in ((1, UNWANTED_WORDS, PITCHES), (0, ORDINARY_WORDS, SETTINGS)):
         for i, word in enumerate(words):
             if word not in without:
                 for k, name in enumerate([word, *(_named(word, a) for a in affixes)]):
-                    rows.append((f"https://{PREFIXES[(i + k) % 4]}{name}{SUFFIXES[(i + 5 * k) % 6]}{paths[(i + 3 * k) % len(paths)]}", label))
+                    host = f"https://{PREFIXES[(i + k) % 4]}{name}{SUFFIXES[(i + 5 * k) % len(SUFFIXES)]}"
+                    rows += [(host + PATHS[(7 * i + 3 * k + 11 * j) % len(PATHS)], label) for j in range(2)]
     return rows
 
 
@@ -133,45 +140,63 @@ def features(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(cols)
 
 
-def _parts(hosts: list[str | None], paths: list[str | None]) -> list[bytes]:
+def _parts(hosts: list[str | None], paths: list[str | None]) -> tuple[list[bytes], list[bytes]]:
+    """Hosts between marks, and paths; both empty where there is nothing."""
     clean = lambda x: (x or "").encode("utf-8", "replace").replace(b"\x00", b"\x01")
-    return [b"^" + h + b"$" + p if h or p else b"" for h, p in ((clean(h), clean(p)) for h, p in zip(hosts, paths, strict=True))]
+    return [b"^" + h + b"$" if h else b"" for h in map(clean, hosts)], list(map(clean, paths))
+
+
+def _shares(row: np.ndarray, n: int, is_path: bool) -> np.ndarray:
+    """What each n-gram counts. In a host all count alike, since a telling word tells as much in a long name; paths, which may
+    be of any length, are normed by the root of their number of n-grams."""
+    if not is_path:
+        return np.full(len(row), HOST_SHARE)
+    return (1 / np.sqrt(np.maximum(np.bincount(row, minlength=n), 1)))[row]
+
+
+def _total(parts: list[bytes], weights: np.ndarray, is_path: bool) -> np.ndarray:
+    row, col = features(parts)
+    return np.bincount(row, weights[col] * _shares(row, len(parts), is_path), minlength=len(parts))
 
 
 @dataclass(frozen=True)
 class UrlModel:
-    weights: np.ndarray
+    """Host and path have weights and norms of their own, so that a long path does not drown a telling host."""
+
+    host: np.ndarray
+    path: np.ndarray
     bias: float
 
     def scores(self, hosts: list[str | None], paths: list[str | None]) -> np.ndarray:
         """The probability that each url is unwanted."""
-        parts = _parts(hosts, paths)
-        if not parts:
+        if not len(hosts):
             return np.zeros(0)
-        row, col = features(parts)
-        n = np.bincount(row, minlength=len(parts))
-        total = np.bincount(row, self.weights[col], minlength=len(parts))
-        return 1 / (1 + np.exp(-np.clip(self.bias + total / np.sqrt(np.maximum(n, 1)), -30, 30)))
+        h, p = _parts(hosts, paths)
+        return 1 / (1 + np.exp(-np.clip(self.bias + _total(h, self.host, False) + _total(p, self.path, True), -30, 30)))
 
 
-def fit(rows: list[tuple[str, int]], steps: int = 600, rate: float = 4.0, penalty: float = 1e-5) -> UrlModel:
+def fit(rows: list[tuple[str, int]], steps: int = 600, rate: float = 8.0, penalty: float = 1e-5) -> UrlModel:
     """Logistic regression by gradient descent with momentum, over rows (url, 1 for unwanted) in a fixed order."""
     if len({label for _, label in rows}) < 2:  # nothing to tell apart: every score is the prior
-        return UrlModel(np.zeros(1 << HASH_BITS), float(np.log(PRIOR / (1 - PRIOR))))
-    rows = sorted(rows)[:MAX_TRAIN_ROWS]
+        return UrlModel(np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS), float(np.log(PRIOR / (1 - PRIOR))))
+    rows = sorted(rows)
     hosts, paths = zip(*(split_url(u) for u, _ in rows), strict=True)
     y = np.array([label for _, label in rows], float)
-    row, col = features(_parts(list(hosts), list(paths)))
-    value = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(rows)), 1))[row]
+    sides = []
+    for k, part in enumerate(_parts(list(hosts), list(paths))):
+        row, col = features(part)
+        sides.append((row, col + (k << HASH_BITS), _shares(row, len(rows), k == 1)))
+    row, col, value = (np.concatenate(x) for x in zip(*sides, strict=True))
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    w, b, v, vb = np.zeros(1 << HASH_BITS), 0.0, np.zeros(1 << HASH_BITS), 0.0
+    size = 2 << HASH_BITS
+    w, b, v, vb = np.zeros(size), 0.0, np.zeros(size), 0.0
     for _ in range(steps):
         p = 1 / (1 + np.exp(-(np.bincount(row, w[col] * value, minlength=len(y)) + b)))
         e = balance * (p - y) / len(y)
-        v = 0.9 * v - rate * (np.bincount(col, e[row] * value, minlength=len(w)) + penalty * w)
+        v = 0.9 * v - rate * (np.bincount(col, e[row] * value, minlength=size) + penalty * w)
         vb = 0.9 * vb - rate * e.sum()
         w, b = w + v, b + vb
-    return UrlModel(w, b + float(np.log(PRIOR / (1 - PRIOR))))
+    return UrlModel(w[: 1 << HASH_BITS], w[1 << HASH_BITS :], b + float(np.log(PRIOR / (1 - PRIOR))))
 
 
 def training_rows(labelled: DataFrame, url_col: str = "url", label_col: str = "label", seed: int = 1) -> list[tuple[str, int]]:

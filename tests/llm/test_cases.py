@@ -2,7 +2,10 @@
 
 import hashlib
 import math
+import os
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -43,6 +46,26 @@ def test_url_model_on_kinds_it_never_saw():
     assert np.mean(recalls) > 0.75 and np.mean(false) < 0.02
 
 
+def test_url_model_on_names_and_paths_it_never_saw():
+    """A path says nothing by itself, long ones included, and drowns no host."""
+    out = ("casino", "pills", "crypto", "river", "algebra", "bakery")
+    model = url_filter.fit(url_filter.seed_urls(out))
+    held = [(url_filter.split_url(u)[0], y) for u, y in url_filter.seed_urls() if any(w in u for w in out)]
+    y = np.array([y for _, y in held])
+    for path in ("/zz/9183/unseen", "/quarterly/" + "x1y2/" * 60, "/en/5462"):
+        flagged = model.scores([h for h, _ in held], [path] * len(held)) >= 0.5
+        assert flagged[y == 1].mean() > 0.7 and flagged[y == 0].mean() < 0.02
+    whole = url_filter.fit(url_filter.seed_urls())
+    assert (whole.scores(["www.casino.com"] * 3, ["/", "/en/5462", "/a" * 5000]) > 0.5).all()
+    assert (whole.scores(["www.library.example.org"] * 3, ["/", "/en/5462", "/bonus"]) < 0.5).all()
+
+
+def test_all_labelled_rows_given_to_fit_are_used():
+    rows = [(f"https://a{k:05d}.org/", 0) for k in range(300)] + [(f"https://zzz{k:05d}.com/", 1) for k in range(300)]
+    model = url_filter.fit(rows, steps=50)
+    assert model.scores(["zzz99999.com"], ["/"])[0] > 0.5 > model.scores(["a99999.org"], ["/"])[0]
+
+
 def test_url_columns_against_plain_python(spark):
     urls = [None, "", "x", "://", "http://", "http://A.Net", "http://b.ORG/fr/x?y#z", "https://example.net/en/1", "https://q.example.net/de/1", "http://xexample.com/de/", "http://a.example.com/de/?", "ftp://u@h:8/p", "http://é.com/ü", "http://net", "http://a/?://b", "http://n.net/" + "p" * 100_000]
     rows = [(i, u) for i, u in enumerate(urls)] * 2
@@ -286,6 +309,18 @@ def test_near_groups_of_odd_rows(spark):
 # WARC, tokens, quality
 
 
+def test_one_large_page_makes_no_short_archives(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE", 5000)
+    monkeypatch.setattr(warc, "MOST_BYTES", 300_000)
+    pages = [(k, f"http://h/{k}", f"{k} " * 400) for k in range(60)] + [(99, "http://h/big", "b" * 250_000), (100, "http://h/big2", "c" * 250_000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    path = warc.write_archives(df)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path").count()
+    assert files <= 4
+    got = {r.page_id: r.payload_bytes for r in warc.archived(df).collect()}
+    assert len(got) == 62 and got[99] == 250_000
+
+
 def test_warc_with_clashing_columns_and_hot_payload(spark):
     hot = "h" * 1200
     pages = [(i, f"http://a/{i}", hot) for i in range(40)] + [(100, "http://b", "c" * 1500), (101, "http://b", "c" * 1500), (102, None, None)]
@@ -350,3 +385,30 @@ def test_pipeline_against_plain_python(spark, tmp_path):
     assert Counter(r.doc_id for r in out) == +copies
     assert all((r.ids is None and texts[r.doc_id] is None) or (tokens.decode(r.ids) == texts[r.doc_id] and r.n_tokens == len(r.ids)) for r in out)
     assert all(hashlib.sha256(tokens.decode(r.ids or []).encode()).digest() for r in out)
+
+
+def test_every_label_and_long_texts_are_learnt(spark):
+    """250 labels, and a language that has only texts longer than a row of the sample."""
+    word = lambda k, n: "".join(chr(97 + (k * 31 + n * 17 + i * (k + 3)) % 26) for i in range(6))
+    rows = [(1000 * k + d, " ".join(word(k, (n + d) % 40) for n in range(60)), f"l{k:03d}") for k in range(250) for d in range(3)]
+    rows += [(900_000 + d, " ".join(f"lang{n % 50}uage" for n in range(3000)), "long") for d in range(3)]
+    picked = langid.training_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    assert {lang for lang, _ in picked} == {f"l{k:03d}" for k in range(250)} | {"long"}
+    assert sum(len(t) for _, t in picked) <= langid.SAMPLE_CHARS
+    few = [r for r in rows if r[2] in ("l001", "l002", "long")]
+    picked = langid.training_rows(spark.createDataFrame(few, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    assert max(len(t) for lang, t in picked if lang == "long") == langid.TRAIN_ROW_CHARS
+
+
+def test_without_a_checkpoint_folder(tmp_path):
+    """In a session of one process that names no shared folder, corpus operators make their own."""
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from stratiform.llm import exactdup, common\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '1').getOrCreate()\n"
+        "assert spark.sparkContext.getConf().get('spark.checkpoint.dir') is None\n"
+        "print('ROWS', exactdup.exact_groups(spark.createDataFrame([(1, 'a')], 'doc_id long, text string')).count(), common.shared_folder(spark) == common.shared_folder(spark))\n"
+    )
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path)}
+    out = subprocess.run([sys.executable, "-c", code], env=env, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), capture_output=True, text=True, timeout=300)
+    assert "ROWS 1 True" in out.stdout, out.stderr[-2000:]
