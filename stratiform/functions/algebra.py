@@ -89,23 +89,37 @@ def relative_azimuth(sun: Column, view: Column) -> Column:
 
 
 def detector_sign(detector: Column) -> Column:
+    """+1 for even detectors and where there is none (0), -1 for odd ones."""
     return F.when(F.pmod(detector, F.lit(2)) == 0, 1).otherwise(-1)
 
 
-def cyclic(name: str, angle: Column) -> list[Column]:
-    return [F.nanvl(F.sin(angle), F.lit(0.0)).alias(f"sin_{name}"), F.nanvl(F.cos(angle), F.lit(0.0)).alias(f"cos_{name}")]
-
-
-def features(latitude: Column, longitude: Column, azimuth: Column, wind_direction: Column, day_of_year: Column, sun_zenith: Column, view_zenith: Column, wind_speed: Column, bathymetry: Column, detector: Column) -> list[Column]:
-    """The fifteen inputs of the albedo model; what is missing becomes 0."""
+def features(latitude: Column, longitude: Column, sun_zenith: Column, view_zenith: Column, sun_azimuth: Column, view_azimuth: Column, wind_speed: Column, wind_direction: Column, bathymetry: Column, day_of_year: Column, detector: Column | None = None) -> list[Column]:
+    """The fifteen inputs of the albedo model, in the order in which it was trained; what is missing becomes 0."""
     zero = lambda c: F.coalesce(F.nanvl(c.cast("double"), F.lit(0.0)), F.lit(0.0))
+    sine = lambda name, angle: [zero(F.sin(angle)).alias(f"sin_{name}"), zero(F.cos(angle)).alias(f"cos_{name}")]
+    cosine = lambda name, degrees: zero(F.cos(F.radians(degrees))).alias(f"cos_{name}")
+    depth = F.when(bathymetry.isNotNull(), F.greatest(-bathymetry.cast("double"), F.lit(1.0)))
     return [
-        *cyclic("lat", F.radians(latitude)), *cyclic("lon", F.radians(longitude)), *cyclic("azimuth", F.radians(azimuth)), *cyclic("wind", F.radians(wind_direction)), *cyclic("day", 2 * math.pi * day_of_year / 365.25),
-        zero(sun_zenith).alias("sun_zenith"), zero(view_zenith).alias("view_zenith"), zero(wind_speed).alias("wind_speed"), zero(F.log10(F.greatest(-bathymetry, F.lit(1.0)))).alias("log_depth"),
-        zero(F.pmod(detector, F.lit(2))).alias("detector_parity"),
+        *sine("lat", F.radians(latitude)), *sine("lon", F.radians(longitude)), cosine("sun_zenith", sun_zenith), cosine("view_zenith", view_zenith),
+        *sine("relative_azimuth", F.radians(sun_azimuth - view_azimuth)), zero(wind_speed).alias("wind_speed"), *sine("wind_direction", F.radians(wind_direction)),
+        zero(F.log10(depth)).alias("log_depth"), *sine("day", 2 * math.pi * day_of_year / 365.25), zero(F.pmod(F.lit(0) if detector is None else detector, F.lit(2))).alias("detector_parity"),
     ]
 
 
+def height_normalised(height: Column, offset: float) -> Column:
+    """Heights in kilometres above an offset."""
+    return (height - F.lit(offset)) / 1000
+
+
+def inversion_features(reflectances: list[Column], albedos: list[Column], sun_zenith: Column, view_zenith: Column, sun_azimuth: Column, view_azimuth: Column, height: Column, offset: float = 0.0) -> Column:
+    """The inversion model's inputs as one array: reflectances, albedos, cosines of both zeniths, relative azimuth as sine and cosine,
+    and the normalised height; null where any is missing."""
+    azimuth = F.radians(sun_azimuth - view_azimuth)
+    geometry = [F.cos(F.radians(sun_zenith)), F.cos(F.radians(view_zenith)), F.sin(azimuth), F.cos(azimuth), height_normalised(height, offset)]
+    every = [c.cast("double") for c in (*reflectances, *albedos, *geometry)]
+    return F.when(functools.reduce(operator.and_, map(finite, every)), F.array(*every))
+
+
 def norms(v: Column) -> dict[str, Column]:
     """Scores of an uncertainty vector."""
     magnitude = F.transform(v, lambda x: F.abs(x.cast("double")))

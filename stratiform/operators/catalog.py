@@ -1,14 +1,18 @@
 """The run catalog as Parquet tables: staging, status, metadata and statistics.
 
-Parquet has no MERGE, so a change writes the whole table as a new version and then moves the pointer file ``CURRENT`` to it:
-readers see the old table or the new one. There is one writer, the driver. Each change is a DataFrame function of its own
-(``staged``, ``with_status``, ``upserted``, ``evolved``...), so it can be tried, joined and explained without a catalog.
+Parquet has no MERGE, so a change writes the whole table beside the old one and then claims the next number: a small file
+``<number>.version`` that names the new folder and is renamed into place but never over another. The highest number holds, so
+readers see the old table or the new one, whatever breaks off in between, and of two writers that began from one version the
+second finds its number taken and begins anew from the other's result. The KEPT last versions stay for readers that are
+still at them. Each change is a DataFrame function of its own (``staged``, ``with_status``, ``upserted``, ``evolved``...), so
+it can be tried, joined and explained without a catalog.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +20,8 @@ from pyspark.sql import Window as W
 
 RUNS = "run_id string, scene_id string, scene_path string, crop_window string, status string, staged_at timestamp, started_at timestamp, completed_at timestamp, config_hash string, error string, footprint binary"
 SCENES = "scene_id string, product_uri string, satellite string, tile_id string, orbit int, sensing_time timestamp, crs string, sun_zenith double, sun_azimuth double, cloud_fraction double, footprint binary"
+#: Versions of a table that stay, the newest included.
+KEPT = 3
 _NAME = re.compile(r"[a-z][a-z0-9_]*")
 
 
@@ -118,35 +124,80 @@ class Catalog:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _pointer(self, name: str):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{checked_name(name)}/CURRENT")
+    def _path(self, name: str, rest: str = ""):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{checked_name(name)}{rest}")
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _versions(self, name: str) -> list[int]:
+        """The numbers that were claimed, in order."""
+        path, fs = self._path(name)
+        names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(int(n.removesuffix(".version")) for n in names if n.endswith(".version"))
+
+    def _data(self, name: str, version: int) -> str:
+        path, fs = self._path(name, f"/{version:012d}.version")
+        stream = fs.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
     def exists(self, name: str) -> bool:
-        path, fs = self._pointer(name)
-        return fs.exists(path)
+        return bool(self._versions(name))
 
-    def table(self, name: str, schema: str | None = None) -> DataFrame:
-        if not self.exists(name):
+    def table(self, name: str, schema: str | None = None, version: int | None = None) -> DataFrame:
+        versions = self._versions(name)
+        if not versions:
             if schema is None:
                 raise ValueError(f"no table {name!r}")
             return self.spark.createDataFrame([], schema)
-        version = self.spark.read.text(f"{self.folder}/{name}/CURRENT").first()[0]
-        return self.spark.read.parquet(f"{self.folder}/{name}/{version}")
+        return self.spark.read.parquet(f"{self.folder}/{name}/{self._data(name, version or versions[-1])}")
+
+    def _claim(self, name: str, version: int, data: str) -> bool:
+        """Whether the number was still free. The file is written under a name of its own and renamed, which never replaces."""
+        target, fs = self._path(name, f"/{version:012d}.version")
+        draft, _ = self._path(name, f"/{data}.draft")
+        out = fs.create(draft, False)
+        out.write(bytearray(data.encode()))
+        out.close()
+        context, jvm = self.spark.sparkContext, self.spark.sparkContext._jvm
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), context._jsc.hadoopConfiguration())
+        never = context._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            files.rename(draft, target, never)
+        except Exception as e:
+            fs.delete(draft, False)
+            if "FileAlreadyExists" in str(e):  # another writer was faster
+                return False
+            raise
+        return True
+
+    def change(self, name: str, how: Callable[[DataFrame | None], DataFrame | None], schema: str | None = None) -> None:
+        """Replaces a table by how(table), again from the newest version if another writer was faster; None changes nothing."""
+        while True:
+            versions = self._versions(name)
+            before = self.table(name, schema) if versions or schema else None
+            rows = how(before)
+            if rows is None:
+                return
+            data = f"v-{uuid.uuid4().hex}"
+            rows.write.parquet(f"{self.folder}/{checked_name(name)}/{data}")
+            if self._claim(name, versions[-1] + 1 if versions else 1, data):
+                for old in versions[: 1 - KEPT]:
+                    self._forget(name, old)
+                return
+            self._delete(name, data)
+
+    def _delete(self, name: str, data: str) -> None:
+        path, fs = self._path(name, f"/{data}")
+        fs.delete(path, True)
+
+    def _forget(self, name: str, version: int) -> None:
+        self._delete(name, self._data(name, version))
+        self._delete(name, f"{version:012d}.version")
 
     def replace(self, name: str, rows: DataFrame) -> None:
-        """A new version beside the one being read, then the pointer by a rename, then the old pointer's name."""
-        version = f"v-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.folder}/{checked_name(name)}/{version}")
-        path, fs = self._pointer(name)
-        draft = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.toString()}-{version}")
-        out = fs.create(draft, True)
-        out.write(bytearray(version.encode()))
-        out.close()
-        if fs.exists(path):
-            fs.delete(path, False)
-        fs.rename(draft, path)
+        self.change(name, lambda _: rows)
 
     @property
     def runs(self) -> DataFrame:
@@ -156,38 +207,50 @@ class Catalog:
     def scenes(self) -> DataFrame:
         return self.table("scene_metadata", SCENES)
 
+    def _change_runs(self, how: Callable[[DataFrame], DataFrame | None]) -> None:
+        self.change("runs", how, RUNS)
+
     def stage(self, scenes: DataFrame) -> int:
         """Adds runs that are not there yet; returns how many."""
-        runs = self.runs
-        new = staged(runs, scenes, F.current_timestamp())
-        added = new.count()
-        if added:
-            self.replace("runs", runs.unionByName(new, allowMissingColumns=True))
+        added = 0
+
+        def how(runs: DataFrame) -> DataFrame | None:
+            nonlocal added
+            new = staged(runs, scenes, F.current_timestamp())
+            added = new.count()
+            return runs.unionByName(new, allowMissingColumns=True) if added else None
+
+        self._change_runs(how)
         return added
 
     def set_status(self, run: str, status: str, config_hash: str | None = None, error: str | None = None) -> None:
-        self.replace("runs", with_status(self.runs, F.col("run_id") == run, status, F.current_timestamp(), config_hash, error))
+        self._change_runs(lambda runs: with_status(runs, F.col("run_id") == run, status, F.current_timestamp(), config_hash, error))
 
     def set_footprint(self, run: str, wkb: bytes) -> None:
-        self.replace("runs", self.runs.withColumn("footprint", F.when(F.col("run_id") == run, F.lit(wkb)).otherwise(F.col("footprint"))))
+        self._change_runs(lambda runs: runs.withColumn("footprint", F.when(F.col("run_id") == run, F.lit(wkb)).otherwise(F.col("footprint"))))
 
     def upsert_metadata(self, changes: DataFrame) -> None:
-        self.replace("scene_metadata", upserted(self.scenes, changes, "scene_id"))
+        self.change("scene_metadata", lambda scenes: upserted(scenes, changes, "scene_id"), SCENES)
+
+    def _reset(self, which: Column, how: Callable[[DataFrame], DataFrame]) -> int:
+        n = 0
+
+        def change(runs: DataFrame) -> DataFrame | None:
+            nonlocal n
+            n = runs.where(which).count()
+            return how(runs) if n else None
+
+        self._change_runs(change)
+        return n
 
     def reset_stale(self) -> int:
         """Runs that were started and never finished are staged again; returns how many."""
-        runs, hung = self.runs, F.col("status") == "started"
-        n = runs.where(hung).count()
-        if n:
-            self.replace("runs", runs.withColumn("status", F.when(hung, "staged").otherwise(F.col("status"))))
-        return n
+        hung = F.col("status") == "started"
+        return self._reset(hung, lambda runs: runs.withColumn("status", F.when(hung, "staged").otherwise(F.col("status"))))
 
     def reset_to_staged(self, ids: list[str]) -> int:
         which = F.col("run_id").isin(ids)
-        n = self.runs.where(which).count()
-        if n:
-            self.replace("runs", reset_to_staged(self.runs, which))
-        return n
+        return self._reset(which, lambda runs: reset_to_staged(runs, which))
 
     def to_run(self, config_hash: str, gate: str = "error", force: bool = False, scenes: DataFrame | None = None, crop: str | None = None, any_crop: bool = True) -> DataFrame:
         """The runs to work on. Named scenes are staged if need be and pass both the gate and the choice by status."""
@@ -195,7 +258,8 @@ class Catalog:
             self.stage(scenes)
             named = scenes.select(run_id(F.col("scene_id"), F.col("crop_window")).alias("run_id"))
             return self.runs.join(named, "run_id", "left_semi")
-        self.replace("runs", gated(self.runs, config_hash, gate, force))
+        self.reset_stale()  # whatever the gate says then
+        self._change_runs(lambda runs: gated(runs, config_hash, gate, force))
         return pending(self.runs, crop, any_crop, force)
 
     def count_by_status(self) -> DataFrame:
@@ -204,15 +268,14 @@ class Catalog:
     def write_stats(self, step: str, rows: DataFrame) -> None:
         """Nothing happens without a statistic."""
         if len(rows.columns) > 1:
-            name = f"stats_{checked_name(step)}"
-            self.replace(name, evolved(self.table(name) if self.exists(name) else None, rows))
+            self.change(f"stats_{checked_name(step)}", lambda stats: evolved(stats, rows))
 
     def has_stats(self, step: str, run: str) -> bool:
         name = f"stats_{step}"
         return self.exists(name) and not self.table(name).where(F.col("run_id") == run).isEmpty()
 
     def delete(self, run: str) -> None:
-        self.replace("runs", self.runs.where(F.col("run_id") != run))
+        self._change_runs(lambda runs: runs.where(F.col("run_id") != run))
 
 
 def rolling_mean(rows: DataFrame, keys: list[str], order: list[str], value: str, before: int, after: int, least: int) -> DataFrame:

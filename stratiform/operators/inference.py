@@ -9,9 +9,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .grids import in_windows
 
@@ -51,49 +53,121 @@ def predicted(features: Column, predict: Callable[[np.ndarray], np.ndarray]) ->
     return run(features)
 
 
-def windowed(grid: DataFrame, keys: list[str], height: int, width: int, window: int, overlap: int, predict: Callable[[np.ndarray], np.ndarray], context: int = 0, only_where: str | None = None) -> DataFrame:
+def windowed(grid: DataFrame, keys: list[str], height: int, width: int, window: int, overlap: int, predict: Callable[[np.ndarray], np.ndarray], context: int = 0, only_where: str | None = None, batch: int = 8) -> DataFrame:
     """A model over overlapping windows, merged by their mean: (keys, r, c, v).
 
-    Windows begin every window - overlap cells until the raster is covered; what they and ``context`` cells around lack is
-    reflected. Windows without a cell where ``only_where`` holds are left out. predict: (n, side, side) to the same shape.
+    v is a number or, of several channels, an array; predict takes and returns (n, side, side) or (n, channels, side, side), of
+    at most ``batch`` windows. Windows begin every window - overlap cells until the raster is covered. What a window and its
+    ``context`` cells lack at the raster's edge is reflected, or, where the slice is no larger than what it lacks on a side,
+    repeated from its edge. Windows in which ``only_where`` holds nowhere are left out before anything is exchanged.
+
+    Cells are packed into square tiles of the stride, tiles go to the windows that need them, windows are predicted as a stream
+    and cut at the tiles' borders, and tiles add up their pieces: no cell is copied by itself and no task holds a raster.
     """
+    if overlap >= window:
+        raise ValueError(f"overlap ({overlap}) must be less than the window ({window})")
     stride, side = window - overlap, window + 2 * context
-    steps = lambda n: max(1, -(-n // stride))
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        wr, wc = int(part["wr"].iloc[0]), int(part["wc"].iloc[0])
-        full = np.full((side, side), np.nan)
-        full[part["pr"].to_numpy(), part["pc"].to_numpy()] = part["v"].to_numpy(float)
-        out = predict(np.nan_to_num(full)[None])[0][context : context + window, context : context + window]
-        r, c = (x.ravel() for x in np.meshgrid(np.arange(window) + wr, np.arange(window) + wc, indexing="ij"))
-        keep = (r < height) & (c < width)
-        frame = pd.DataFrame({"r": r[keep], "c": c[keep], "v": out.ravel()[keep]})
-        for k in keys:
-            frame.insert(0, k, part[k].iloc[0])
-        return frame[[*keys, "r", "c", "v"]]
-
-    corners = [(i * stride, j * stride) for i in range(steps(height)) for j in range(steps(width))]
-    place = lambda name, count, n: _places(F.col(name), count, stride, side, context, n)
-    rows = grid.withColumn("__r", F.explode(place("r", steps(height), height))).withColumn("__c", F.explode(place("c", steps(width), width)))
-    rows = rows.select(*keys, F.col("__r.start").alias("wr"), F.col("__c.start").alias("wc"), F.col("__r.at").alias("pr"), F.col("__c.at").alias("pc"), "v", *([F.expr(only_where).alias("__hit")] if only_where else []))
+    single = not isinstance(grid.schema["v"].dataType, T.ArrayType)
+    key_fields = [grid.schema[k] for k in keys]
+    place = ["tr", "tc"]
+    tile = lambda name: F.floor(F.col(name) / stride).cast("int")
+
+    def packed(part: pd.DataFrame) -> pd.DataFrame:
+        tr, tc = int(part["tr"].iloc[0]), int(part["tc"].iloc[0])
+        v = part["v"].to_numpy(float)[:, None] if single else np.stack([np.asarray(x, float) for x in part["v"]])
+        out = np.full((v.shape[1], stride, stride), np.nan)
+        out[:, part["r"].to_numpy() - tr * stride, part["c"].to_numpy() - tc * stride] = v.T
+        return pd.DataFrame({**{k: [part[k].iloc[0]] for k in keys}, "tr": [tr], "tc": [tc], "channels": [v.shape[1]], "tile": [out.tobytes()]})
+
+    tile_schema = T.StructType([*key_fields, *(T.StructField(n, T.IntegerType()) for n in (*place, "channels")), T.StructField("tile", T.BinaryType())])
+    known = grid.where(F.col("v").isNotNull()).withColumns({"tr": tile("r"), "tc": tile("c")})
+    tiles = known.groupBy(*keys, *place).applyInPandas(packed, tile_schema)
+
+    def asking(name: str, n: int) -> Column:
+        """The windows whose cells, context included, reach into a tile."""
+        first = F.greatest(F.ceil((F.col(name) * stride - window - context + 1) / stride), F.lit(0)).cast("int")
+        last = F.least(F.floor((F.col(name) * stride + stride - 1 + context) / stride), F.lit(-(-n // stride) - 1)).cast("int")
+        return F.explode(F.sequence(first, last))
+
+    sent = tiles.withColumn("wr", asking("tr", height)).withColumn("wc", asking("tc", width))
     if only_where:
-        hit = rows.groupBy(*keys, "wr", "wc").agg(F.max(F.col("__hit").cast("int")).alias("h")).where("h = 1").drop("h")
-        rows = rows.drop("__hit").join(hit, [*keys, "wr", "wc"], "left_semi")
-    assert corners
-    schema = T.StructType([*(grid.schema[k] for k in keys), T.StructField("r", T.LongType()), T.StructField("c", T.LongType()), T.StructField("v", T.DoubleType())])
-    return rows.groupBy(*keys, "wr", "wc").applyInPandas(run, schema).groupBy(*keys, "r", "c").agg(F.avg("v").alias("v"))
-
-
-def _places(index: Column, count: int, stride: int, side: int, context: int, n: int) -> Column:
-    """Every (window start, place in the window) at which a row or column stands, mirrored ones included."""
-
-    def source(start: Column, at: Column) -> Column:
-        x = F.pmod(start + at - context, F.lit(2 * n - 2 if n > 1 else 1))
-        return F.when(x >= n, 2 * n - 2 - x).otherwise(x)
-
-    starts = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: k * stride)
-    each = F.flatten(F.transform(starts, lambda s: F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda a: F.struct(s.alias("start"), a.alias("at")))))
-    return F.filter(each, lambda x: source(x["start"], x["at"]) == index)
+        starts = lambda name: F.explode(F.sequence(F.greatest(F.ceil((F.col(name) - window + 1) / F.lit(stride)), F.lit(0)).cast("int"), tile(name)))
+        hits = grid.where(only_where).withColumn("wr", starts("r")).withColumn("wc", starts("c")).select(*keys, "wr", "wc").dropDuplicates()
+        sent = sent.join(hits, [*keys, "wr", "wc"], "left_semi")
+    order = [*keys, "wr", "wc"]
+    named = [*keys, "wr", "wc", "tr", "tc", "channels", "tile"]
+    sent = sent.select(*named).repartition(*order).sortWithinPartitions(*order)
+
+    def predicted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[tuple, np.ndarray]] = []
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            given = np.stack([x for _, x in waiting])
+            found = predict(given[:, 0] if single else given)
+            found = np.asarray(found, float).reshape(len(waiting), -1, side, side)[:, :, context : context + window, context : context + window]
+            for (at, _), out in zip(waiting, found, strict=True):
+                yield pieces(at, out)
+            waiting.clear()
+
+        def pieces(at: tuple, out: np.ndarray) -> pa.RecordBatch:
+            *own, wr, wc = at
+            rows = []
+            for tr in range(wr, -(-(min(wr * stride + window, height)) // stride)):
+                for tc in range(wc, -(-(min(wc * stride + window, width)) // stride)):
+                    r0, c0 = (tr - wr) * stride, (tc - wc) * stride
+                    part = out[:, r0 : min(r0 + stride, window, height - wr * stride), c0 : min(c0 + stride, window, width - wc * stride)]
+                    rows.append([*own, tr, tc, *part.shape, np.ascontiguousarray(part).tobytes()])
+            return pa.RecordBatch.from_arrays([pa.array(list(x), f.type) for x, f in zip(zip(*rows, strict=True), piece_arrow, strict=True)], schema=piece_arrow)
+
+        at, parts = None, []
+        for record in batches:
+            for *here, tr, tc, channels, data in zip(*(x.to_pylist() for x in record.columns), strict=True):
+                if at is not None and tuple(here) != at:
+                    waiting.append((at, _assembled(parts, at[-2], at[-1], stride, window, context, height, width)))
+                    parts = []
+                    if len(waiting) >= batch:
+                        yield from flushed()
+                at = tuple(here)
+                parts.append((tr, tc, np.frombuffer(data).reshape(channels, stride, stride)))
+        if at is not None:
+            waiting.append((at, _assembled(parts, at[-2], at[-1], stride, window, context, height, width)))
+        if waiting:
+            yield from flushed()
+
+    piece_schema = T.StructType([*key_fields, *(T.StructField(n, T.IntegerType()) for n in (*place, "channels", "h", "w")), T.StructField("piece", T.BinaryType())])
+    piece_arrow = to_arrow_schema(piece_schema)
+    out_v = T.DoubleType() if single else T.ArrayType(T.DoubleType())
+
+    def merged(part: pd.DataFrame) -> pd.DataFrame:
+        channels, h, w = int(part["channels"].iloc[0]), int(part["h"].max()), int(part["w"].max())
+        total, n = np.zeros((channels, h, w)), np.zeros((h, w))
+        for ph, pw, data in zip(part["h"], part["w"], part["piece"], strict=True):  # pieces begin at the tile's corner
+            total[:, :ph, :pw] += np.frombuffer(data).reshape(channels, ph, pw)
+            n[:ph, :pw] += 1
+        r, c = np.nonzero(n)
+        v = (total / np.maximum(n, 1))[:, r, c]
+        frame = pd.DataFrame({"r": r + int(part["tr"].iloc[0]) * stride, "c": c + int(part["tc"].iloc[0]) * stride, "v": v[0] if single else list(v.T)})
+        for k in reversed(keys):
+            frame.insert(0, k, part[k].iloc[0])
+        return frame
+
+    schema = T.StructType([*key_fields, T.StructField("r", T.LongType()), T.StructField("c", T.LongType()), T.StructField("v", out_v)])
+    return sent.mapInArrow(predicted_windows, piece_schema).groupBy(*keys, *place).applyInPandas(merged, schema)
+
+
+def _assembled(parts: list[tuple[int, int, np.ndarray]], wr: int, wc: int, stride: int, window: int, context: int, height: int, width: int) -> np.ndarray:
+    """One window with its context from the tiles that it reaches; missing cells are 0."""
+    top, left, side = wr * stride - context, wc * stride - context, window + 2 * context
+    r0, r1, c0, c1 = max(top, 0), min(top + side, height), max(left, 0), min(left + side, width)
+    out = np.zeros((parts[0][2].shape[0], r1 - r0, c1 - c0))
+    for tr, tc, tile in parts:
+        a0, a1 = max(tr * stride, r0), min(tr * stride + stride, r1)
+        b0, b1 = max(tc * stride, c0), min(tc * stride + stride, c1)
+        if a0 < a1 and b0 < b1:
+            out[:, a0 - r0 : a1 - r0, b0 - c0 : b1 - c0] = np.nan_to_num(tile[:, a0 - tr * stride : a1 - tr * stride, b0 - tc * stride : b1 - tc * stride])
+    lack = ((r0 - top, top + side - r1), (c0 - left, left + side - c1))
+    mirror = all(out.shape[k + 1] > max(lack[k]) for k in (0, 1))
+    return np.pad(out, ((0, 0), *lack), mode="reflect" if mirror else "edge")
 
 
 def bags(grid: DataFrame, keys: list[str], height: int, width: int, window: int, stride: int) -> DataFrame:

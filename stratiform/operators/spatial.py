@@ -10,57 +10,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-#: Cells of a box join are dealt to so many parts each, so that a dense cell is no single task.
-SALTS = 8
+from .nearest import k_nearest
 
+#: A cell of a box join with more right rows than this is dealt to several parts.
+CELL_ROWS = 4096
 
-def box_join(left: DataFrame, right: DataFrame, reach: float, salts: int = SALTS) -> DataFrame:
+
+def box_join(left: DataFrame, right: DataFrame, reach: float, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Pairs with |x - rx| <= reach and |y - ry| <= reach. left: x, y and more; right: rx, ry and more.
 
-    Each left row asks the nine cells around it, the parts of a cell all in turn; each right row lies in one part of one.
+    Each left row asks those of the nine cells around it that hold right rows; each right row lies in one. Only cells of more
+    than cell_rows right rows are cut into parts, each asked in turn, so dense cells are no single task and others cost nothing.
     """
     cell = lambda v: F.floor(v / F.lit(reach)).cast("long")
     around = lambda v: F.explode(F.sequence(cell(v) - 1, cell(v) + 1))
-    a = left.withColumn("__i", around(F.col("x"))).withColumn("__j", around(F.col("y"))).withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    b = right.withColumns({"__i": cell(F.col("rx")), "__j": cell(F.col("ry")), "__s": F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")})
+    a = left.withColumn("__i", around(F.col("x"))).withColumn("__j", around(F.col("y")))
+    b = right.withColumns({"__i": cell(F.col("rx")), "__j": cell(F.col("ry"))})
+    sizes = b.groupBy("__i", "__j").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_rows)).cast("int").alias("__n"))
+    a = a.join(sizes, ["__i", "__j"]).withColumn("__s", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+    crowded = sizes.where("__n > 1")
+    part = F.coalesce(F.pmod(F.xxhash64(*right.columns), F.col("__n")), F.lit(0)).cast("int")
+    b = b.join(crowded, ["__i", "__j"], "left").withColumn("__s", part).drop("__n")
     near = (F.abs(F.col("x") - F.col("rx")) <= reach) & (F.abs(F.col("y") - F.col("ry")) <= reach)
     return a.join(b, ["__i", "__j", "__s"]).where(near).drop("__i", "__j", "__s")
 
 
-def smoothed_heights(points: DataFrame, retrievals: DataFrame, sigma: float) -> DataFrame:
-    """The best candidate height at each grid point (id, x, y) from retrievals (rx, ry, scores).
+def smoothed_heights(points: DataFrame, retrievals: DataFrame, sigma: float, heights: list[float]) -> DataFrame:
+    """(id, height): the best of the candidate heights at each grid point (id, x, y) from retrievals (rx, ry, scores).
 
-    Scores within two sigma are averaged with Gaussian weights times the square of each retrieval's best score; a point
-    needs a retrieval within 1.5 sigma; the lowest height wins ties; heights of 0 and below are missing.
+    Scores within two sigma are averaged with Gaussian weights times the square of each retrieval's best score; a point needs a
+    retrieval within 1.5 sigma; the lowest height wins ties; heights of 0 and below are missing, the search's lower bound
+    being no cloud's height, and so are points without a retrieval. Score vectors are added element by element.
     """
     best = F.array_max("scores")
     pairs = box_join(points, retrievals.where(~F.exists("scores", F.isnan)), 2 * sigma)
     d = F.sqrt(F.pow(F.col("x") - F.col("rx"), F.lit(2.0)) + F.pow(F.col("y") - F.col("ry"), F.lit(2.0)))
     pairs = pairs.withColumn("d", d).withColumn("w", F.exp(-0.5 * F.pow(F.col("d") / sigma, F.lit(2.0))) * best * best)
-    near = pairs.select("id", "d", "w", F.posexplode("scores").alias("h", "score"))
-    each = near.groupBy("id", "h").agg(F.sum(F.col("w") * F.col("score")).alias("sw"), F.sum("w").alias("w"), F.min("d").alias("least"))
-    each = each.where((F.col("least") < 1.5 * sigma) & (F.col("w") > 0))
+    sums = [F.sum(F.col("w") * F.get("scores", F.lit(k))).alias(f"s{k}") for k in range(len(heights))]
+    each = pairs.groupBy("id").agg(F.min("d").alias("least"), F.sum("w").alias("w"), *sums).where((F.col("least") < 1.5 * sigma) & (F.col("w") > 0))
     # scores are compared to nine digits, so that the order in which sums were added decides no tie
-    return each.groupBy("id").agg(F.max_by("h", F.struct(F.round(F.col("sw") / F.col("w"), 9), -F.col("h"))).alias("height_index"))
-
-
-def nearest_samples(cells: DataFrame, samples: DataFrame, k: int, most_samples: int = 1000) -> DataFrame:
-    """The k nearest samples (sid, sx, sy, value) of each cell (id, x, y), ties to the lesser sid.
-
-    ``samples`` holds most_samples rows at most by contract, which is checked; that bound is what allows to broadcast it.
-    """
-    found = samples.limit(most_samples + 1).count()
-    if found > most_samples:
-        raise ValueError(f"more than {most_samples} samples")
-    packed = F.broadcast(samples.agg(F.array_sort(F.collect_list(F.struct("sid", "sx", "sy", "value"))).alias("samples")))
-    distance = lambda s: F.sqrt(F.pow(F.col("x") - s["sx"], F.lit(2.0)) + F.pow(F.col("y") - s["sy"], F.lit(2.0)))
-    ranked = F.array_sort(F.transform("samples", lambda s: F.struct(distance(s).alias("d"), s["sid"].alias("sid"), s["value"].alias("value"))))
-    return cells.join(packed).withColumn("near", F.slice(ranked, 1, k)).drop("samples")
+    means = F.array(*(F.round(F.col(f"s{k}") / F.col("w"), 9) for k in range(len(heights))))
+    height = F.get(F.array(*(F.lit(float(h)) for h in heights)), (F.array_position("means", F.array_max("means")) - 1).cast("int"))
+    found = each.select("id", means.alias("means")).select("id", height.alias("height"))
+    return points.select("id").join(found, "id", "left").select("id", F.when(F.col("height") > 0, F.col("height")).alias("height"))
 
 
 def inverse_distance(cells: DataFrame, samples: DataFrame, k: int = 8, shift: float = 2000.0) -> DataFrame:
     """Weighted means of the k nearest samples with weights 1 / (distance + shift), not below 0."""
-    near = nearest_samples(cells, samples, k)
+    near = k_nearest(cells, samples, ["x", "y"], ["sx", "sy"], k).withColumnRenamed("near", "__near")
+    near = cells.join(near.select(F.col("id").alias("__id"), F.transform("__near", lambda s: F.struct(s["d"].alias("d"), s["row"]["value"].alias("value"))).alias("near")), F.col("id") == F.col("__id")).drop("__id")
     total = lambda f: F.aggregate(F.transform("near", f), F.lit(0.0), lambda a, x: a + x)
     value = total(lambda s: s["value"] / (s["d"] + shift)) / total(lambda s: 1 / (s["d"] + shift))
     return near.withColumn("value", F.greatest(value, F.lit(0.0))).drop("near")
@@ -73,17 +71,18 @@ def means_at_points(points: DataFrame, pixels: DataFrame, reach: float) -> DataF
 
 
 def lut_nearest(queries: DataFrame, lut: DataFrame, axes: list[str], key: str, value: str) -> DataFrame:
-    """The value of the grid point nearest on each axis. On a full grid that is the nearest one, whatever the axes' scales.
+    """The value of the table's entry nearest in the space of its axes, each scaled by its range; the table need be no grid.
 
-    The distinct values of an axis are few; they travel as one sorted array a axis. Ties go to the lesser value.
+    Ties go to the entry that is least on the first axis, then the second...
     """
-    known = lut.agg(*(F.array_sort(F.collect_set(a)).alias(f"__{a}") for a in axes))
-    rows = queries.join(F.broadcast(known))
-    closest = lambda known, x: F.array_min(F.transform(known, lambda v: F.struct(F.abs(v - x).alias("d"), v.alias("v"))))["v"]
-    for a in axes:
-        rows = rows.withColumn(f"near_{a}", closest(F.col(f"__{a}"), F.col(a))).drop(f"__{a}")
-    grid = lut.select(*(F.col(a).alias(f"near_{a}") for a in axes), value)
-    return rows.join(grid, [f"near_{a}" for a in axes], "left").select(key, *axes, value)
+    ends = lut.agg(*(F.min(a).alias(f"lo_{a}") for a in axes), *(F.max(a).alias(f"hi_{a}") for a in axes)).first()
+    span = {a: (ends[f"hi_{a}"] - ends[f"lo_{a}"]) or 1.0 for a in axes} if ends[0] is not None else dict.fromkeys(axes, 1.0)
+    scaled = lambda a: F.col(a).cast("double") / F.lit(span[a])
+    q = queries.select(F.col(key).alias("id"), *axes, *(scaled(a).alias(f"q{k}") for k, a in enumerate(axes)))
+    entries = lut.select(F.struct(*axes).alias("sid"), *(scaled(a).alias(f"s{k}") for k, a in enumerate(axes)), value)
+    places = range(len(axes))
+    found = k_nearest(q, entries, [f"q{k}" for k in places], [f"s{k}" for k in places], 1)
+    return q.join(found, "id", "left").select(F.col("id").alias(key), *axes, F.col("near")[0]["row"][value].alias(value))
 
 
 def transmission(value: Column, tau: Column, least_tau: float) -> Column:

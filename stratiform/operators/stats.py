@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.algebra import band_name, valid
 
+# The percentiles that are reported, and the classes of a cloud mask.
 PERCENTILES = (0, 5, 25, 50, 75, 95, 100)
-#: The classes of a cloud mask.
 CLASSES = {0: "Clear", 1: "Thick Cloud", 2: "Thin Cloud", 3: "Cloud Shadow"}
 
 StatsFunction = Callable[..., list[Column]]
@@ -75,18 +75,42 @@ def wide_stats(stats: DataFrame, bands: tuple[str, ...]) -> DataFrame:
     return checked.groupBy("run_id").agg(*each)
 
 
-def run_stats(pixels: DataFrame, runs: DataFrame, identifiers: tuple[str, ...], have: dict[str, DataFrame] | None = None, force: bool = False, nodata: float | None = None) -> dict[str, DataFrame]:
-    """The statistics of done runs that have none yet (all of them with force), by step, every step in one job."""
+def merged_stats(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Two functions' statistics of one step side by side; of a statistic that both have, the second's, where it has one."""
+    keys = ["run_id", "band"]
+    both = [c for c in second.columns if c in first.columns and c not in keys]
+    joined = first.join(second.withColumnsRenamed({c: f"__{c}" for c in both}), keys, "full")
+    names = dict.fromkeys([*first.columns, *second.columns])
+    return joined.select(*(F.coalesce(f"__{c}", c).alias(c) if c in both else c for c in names))
+
+
+def run_stats(pixels: DataFrame, runs: DataFrame, identifiers: tuple[str, ...], have: dict[str, DataFrame] | None = None, force: bool = False, nodata: float | None = None, failures: dict[str, Exception] | None = None) -> dict[str, DataFrame]:
+    """The statistics of done runs that have none yet (all of them with force), by step, every step in one job.
+
+    Several functions of one step are merged. A function that cannot be resolved or planned stops the others only if no
+    ``failures`` are collected.
+    """
     have, out = have or {}, {}
     done = runs.where("status = 'done'").select("run_id")
     for identifier in identifiers:
         step = identifier.partition("::")[0]
         todo = done if force or step not in have else done.join(have[step].select("run_id"), "run_id", "left_anti")
-        found = band_stats(pixels.join(todo, "run_id", "left_semi"), identifier, nodata)
-        out[step] = found if step not in out else out[step].join(found, ["run_id", "band"], "full")
+        try:
+            found = band_stats(pixels.join(todo, "run_id", "left_semi"), identifier, nodata)
+        except Exception as e:
+            if failures is None:
+                raise
+            failures[identifier] = e
+            continue
+        out[step] = found if step not in out else merged_stats(out[step], found)
     return out
 
 
+def unprefixed(stats: DataFrame) -> DataFrame:
+    """Statistics of rasters of a single band that has no name: one row a run, without a band."""
+    return stats.drop("band")
+
+
 def uncertainty_summary(value: Column) -> list[Column]:
     every = F.percentile(value, F.array(*(F.lit(p) for p in (0.25, 0.5, 0.75, 0.9, 0.95, 0.99))))
     names = ("p25", "median", "p75", "p90", "p95", "p99")

@@ -74,9 +74,9 @@ def stats_median(spark, sf):
     return stats.band_stats(pixels(spark, sf), "any_step::median").withColumn("median", F.round("median", 6))
 
 
-@query(f"WITH {PX} SELECT run_id, band, round(median(v), 6) AS median, count(*) AS n_pixels FROM px WHERE v <> 50 AND NOT isnan(v) GROUP BY ALL")
+@query(f"WITH {PX} SELECT run_id, band, round(median(v), 6) AS median, count(*) AS n_pixels FROM px WHERE v <> 50 GROUP BY ALL")
 def stats_integer_nodata(spark, sf):
-    return stats.band_stats(pixels(spark, sf).where(~F.isnan("value")), "any_step::median", nodata=50).withColumn("median", F.round("median", 6))
+    return stats.band_stats(pixels(spark, sf), "any_step::median", nodata=50).withColumn("median", F.round("median", 6))
 
 
 @query(f"WITH {PX} SELECT band, " + ", ".join(f"round(quantile_cont(v, {p / 100}), 4) AS p{p:03d}" for p in stats.PERCENTILES) + ", round(avg(v), 4) AS mean, count(*) AS n_pixels FROM px WHERE isfinite(v) GROUP BY band")
@@ -164,18 +164,31 @@ def ood_filter(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", F.when(u > 0.3, None).otherwise(F.col("label")).alias("label"))
 
 
-FEATURES = {"sin_lat": "sin(radians(lat))", "cos_lat": "cos(radians(lat))", "sin_lon": "sin(radians(lon))", "cos_lon": "cos(radians(lon))", "sin_azimuth": "sin(radians(az))", "cos_azimuth": "cos(radians(az))", "sin_wind": "sin(radians(wd))", "cos_wind": "cos(radians(wd))", "sin_day": "sin(2 * pi() * doy / 365.25)", "cos_day": "cos(2 * pi() * doy / 365.25)", "sun_zenith": "coalesce(sz, 0)", "view_zenith": "vz", "wind_speed": "ws", "log_depth": "log10(greatest(-depth, 1))", "detector_parity": "det % 2"}
+FEATURES = {
+    "sin_lat": "sin(radians(lat))", "cos_lat": "cos(radians(lat))", "sin_lon": "sin(radians(lon))", "cos_lon": "cos(radians(lon))", "cos_sun_zenith": "cos(radians(sz))", "cos_view_zenith": "cos(radians(vz))",
+    "sin_relative_azimuth": "sin(radians(sa - va))", "cos_relative_azimuth": "cos(radians(sa - va))", "wind_speed": "ws", "sin_wind_direction": "sin(radians(wd))", "cos_wind_direction": "cos(radians(wd))",
+    "log_depth": "log10(greatest(-depth, 1))", "sin_day": "sin(2 * pi() * doy / 365.25)", "cos_day": "cos(2 * pi() * doy / 365.25)", "detector_parity": "det % 2",
+}
 
 
-@query("SELECT o_orderkey, " + ", ".join(f"round(({e})::DOUBLE, 6) AS {n}" for n, e in FEATURES.items()) + " FROM (SELECT o_orderkey, o_custkey % 170 - 85 AS lat, o_custkey % 360 - 180 AS lon, o_orderkey % 360 AS az, o_orderkey % 350 AS wd, dayofyear(o_orderdate) AS doy, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice / 1e4 END AS sz, o_custkey % 12 AS vz, o_custkey % 20 AS ws, 100 - o_totalprice / 100 AS depth, o_orderkey % 12 AS det FROM orders) t")
+@query("SELECT o_orderkey, " + ", ".join(f"round(coalesce(({e})::DOUBLE, 0), 6) AS {n}" for n, e in FEATURES.items()) + " FROM (SELECT o_orderkey, o_custkey % 170 - 85 AS lat, o_custkey % 360 - 180 AS lon, CASE WHEN o_orderkey % 7 <> 0 THEN (o_totalprice / 1e4) % 90 END AS sz, o_custkey % 12 AS vz, o_orderkey % 360 AS sa, o_custkey % 350 AS va, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey % 20 END AS ws, o_orderkey % 350 AS wd, 100 - o_totalprice / 100 AS depth, dayofyear(o_orderdate) AS doy, o_orderkey % 12 AS det FROM orders) t")
 def feature_engineering(spark, sf):
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    zenith = F.when(k % 7 == 0, float("nan")).otherwise(F.col("o_totalprice") / 1e4)
-    made = A.features(c % 170 - 85, c % 360 - 180, k % 360, k % 350, F.dayofyear("o_orderdate"), zenith, c % 12, c % 20, 100 - F.col("o_totalprice") / 100, k % 12)
+    zenith = F.when(k % 7 == 0, float("nan")).otherwise((F.col("o_totalprice") / 1e4) % 90)
+    made = A.features(c % 170 - 85, c % 360 - 180, zenith, c % 12, k % 360, c % 350, F.when(k % 5 != 0, c % 20), k % 350, 100 - F.col("o_totalprice") / 100, F.dayofyear("o_orderdate"), k % 12)
     rows = table(spark, sf, "orders").select("o_orderkey", *made)
     return rows.select("o_orderkey", *(F.round(x, 6).alias(x) for x in rows.columns[1:]))
 
 
+@query("WITH o AS (SELECT o_orderkey, (o_totalprice / 1e5)::DOUBLE AS a, (o_custkey % 10) / 10 AS b, o_custkey % 80 AS sz, o_custkey % 12 AS vz, o_orderkey % 360 AS sa, o_custkey % 350 AS va, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice / 10 END AS h FROM orders) "
+       "SELECT o_orderkey, " + ", ".join(f"CASE WHEN h IS NOT NULL THEN round(({e})::DOUBLE, 8) + 0 END AS f{i}" for i, e in enumerate(("a", "b", "a * 2", "b * 3", "cos(radians(sz))", "cos(radians(vz))", "sin(radians(sa - va))", "cos(radians(sa - va))", "(h - 500) / 1000"))) + " FROM o")
+def inversion_features(spark, sf):
+    k, c, a = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice") / 1e5
+    height = F.when(k % 7 == 0, float("nan")).otherwise(F.col("o_totalprice") / 10)
+    made = A.inversion_features([a, c % 10 / 10], [a * 2, c % 10 / 10 * 3], c % 80, c % 12, k % 360, c % 350, height, 500.0)
+    return table(spark, sf, "orders").select("o_orderkey", made.alias("f")).select("o_orderkey", *((F.round(F.get("f", F.lit(i)), 8) + 0.0).alias(f"f{i}") for i in range(9)))
+
+
 @query("SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN 'S2A' END AS satellite, CASE WHEN c_custkey % 9 <> 0 THEN (c_custkey % 143)::INT END AS orbit, CASE WHEN c_custkey % 9 <> 0 THEN '32T' || chr(65 + (c_custkey % 26)::INT) || 'M' END AS tile FROM customer")
 def product_uri_parse(spark, sf):
     k = F.col("c_custkey")
@@ -216,13 +229,13 @@ def rgb_autostretch(spark, sf):
     return g.join(q, "scene").select("scene", "r", "c", F.round(A.rgb_stretch(F.col("v"), gain, -F.col("q")[0] * gain, 0.8), 5).alias("x"))
 
 
-@query("SELECT o_orderkey, CASE WHEN coalesce(d1, d2, 1) % 2 = 0 THEN 1 ELSE -1 END AS sign FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 12 END AS d1, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey % 12 END AS d2 FROM orders) t")
+@query("SELECT o_orderkey, CASE WHEN d1 IS NOT NULL THEN 1 - 2 * (d1 % 2) WHEN d2 IS NOT NULL THEN 1 - 2 * (d2 % 2) ELSE 1 END::INT AS sign FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 12 END AS d1, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey % 12 END AS d2 FROM orders) t")
 def detector_sign(spark, sf):
-    """The band's own footprint, else the reference band's, else +1 is taken as an odd detector's number."""
+    """By the band's own footprint, else the reference band's; +1 without one."""
     o = table(spark, sf, "orders")
     own = o.where("o_orderkey % 3 = 0").select("o_orderkey", (F.col("o_orderkey") % 12).alias("d1"))
     other = o.where("o_orderkey % 5 = 0").select("o_orderkey", (F.col("o_custkey") % 12).alias("d2"))
-    return o.join(own, "o_orderkey", "left").join(other, "o_orderkey", "left").select("o_orderkey", A.detector_sign(F.coalesce("d1", "d2", F.lit(1))).alias("sign"))
+    return o.join(own, "o_orderkey", "left").join(other, "o_orderkey", "left").select("o_orderkey", A.detector_sign(F.coalesce("d1", "d2", F.lit(0))).alias("sign"))
 
 
 @query("SELECT label, round(avg(CASE WHEN p1 IS NOT NULL THEN (p1 - t1) ** 2 ELSE 0 END), 8) AS mse, round(avg(CASE WHEN ilr >= 0.02 THEN 0 ELSE (p1 - t1) ** 2 END), 8) AS liquid, round(avg(CASE WHEN ilr <= -0.02 THEN 0 ELSE (p1 - t1) ** 2 END), 8) AS ice FROM (SELECT label, embedding[1]::DOUBLE AS p1, embedding[2]::DOUBLE AS t1, embedding[3]::DOUBLE AS ilr FROM embeddings) t GROUP BY label")
@@ -344,11 +357,13 @@ def range_box_join(spark, sf):
     return pairs.groupBy(F.col("id").alias("a_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {P}, e AS (SELECT a.id, b.id AS sid, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d, list_max(b.embedding[1:16])::DOUBLE AS m, b.embedding AS s FROM p a, p b WHERE a.id % 5 = 0 AND abs(a.x - b.x) <= 12 AND abs(a.y - b.y) <= 12), "
-       "h AS (SELECT id, i::INT AS h, exp(-0.5 * (d / 6) ** 2) * m * m AS w, s[i + 1]::DOUBLE AS s, d FROM e, range(16) t(i)), k AS (SELECT id, h, round(sum(w * s) / sum(w), 9) AS s FROM h GROUP BY id, h HAVING min(d) < 9 AND sum(w) > 0) SELECT id, arg_max(h, s * 1e12 - h) AS height_index FROM k GROUP BY id")
+@query(f"WITH {P}, e AS (SELECT a.id, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d, list_max(b.embedding)::DOUBLE AS m, b.embedding AS s FROM p a, p b WHERE abs(a.x - b.x) <= 8 AND abs(a.y - b.y) <= 8), "
+       "h AS (SELECT id, i::INT AS h, exp(-0.5 * (d / 4) ** 2) * m * m AS w, s[i + 1]::DOUBLE AS s, d FROM e, range(64) t(i)), k AS (SELECT id, h, round(sum(w * s) / sum(w), 9) AS s FROM h GROUP BY id, h HAVING min(d) < 6 AND sum(w) > 0), "
+       "b AS (SELECT id, arg_max(h, s * 1e12 - h) AS h FROM k GROUP BY id) SELECT p.id, CASE WHEN h > 0 THEN h * 250.0::DOUBLE END AS height FROM p LEFT JOIN b USING (id)")
 def gaussian_smooth_argmax(spark, sf):
-    r = points(spark, sf).select(F.col("x").alias("rx"), F.col("y").alias("ry"), F.transform(F.slice("embedding", 1, 16), lambda v: v.cast("double")).alias("scores"))
-    return spatial.smoothed_heights(points(spark, sf, 5).select("id", "x", "y"), r, 6.0)
+    """The first candidate height is 0, which is no height."""
+    r = points(spark, sf).select(F.col("x").alias("rx"), F.col("y").alias("ry"), F.transform("embedding", lambda v: v.cast("double")).alias("scores"))
+    return spatial.smoothed_heights(points(spark, sf).select("id", "x", "y"), r, 4.0, [250.0 * k for k in range(64)])
 
 
 @query(f"WITH {P}, d AS (SELECT a.id, b.embedding[3]::DOUBLE AS value, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d, row_number() OVER (PARTITION BY a.id ORDER BY sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), b.id) AS k FROM p a, p b WHERE b.id % 10 = 0) SELECT id, round(greatest(sum(value / (d + 20)) / sum(1 / (d + 20)), 0), 6) AS value FROM d WHERE k <= 8 GROUP BY id")
@@ -357,10 +372,10 @@ def knn_idw(spark, sf):
     return spatial.inverse_distance(points(spark, sf).select("id", "x", "y"), s, 8, 20.0).select("id", F.round("value", 6).alias("value"))
 
 
-@query(f"WITH {P} SELECT a.id, round(avg(b.embedding[3]::DOUBLE), 6) AS mean, count(b.id) AS n FROM p a LEFT JOIN p b ON b.id % 3 <> 0 AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 WHERE a.id % 5 = 0 GROUP BY a.id")
+@query(f"WITH {P} SELECT a.id, round(avg(b.embedding[3]::DOUBLE), 6) AS mean, count(b.id) AS n FROM p a LEFT JOIN p b ON b.id % 3 <> 0 AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 GROUP BY a.id")
 def windowed_mean_at_points(spark, sf):
     px = points(spark, sf).select(F.col("x").alias("rx"), F.col("y").alias("ry"), F.get("embedding", F.lit(2)).cast("double").alias("v"), F.when(F.col("id") % 3 == 0, 0).otherwise(1).alias("clear"))
-    return spatial.means_at_points(points(spark, sf, 5).select("id", "x", "y"), px, 1.0).withColumn("mean", F.round("mean", 6))
+    return spatial.means_at_points(points(spark, sf).select("id", "x", "y"), px, 1.0).withColumn("mean", F.round("mean", 6))
 
 
 LUT = "lut AS (SELECT tau, mu, exp(-tau / mu) AS t FROM (VALUES (0.1::DOUBLE), (1), (5), (20), (60)) a(tau), (VALUES (0.2::DOUBLE), (0.5), (0.8), (1)) b(mu))"
@@ -371,11 +386,21 @@ def lut(spark):
     return spark.createDataFrame([(t, m) for t in taus for m in mus], "tau double, mu double").withColumn("t", F.exp(-F.col("tau") / F.col("mu")))
 
 
-@query(f"WITH {LUT}, q AS (SELECT o_orderkey, o_totalprice / 7919 AS tau, (o_custkey % 97) / 97 AS mu FROM orders) SELECT o_orderkey, round(CASE WHEN tau < 0.1 THEN 1 - (1 - t) * tau / 0.1 ELSE t END, 6) AS t FROM (SELECT o_orderkey, q.tau, arg_min(lut.t, struct_pack(a := abs(lut.tau - q.tau), b := abs(lut.mu - q.mu))) AS t FROM q, lut GROUP BY o_orderkey, q.tau, q.mu) z")
+@query("WITH q AS (SELECT vec_id, least(greatest(abs(embedding[1]::DOUBLE) * 100, 1), 40) AS tau, abs(embedding[1]::DOUBLE) * 100 AS raw, embedding[2]::DOUBLE AS ratio, embedding[3]::DOUBLE AS liq, embedding[4]::DOUBLE AS ice FROM embeddings), "
+       "l AS (SELECT p_partkey AS k, 1 + p_size::DOUBLE AS tau, (p_partkey % 37) / 100 - 0.18 AS ratio, (p_partkey * 7 % 41) / 100 - 0.2 AS liq, (p_partkey * 11 % 43) / 100 - 0.21 AS ice, (p_retailprice / 3000)::DOUBLE AS t FROM part), "
+       "e AS (SELECT max(tau) - min(tau) AS a, max(ratio) - min(ratio) AS b, max(liq) - min(liq) AS c, max(ice) - min(ice) AS d FROM l), "
+       "n AS (SELECT vec_id, raw, t, row_number() OVER (PARTITION BY vec_id ORDER BY round(sqrt(((l.tau - q.tau) / a) ** 2 + ((l.ratio - q.ratio) / b) ** 2 + ((l.liq - q.liq) / c) ** 2 + ((l.ice - q.ice) / d) ** 2), 12), l.tau, l.ratio, l.liq, l.ice, t) AS r FROM q, l, e) "
+       "SELECT vec_id, round(CASE WHEN raw < 1 THEN 1 - (1 - t) * raw / 1 ELSE t END, 6) AS t FROM n WHERE r = 1")
 def lut_nearest(spark, sf):
-    q = table(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") / 7919).alias("tau"), (F.col("o_custkey") % 97 / 97).alias("mu"))
-    found = spatial.lut_nearest(q, lut(spark), ["tau", "mu"], "o_orderkey", "t")
-    return found.select("o_orderkey", F.round(spatial.transmission(F.col("t"), F.col("tau"), 0.1), 6).alias("t"))
+    """A scattered table of four axes; queries beyond its optical depths are held at its ends, and below them the loss shrinks."""
+    x = lambda k: F.get("embedding", F.lit(k)).cast("double")
+    raw = F.abs(x(0)) * 100
+    q = table(spark, sf, "embeddings").select("vec_id", A.clip(raw, 1.0, 40.0).alias("tau"), x(1).alias("ratio"), x(2).alias("liq"), x(3).alias("ice"), raw.alias("raw"))
+    k = F.col("p_partkey")
+    entries = table(spark, sf, "part").select((1 + F.col("p_size").cast("double")).alias("tau"), (k % 37 / 100 - 0.18).alias("ratio"), (k * 7 % 41 / 100 - 0.2).alias("liq"), (k * 11 % 43 / 100 - 0.21).alias("ice"), (F.col("p_retailprice") / 3000).cast("double").alias("t"))
+    found = spatial.lut_nearest(q.drop("raw"), entries, ["tau", "ratio", "liq", "ice"], "vec_id", "t")
+    rows = q.select("vec_id", "raw").join(found.select("vec_id", "t"), "vec_id")
+    return rows.select("vec_id", F.round(A.clip(spatial.transmission(F.col("t"), F.col("raw"), 1.0), 0.0, 1.0), 6).alias("t"))
 
 
 @query(f"WITH {LUT}, q AS (SELECT o_orderkey, least(greatest(o_totalprice / 7919, 0.1), 60) AS x, CASE o_orderkey % 4 WHEN 0 THEN 0.2 WHEN 1 THEN 0.5 WHEN 2 THEN 0.8 ELSE 1 END::DOUBLE AS mu FROM orders), s AS (SELECT q.*, max(lut.tau) FILTER (lut.tau <= x) AS x0, min(lut.tau) FILTER (lut.tau >= x) AS x1 FROM q JOIN lut USING (mu) GROUP BY ALL) SELECT o_orderkey, round(a.t + CASE WHEN x1 > x0 THEN (x - x0) / (x1 - x0) ELSE 0 END * (b.t - a.t), 8) AS t FROM s JOIN lut a ON a.mu = s.mu AND a.tau = x0 JOIN lut b ON b.mu = s.mu AND b.tau = x1")
@@ -471,14 +496,16 @@ def resume_point(spark, sf):
     return workflow.resume_points(table(spark, sf, "orders").select(F.col("o_custkey").alias("run_id"), ordinal.alias("ordinal"), complete.alias("complete"), (F.col("o_orderpriority") == "5-LOW").alias("ephemeral")))
 
 
-@query("SELECT o_orderkey, CASE WHEN k % 7 = 0 THEN 'missing file' WHEN k % 7 = 1 THEN 'no provenance' WHEN k % 7 = 2 THEN 'other project' WHEN k % 7 = 3 THEN 'other scene' WHEN k % 7 = 4 THEN 'config: a,c' WHEN k % 7 = 5 THEN 'other crop' END AS problem FROM (SELECT o_orderkey, o_orderkey AS k FROM orders) t")
+@query("SELECT o_orderkey, CASE k % 11 WHEN 0 THEN 'missing file' WHEN 1 THEN 'no provenance' WHEN 2 THEN 'other project' WHEN 3 THEN 'other scene' WHEN 4 THEN 'config: a,c' WHEN 5 THEN 'other crop' WHEN 8 THEN 'other scene' END AS problem FROM (SELECT o_orderkey, o_orderkey AS k FROM orders) t")
 def provenance_check(spark, sf):
-    k = F.col("o_orderkey") % 7
+    """Faults of each kind; files that name no project (6), no product and no scene (7), another scene (8), no configuration (9); a step without output (10)."""
+    k = F.col("o_orderkey") % 11
     text = lambda at, bad, good: F.when(k == at, bad).otherwise(good)
-    config = F.when(k == 4, F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("2"))).otherwise(F.create_map(F.lit("a"), F.lit("9"), F.lit("b"), F.lit("2"), F.lit("c"), F.lit("3")))
-    found = F.struct(text(2, "q", "p").alias("project"), text(3, "S9", "S1").alias("product"), F.lit("s").alias("scene"), config.alias("config"), text(5, "1,1,1,1", None).cast("string").alias("crop"))
     want = F.create_map(F.lit("a"), F.lit("9"), F.lit("b"), F.lit("2"), F.lit("c"), F.lit("3"))
-    problem = workflow.provenance_problem(k != 0, F.when(k != 1, found), F.lit("p"), F.lit("S1"), F.lit("s"), want, F.lit(None).cast("string"))
+    config = F.when(k == 4, F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("2"))).when(k != 9, want)
+    product = F.when(k.isin(7, 8), "").when(k == 3, "S9").otherwise("S1.SAFE")
+    found = F.struct(text(2, "q", text(6, "", "p")).alias("project"), product.alias("product"), text(8, "/t", text(7, "", "/s")).alias("scene"), config.alias("config"), text(5, "1,1,1,1", None).cast("string").alias("crop"))
+    problem = workflow.provenance_problem(~k.isin(0, 10), F.when(k != 1, found), F.lit("p"), F.lit("S1"), F.lit("/s"), want, F.lit(None).cast("string"), k != 10)
     return table(spark, sf, "orders").select("o_orderkey", problem.alias("problem"))
 
 

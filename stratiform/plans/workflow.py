@@ -75,12 +75,18 @@ def changed_keys(old: Column, new: Column) -> Column:
     return F.array_sort(F.filter(keys, lambda k: ~F.element_at(old, k).eqNullSafe(F.element_at(new, k))))
 
 
-def provenance_problem(file_exists: Column, provenance: Column, project: Column, product: Column, scene: Column, config: Column, crop: Column) -> Column:
-    """The first thing wrong with a step's file, or null. provenance: struct(project, product, scene, config, crop)."""
-    same = lambda a, b: a.eqNullSafe(b)
+def provenance_problem(file_exists: Column, provenance: Column, project: Column, product: Column, scene: Column, config: Column, crop: Column, has_output: Column | bool = True) -> Column:
+    """The first thing wrong with a step's file, or null. provenance: struct(project, product, scene, config, crop).
+
+    Steps without an output have no file to be wrong. Of what a file names, an empty project or scene and a missing configuration
+    are not compared; the product counts before the scene's path, and ``.SAFE`` at its end does not.
+    """
+    named = lambda name: F.nullif(provenance[name], F.lit(""))
+    other = lambda name, current: named(name).isNotNull() & ~named(name).eqNullSafe(current)
+    bare = lambda c: F.regexp_replace(c, r"\.SAFE$", "")
     diff = changed_keys(provenance["config"], config)
-    return (
-        F.when(~file_exists, "missing file").when(provenance.isNull(), "no provenance").when(~same(provenance["project"], project), "other project")
-        .when(F.when(provenance["product"].isNotNull() & product.isNotNull(), ~same(provenance["product"], product)).otherwise(~same(provenance["scene"], scene)), "other scene")
-        .when(F.size(diff) > 0, F.concat(F.lit("config: "), F.array_join(diff, ","))).when(~same(provenance["crop"], crop), "other crop")
-    )
+    return F.when(F.lit(has_output) if isinstance(has_output, bool) else has_output, (
+        F.when(~file_exists, "missing file").when(provenance.isNull(), "no provenance").when(other("project", project), "other project")
+        .when(F.when(named("product").isNotNull(), ~bare(named("product")).eqNullSafe(bare(product))).otherwise(other("scene", scene)), "other scene")
+        .when(provenance["config"].isNotNull() & (F.size(diff) > 0), F.concat(F.lit("config: "), F.array_join(diff, ","))).when(~provenance["crop"].eqNullSafe(crop), "other crop")
+    ))

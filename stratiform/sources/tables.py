@@ -1,4 +1,7 @@
-"""Table sources: Parquet by name below a folder, as DataFrames or as temporary views."""
+"""Table sources: Parquet by name below a folder, as DataFrames or as temporary views; lineage cut at checkpoints."""
+
+import re
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,3 +15,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def views(spark: SparkSession, folder: str, names: tuple[str, ...] = TABLES) -> None:
     for name in names:
         table(spark, folder, name).createOrReplaceTempView(name)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, written below spark.checkpoint.dir and read from there; a session of one process without one gets a folder."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return df.checkpoint()

@@ -45,6 +45,46 @@ def test_catalog_life(spark, tmp_path):
             checked_name(bad)
 
 
+def test_two_writers_lose_nothing_and_a_break_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    one, two = Catalog(spark, str(tmp_path)), Catalog(spark, str(tmp_path))
+    scene = lambda *names: spark.createDataFrame([(n, f"/{n}", None) for n in names], "scene_id string, scene_path string, crop_window string")
+    one.stage(scene("A"))
+    ids = {r.scene_id: r.run_id for r in one.runs.collect()}
+    claim, entered = one._claim, []
+
+    def late(name, version, data):  # before the first writer claims its number, the second one commits
+        if not entered:
+            entered.append(two.stage(scene("B", "C")))
+        return claim(name, version, data)
+
+    monkeypatch.setattr(one, "_claim", late)
+    one.set_status(ids["A"], "started")
+    assert entered == [2] and sorted((r.scene_id, r.status) for r in two.runs.collect()) == [("A", "started"), ("B", "staged"), ("C", "staged")]
+
+    def broken(name, version, data):
+        raise OSError("lost")
+
+    monkeypatch.setattr(one, "_claim", broken)
+    with pytest.raises(OSError, match="lost"):
+        one.reset_stale()
+    assert two.runs.count() == 3 and two.runs.where("status = 'started'").count() == 1
+    for _ in range(4):
+        two.set_status(ids["A"], "done", "h")
+    assert len(two._versions("runs")) == 3
+
+
+def test_started_runs_are_staged_again_whatever_the_gate_says(spark, tmp_path):
+    db = Catalog(spark, str(tmp_path))
+    db.stage(spark.createDataFrame([("A", "/a", None), ("B", "/b", None)], "scene_id string, scene_path string, crop_window string"))
+    ids = {r.scene_id: r.run_id for r in db.runs.collect()}
+    db.set_status(ids["A"], "done", "old")
+    db.set_status(ids["B"], "started")
+    with pytest.raises(RuntimeError, match="another configuration"):
+        db.to_run("new")
+    assert {r.scene_id: r.status for r in db.runs.collect()} == {"A": "done", "B": "staged"}
+    assert sorted(r.scene_id for r in db.to_run("new", "overwrite").collect()) == ["A", "B"]
+
+
 def test_status_matrix(spark):
     rows = spark.createDataFrame([("x", "a", "completed"), ("x", "b", "failed"), ("y", "b", "running")], "run_id string, step string, status string")
     assert sorted(map(tuple, status_matrix(rows, ("a", "b")).collect())) == [("x", "done", "FAILED"), ("y", "--", "--")]
