@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ..functions.algebra import finite
@@ -37,7 +40,7 @@ def at_points(points: DataFrame, grid: DataFrame, keys: list[str], y: Column, x:
     names = points.columns
     low = lambda v, n: F.least(F.greatest(F.floor(v), F.lit(0)), F.lit(max(n - 2, 0))).cast("int")
     inside = lambda v, n: v if extrapolate else F.least(F.greatest(v, F.lit(0.0)), F.lit(float(n - 1)))
-    p = points.withColumns({"__p": F.monotonically_increasing_id(), "__y": inside(y, height).cast("double"), "__x": inside(x, width).cast("double")})
+    p = points.withColumns({"__y": inside(y, height).cast("double"), "__x": inside(x, width).cast("double")})
     p = p.withColumns({"__r": low(F.col("__y"), height), "__c": low(F.col("__x"), width)})
     fy, fx = F.col("__y") - F.col("__r"), F.col("__x") - F.col("__c")
     corner = lambda dr, dc: F.struct((F.col("__r") + dr).alias("r"), (F.col("__c") + dc).alias("c"), ((fy if dr else 1 - fy) * (fx if dc else 1 - fx)).alias("w"))
@@ -46,7 +49,9 @@ def at_points(points: DataFrame, grid: DataFrame, keys: list[str], y: Column, x:
     g = grid.select(*(F.col(k).alias(f"__g_{k}") for k in keys), F.col("r").alias("__kr"), F.col("c").alias("__kc"), F.col("v").alias("__v"))
     on = [each["__kr"] == g["__kr"], each["__kc"] == g["__kc"], *(F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys)]
     whole = F.when(F.sum(F.when(F.col("__v").isNotNull(), F.abs("__w")).otherwise(0)) > 0, F.sum(F.col("__w") * F.coalesce("__v", F.lit(0.0))))
-    return each.join(g, on, "left").groupBy("__p", *names).agg(whole.alias("v")).drop("__p")
+    # rows alike in every column have the same corners: they are added up together and told apart again by their number
+    out = each.join(g, on, "left").groupBy(*names).agg(whole.alias("__sum"), (F.count(F.lit(1)) / len(corners)).cast("int").alias("__n"))
+    return out.withColumn("v", F.explode(F.array_repeat(F.col("__sum") / F.col("__n"), F.col("__n")))).drop("__sum", "__n")
 
 
 def nearest(points: DataFrame, grid: DataFrame, keys: list[str], y: Column, x: Column, height: int, width: int) -> DataFrame:
@@ -102,30 +107,76 @@ def dilated(mask: DataFrame, keys: list[str], n: int) -> DataFrame:
     return mask.withColumn("__v", F.max("v").over(across)).withColumn("v", F.max("__v").over(down)).drop("__v")
 
 
+def mirrored(name: str, n: int, margin: int) -> Column:
+    """Every place within ``margin`` of a raster of n rows (or columns) at which one of them appears when edges mirror, again and
+    again where the margin is wider than the raster."""
+    turns = F.sequence(F.lit(-(margin // (2 * n)) - 1), F.lit(margin // (2 * n) + 1))
+    places = F.flatten(F.transform(turns, lambda m: F.array(F.col(name) + 2 * n * m, -1 - F.col(name) + 2 * n * m)))
+    return F.explode(F.filter(places, lambda p: (p >= -margin) & (p < n + margin)))
+
+
 def shadow_reclassified(mask: DataFrame, keys: list[str], height: int, width: int, radius: int) -> DataFrame:
     """Shadow (3) becomes cloud (1) where more cloud (1, 2) than clear (0) lies around, edges reflected.
 
     Reflection copies a margin of ``radius`` cells, no more than is needed, before both passes.
     """
-    mirror = lambda name, n: F.array(F.col(name), F.when(F.col(name) < radius, -1 - F.col(name)), F.when(F.col(name) >= n - radius, 2 * n - 1 - F.col(name)))
     wide = mask.withColumns({"cloud": F.col("v").isin(1, 2).cast("int"), "bare": (F.col("v") == 0).cast("int"), "__r": F.col("r"), "__c": F.col("c")})
-    wide = wide.withColumn("r", F.explode(F.array_compact(mirror("__r", height)))).withColumn("c", F.explode(F.array_compact(mirror("__c", width))))
+    wide = wide.withColumn("r", mirrored("__r", height, radius)).withColumn("c", mirrored("__c", width, radius))
     sums = box_sums(wide, keys, ["cloud", "bare"], radius, radius).where("r = __r AND c = __c")
     return sums.select(*keys, "r", "c", F.when((F.col("v") == 3) & (F.col("sum_cloud") > F.col("sum_bare")), 1).otherwise(F.col("v")).alias("v"))
 
 
-def nearest_filled(grid: DataFrame, keys: list[str], reach: int) -> DataFrame:
-    """Missing cells take the value of the nearest cell that has one, within reach rows and columns (least r, c on ties).
+def nearest_filled(grid: DataFrame, keys: list[str], reach: int | None = None) -> DataFrame:
+    """Missing cells take the value of the nearest cell that has one (least r, then c, on ties), however far it is.
 
-    Each hole asks the cells around it by an equi-join; raise ``reach`` to the raster's size to fill everything.
+    The distance transform is separable: by column, windows find the nearest cells above and below; by row, each cell then takes
+    the best of the columns, going outward until no farther column can be better. A task holds one row of one raster.
+    ``reach`` leaves cells missing whose nearest is more rows or columns away. A raster without any value stays as it is.
     """
-    have = grid.where(finite(F.col("v"))).select(*keys, F.col("r").alias("__r"), F.col("c").alias("__c"), F.col("v").alias("__v"))
-    holes = grid.where(~finite(F.col("v")))
-    steps = lambda: F.explode(F.sequence(F.lit(-reach), F.lit(reach)))
-    asked = holes.withColumn("__dr", steps()).withColumn("__dc", steps()).withColumns({"__r": F.col("r") + F.col("__dr"), "__c": F.col("c") + F.col("__dc")})
-    rank = F.struct(F.col("__dr") * F.col("__dr") + F.col("__dc") * F.col("__dc"), "__r", "__c")
-    found = asked.join(have, [*keys, "__r", "__c"]).groupBy(*keys, "r", "c").agg(F.min_by("__v", rank).alias("__v"))
-    return grid.join(found, [*keys, "r", "c"], "left").withColumn("v", F.when(finite(F.col("v")), F.col("v")).otherwise(F.col("__v"))).drop("__v")
+    down = W.partitionBy(*keys, "c").orderBy("r").rowsBetween(W.unboundedPreceding, 0)
+    up = W.partitionBy(*keys, "c").orderBy("r").rowsBetween(0, W.unboundedFollowing)
+    known = F.when(finite(F.col("v")), F.struct(F.col("r").cast("long").alias("r"), F.col("v").cast("double").alias("v")))
+    rows = grid.withColumn("__k", known).withColumns({"__a": F.last("__k", True).over(down), "__b": F.first("__k", True).over(up)})
+    above = F.col("__b").isNull() | (F.col("r") - F.col("__a.r") <= F.col("__b.r") - F.col("r"))
+    best = F.when(F.col("__a").isNotNull() & above, F.col("__a")).otherwise(F.col("__b"))
+    rows = rows.withColumn("__best", best).select(*keys, "r", "c", F.col("__best.r").alias("nr"), F.col("__best.v").alias("nv"), F.col("__k").isNull().alias("hole"))
+    open_rows = rows.groupBy(*keys, "r").agg(F.max("hole").alias("any")).where("any").drop("any")  # rows of a raster without a hole go no further
+
+    def along(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("c")
+        c, r = part["c"].to_numpy(np.int64), int(part["r"].iloc[0])
+        none = np.int64(1) << 60
+        source = part["nr"].fillna(-1).to_numpy(np.int64)
+        value, width = part["nv"].to_numpy(float), int(c[-1] - c[0]) + 1
+        square, nr, nv = np.full(width, none), np.zeros(width, np.int64), np.full(width, np.nan)
+        at = c - c[0]
+        have = part["nr"].notna().to_numpy()
+        square[at[have]], nr[at[have]], nv[at[have]] = (source[have] - r) ** 2, source[have], value[have]
+        ask = at[part["hole"].to_numpy(bool)]
+        d, row, col = square[ask].copy(), nr[ask].copy(), ask.copy()
+        for k in range(1, width):
+            going = np.flatnonzero(k * k <= d)
+            if not len(going):
+                break
+            for step in (-k, k):
+                to = ask[going] + step
+                ok = (to >= 0) & (to < width)
+                i, to = going[ok], to[ok]
+                new = square[to] + k * k
+                better = (new < d[i]) | ((new == d[i]) & (new < none) & ((nr[to] < row[i]) | ((nr[to] == row[i]) & (to < col[i]))))
+                i, to = i[better], to[better]
+                d[i], row[i], col[i] = new[better], nr[to], to
+        found = np.where(d < none, nv[col], np.nan)
+        if reach is not None:
+            found[(np.abs(row - r) > reach) | (np.abs(col - ask) > reach)] = np.nan
+        out = pd.DataFrame({"r": r, "c": ask + c[0], "__v": found})
+        for k in reversed(keys):
+            out.insert(0, k, part[k].iloc[0])
+        return out[out["__v"].notna()]
+
+    schema = T.StructType([*(grid.schema[k] for k in keys), T.StructField("r", T.LongType()), T.StructField("c", T.LongType()), T.StructField("__v", T.DoubleType())])
+    filled = rows.join(open_rows, [*keys, "r"], "left_semi").groupBy(*keys, "r").applyInPandas(along, schema)
+    return grid.join(filled, [*keys, "r", "c"], "left").withColumn("v", F.when(finite(F.col("v")), F.col("v")).otherwise(F.col("__v"))).drop("__v")
 
 
 def warped(grid: DataFrame, offsets: DataFrame, keys: list[str], height: int, width: int) -> DataFrame:
@@ -165,6 +216,15 @@ def gaussian(distance: Column, sigma: float) -> Column:
     return F.exp(-0.5 * F.pow(distance / F.lit(sigma), F.lit(2.0)))
 
 
+def gaussian_weights(height: int, width: int, r: Column, c: Column) -> Column:
+    """The weight of each cell of a patch: a Gaussian of half the patch's size each way about its middle, with a mean of 1 over the
+    patch, so that a correlation is not changed by it. The coordinates run evenly from one edge's half size to the other's."""
+    ys, xs = np.linspace(-height // 2, height // 2, height), np.linspace(-width // 2, width // 2, width)
+    down, across = np.exp(-(ys**2) / (2 * (height / 2) ** 2)), np.exp(-(xs**2) / (2 * (width / 2) ** 2))
+    side = lambda values, i: F.get(F.array(*(F.lit(float(v)) for v in values / values.mean())), i)
+    return side(down, r) * side(across, c)
+
+
 def rotated(x: Column, y: Column, angle: float, cx: float = 0.0, cy: float = 0.0, inverse: bool = False) -> tuple[Column, Column]:
     """Rotation about a centre, or back."""
     c, s = math.cos(angle), math.sin(-angle if inverse else angle)

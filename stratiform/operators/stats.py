@@ -1,4 +1,8 @@
-"""Statistics of pixels by run and band: plug-ins by name, all runs in one job."""
+"""Statistics of pixels by run and band: plug-ins by name, all runs in one job.
+
+Quantiles are exact and found by rank, so that no task holds a group's values: values are counted, counts are sorted by ranges
+of (group, value), and of the ranges only those that hold a wanted rank are looked into.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +10,20 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from ..functions.algebra import band_name, valid
+from ..functions.algebra import band_name, finite, valid
+from ..sources.tables import cut
 
 # The percentiles that are reported, and the classes of a cloud mask.
 PERCENTILES = (0, 5, 25, 50, 75, 95, 100)
 CLASSES = {0: "Clear", 1: "Thick Cloud", 2: "Thin Cloud", 3: "Cloud Shadow"}
 
-StatsFunction = Callable[..., list[Column]]
+class Quantiles(dict):
+    """Names of wanted quantiles and their points within 0..1, which a statistics function may return among its aggregates."""
+
+
+StatsFunction = Callable[..., list[Column | Quantiles]]
 REGISTRY: dict[str, StatsFunction] = {}
 
 
@@ -43,13 +53,12 @@ def mean(value: Column) -> list[Column]:
 
 @stats_function("median")
 def median(value: Column) -> list[Column]:
-    return [F.median(value).alias("median"), F.count(value).alias("n_pixels")]
+    return [Quantiles(median=0.5), F.count(value).alias("n_pixels")]
 
 
 @stats_function("percentiles")
 def percentiles(value: Column, points: tuple[int, ...] = PERCENTILES) -> list[Column]:
-    every = F.percentile(value, F.array(*(F.lit(p / 100) for p in points)))  # one pass over the values for all points
-    return [*(F.get(every, F.lit(i)).alias(f"p{p:03d}") for i, p in enumerate(points)), F.avg(value).alias("mean"), F.count(value).alias("n_pixels")]
+    return [Quantiles({f"p{p:03d}": p / 100 for p in points}), F.avg(value).alias("mean"), F.count(value).alias("n_pixels")]
 
 
 @stats_function("cloud_mask::class_fractions")
@@ -63,7 +72,43 @@ def class_fractions(value: Column, classes: dict[int, str] | None = None) -> lis
 def band_stats(pixels: DataFrame, identifier: str, nodata: float | None = None, **options) -> DataFrame:
     """One row a run and band; bands without a valid pixel give none. pixels: run_id, band, band_idx, value."""
     rows = pixels.where(valid(F.col("value"), nodata)).withColumn("band", band_name(F.col("band"), F.col("band_idx")))
-    return rows.groupBy("run_id", "band").agg(*resolve(identifier)(F.col("value"), **options))
+    return summarised(rows, ["run_id", "band"], "value", resolve(identifier)(F.col("value"), **options))
+
+
+def summarised(rows: DataFrame, keys: list[str], value: str, wanted: list[Column | Quantiles]) -> DataFrame:
+    """The aggregates and quantiles of a value by keys, quantiles first."""
+    points = {name: p for w in wanted if isinstance(w, Quantiles) for name, p in w.items()}
+    aggregates = [w for w in wanted if not isinstance(w, Quantiles)]
+    if not points:
+        return rows.groupBy(*keys).agg(*aggregates)
+    found = quantiles(rows, keys, value, points)
+    if not aggregates:
+        return found
+    made = rows.groupBy(*keys).agg(*aggregates)
+    return found.join(made, keys)
+
+
+def quantiles(rows: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
+    """(keys, one column a point): exact quantiles, linear between the two values next to a rank; nulls do not count.
+
+    Infinities are values like others, at either end, and NaN comes after all. Keys may be few and hold any number of values.
+    """
+    order = [*keys, "__v"]
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    placed = cut(counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()))
+    by_key = W.partitionBy(*keys)
+    before = F.sum("__n").over(by_key.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    spans = placed.groupBy(*keys, "__part").agg(F.sum("__n").alias("__n"))
+    spans = spans.withColumns({"__from": F.coalesce(before, F.lit(0)), "__total": F.sum("__n").over(by_key)})
+    asked = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("__total") - 1)).alias("at")) for i, p in enumerate(points.values()))))
+    ranks = spans.select(*keys, "__part", "__from", "__n", "__total", asked.alias("a")).select(*keys, "__part", "__from", "__n", "a.i", "a.at", F.explode(F.array(F.struct(F.floor("a.at").alias("rank"), (1 - (F.col("a.at") - F.floor("a.at"))).alias("w")), F.struct((F.floor("a.at") + 1).alias("rank"), (F.col("a.at") - F.floor("a.at")).alias("w")))).alias("s"))
+    ranks = ranks.select(*keys, "__part", "__from", "i", F.col("s.rank").alias("rank"), F.col("s.w").alias("w"), "__n").where("w > 0 AND rank >= __from AND rank < __from + __n").drop("__n")
+    within = W.partitionBy(*keys, "__part").orderBy("__v").rowsBetween(W.unboundedPreceding, 0)
+    wanted = ranks.select(*keys, "__part").dropDuplicates()
+    values = placed.join(wanted, [*keys, "__part"], "left_semi").withColumn("__to", F.sum("__n").over(within))
+    hit = values.join(ranks, [*keys, "__part"]).where("rank - __from < __to AND rank - __from >= __to - __n")
+    each = [F.sum(F.when(F.col("i") == i, F.col("w") * F.col("__v"))).alias(name) for i, name in enumerate(points)]
+    return hit.groupBy(*keys).agg(*each)
 
 
 def wide_stats(stats: DataFrame, bands: tuple[str, ...]) -> DataFrame:
@@ -111,10 +156,17 @@ def unprefixed(stats: DataFrame) -> DataFrame:
     return stats.drop("band")
 
 
-def uncertainty_summary(value: Column) -> list[Column]:
-    every = F.percentile(value, F.array(*(F.lit(p) for p in (0.25, 0.5, 0.75, 0.9, 0.95, 0.99))))
-    names = ("p25", "median", "p75", "p90", "p95", "p99")
-    return [F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"), *(F.get(every, F.lit(i)).alias(n) for i, n in enumerate(names))]
+def uncertainty_summary(value: Column) -> list[Column | Quantiles]:
+    """For ``summarised``."""
+    points = Quantiles(p25=0.25, median=0.5, p75=0.75, p90=0.9, p95=0.95, p99=0.99)
+    return [F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"), points]
+
+
+def auto_stretch(pixels: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, gain, offset) that stretch the first to the 99th percentile of the values above zero to 0..1."""
+    ends = quantiles(pixels.where(finite(F.col(value)) & (F.col(value) > 0)), keys, value, {"low": 0.01, "high": 0.99})
+    gain = 1 / (F.col("high") - F.col("low"))
+    return ends.select(*keys, gain.alias("gain"), (-F.col("low") * gain).alias("offset"))
 
 
 def histogram_bin(value: Column, low: float, high: float, bins: int) -> Column:

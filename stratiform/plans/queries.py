@@ -108,7 +108,8 @@ def run_stats(spark, sf):
 
 @query("SELECT label, round(avg(u), 6) AS mean, round(stddev_pop(u), 6) AS std, round(min(u), 6) AS min, round(max(u), 6) AS max, round(quantile_cont(u, 0.25), 6) AS p25, round(median(u), 6) AS median, round(quantile_cont(u, 0.75), 6) AS p75, round(quantile_cont(u, 0.9), 6) AS p90, round(quantile_cont(u, 0.95), 6) AS p95, round(quantile_cont(u, 0.99), 6) AS p99 FROM (SELECT label, list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS u FROM embeddings) t GROUP BY label")
 def uncertainty_stats(spark, sf):
-    rows = table(spark, sf, "embeddings").groupBy("label").agg(*stats.uncertainty_summary(A.norms(F.col("embedding"))["l1"]))
+    rows = table(spark, sf, "embeddings").select("label", A.norms(F.col("embedding"))["l1"].alias("u"))
+    rows = stats.summarised(rows, ["label"], "u", stats.uncertainty_summary(F.col("u")))
     return rows.select("label", *(F.round(c, 6).alias(c) for c in rows.columns[1:]))
 
 
@@ -224,9 +225,8 @@ def shading_normalise(spark, sf):
 @query(f"WITH {G}, q AS (SELECT scene, quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.99) AS hi FROM g WHERE v > 0 GROUP BY scene) SELECT scene, r, c, round(least(greatest(greatest((v - lo) / (hi - lo), 0) ** 0.8, 0), 1), 5) AS x FROM g JOIN q USING (scene)")
 def rgb_autostretch(spark, sf):
     g = raster(spark, sf)
-    q = g.where("v > 0").groupBy("scene").agg(F.percentile("v", F.array(F.lit(0.01), F.lit(0.99))).alias("q"))
-    gain = 1 / (F.col("q")[1] - F.col("q")[0])
-    return g.join(q, "scene").select("scene", "r", "c", F.round(A.rgb_stretch(F.col("v"), gain, -F.col("q")[0] * gain, 0.8), 5).alias("x"))
+    stretch = stats.auto_stretch(g, ["scene"], "v")
+    return g.join(stretch, "scene").select("scene", "r", "c", F.round(A.rgb_stretch(F.col("v"), F.col("gain"), F.col("offset"), 0.8), 5).alias("x"))
 
 
 @query("SELECT o_orderkey, CASE WHEN d1 IS NOT NULL THEN 1 - 2 * (d1 % 2) WHEN d2 IS NOT NULL THEN 1 - 2 * (d2 % 2) ELSE 1 END::INT AS sign FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 12 END AS d1, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey % 12 END AS d2 FROM orders) t")
@@ -311,10 +311,13 @@ def shadow_reclass(spark, sf):
     return grids.shadow_reclassified(g, ["scene"], H, WIDTH, 3)
 
 
-@query(f"WITH {G}, o AS (SELECT i::INT AS dr, j::INT AS dc FROM range(-3, 4) a(i), range(-3, 4) b(j)), s AS (SELECT h.scene, h.r, h.c, arg_min(k.v, (dr * dr + dc * dc) * 10000 + k.r * 100 + k.c) AS v FROM g h, o, g k WHERE h.v > 0.1 AND k.v <= 0.1 AND k.scene = h.scene AND k.r = h.r + dr AND k.c = h.c + dc GROUP BY ALL) SELECT g.scene, g.r, g.c, round(CASE WHEN g.v > 0.1 THEN s.v ELSE g.v END, 6) AS v FROM g LEFT JOIN s USING (scene, r, c)")
+@query(f"WITH {G}, m AS (SELECT scene, r, c, CASE WHEN v <= 0.1 AND (r < 10 OR r > 35 OR c < 8) THEN v END AS v FROM g), s AS (SELECT h.scene, h.r, h.c, arg_min(k.v, ((h.r - k.r) ** 2 + (h.c - k.c) ** 2) * 10000 + k.r * 100 + k.c) AS v FROM m h, m k WHERE h.v IS NULL AND k.v IS NOT NULL AND k.scene = h.scene GROUP BY ALL) "
+       "SELECT m.scene, m.r, m.c, round(coalesce(m.v, s.v), 6) AS v FROM m LEFT JOIN s ON s.scene = m.scene AND s.r = m.r AND s.c = m.c")
 def nearest_fill(spark, sf):
-    g = raster(spark, sf).select("scene", "r", "c", F.when(F.col("v") > 0.1, float("nan")).otherwise(F.col("v")).alias("v"))
-    return grids.nearest_filled(g, ["scene"], 3).withColumn("v", F.round("v", 6))
+    """Scattered holes and one of 26 by 56 cells."""
+    gap = (F.col("v") > 0.1) | F.col("r").between(10, 35) & (F.col("c") >= 8)
+    g = raster(spark, sf).select("scene", "r", "c", F.when(gap, float("nan")).otherwise(F.col("v")).alias("v"))
+    return grids.nearest_filled(g, ["scene"]).withColumn("v", F.round("v", 6))
 
 
 WINDOWS = f"WITH {G}, w AS (SELECT (4 * i)::INT AS wr, (4 * j)::INT AS wc FROM range(11) a(i), range(15) b(j)), x AS (SELECT scene, r, c, wr, wc, v * (1 + 0.01 * (wr + wc)) AS v FROM g JOIN w ON r BETWEEN wr AND wr + 7 AND c BETWEEN wc AND wc + 7)"
@@ -651,8 +654,9 @@ def mlp_inference(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", F.transform(out, lambda x: F.round(x, 6)).alias("prediction"))
 
 
-@query()
+@query(f"WITH {G} SELECT scene, r::BIGINT AS r, c::BIGINT AS c, round(v * 2 + 1, 6) AS v FROM g")
 def sliding_window_udf(spark, sf):
+    """A model that looks at no neighbour gives every cell, whatever the windows, what it gives the cell."""
     return inference.windowed(raster(spark, sf), ["scene"], H, WIDTH, 16, 8, lambda x: x * 2 + 1, context=2).withColumn("v", F.round("v", 6))
 
 
