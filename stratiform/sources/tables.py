@@ -2,6 +2,7 @@
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,11 +18,30 @@ def views(spark: SparkSession, folder: str, names: tuple[str, ...] = TABLES) ->
         table(spark, folder, name).createOrReplaceTempView(name)
 
 
+#: The temporary folder of each application that runs in one process and names none; by application id.
+_OWN: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only for a session of one process without one."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        found = _OWN.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="shared-")
+        _OWN[context.applicationId] = found
+    return found.rstrip("/")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The rows, written below spark.checkpoint.dir and read from there; a session of one process without one gets a folder."""
+    """The rows, written below the shared folder and read from there, so that lost executors lose nothing."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        if not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
