@@ -262,6 +262,29 @@ def first_steps(footprints: DataFrame, keys: list[str]) -> DataFrame:
     return footprints.withColumn("__d", F.col("v") - before).where("__d = 1").groupBy(*keys, "c").agg(F.min("r").alias("r"))
 
 
+def orbit_angles(footprints: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, angle): the track's angle in the image, from the border between two detectors; 0 where none is seen or it does not move.
+
+    footprints: keys, r, c, v, with 0 for no data. Rows and columns of nothing but 0 are cut away. The border is the first step by
+    one (from l to u) in the first column that has one; it is followed over the columns without a gap that hold both l and u, and
+    ends in the last of them where l is first seen.
+    """
+    seen = lambda name: footprints.where("v <> 0").select(*keys, name).dropDuplicates().withColumn(f"__{name}", F.row_number().over(W.partitionBy(*keys).orderBy(name)) - 1)
+    rows = footprints.join(seen("r"), [*keys, "r"]).join(seen("c"), [*keys, "c"]).select(*keys, F.col("__r").alias("r"), F.col("__c").alias("c"), "v")
+    before = F.lag("v").over(W.partitionBy(*keys, "c").orderBy("r"))
+    steps = rows.withColumn("l", before).where(F.col("v") - F.col("l") == 1).select(*keys, "c", (F.col("r") - 1).alias("y"), "l", F.col("v").alias("u"))
+    start = steps.groupBy(*keys).agg(F.min_by(F.struct("c", "y", "l", "u"), F.struct("c", "y")).alias("s")).select(*keys, F.col("s.c").alias("c0"), F.col("s.y").alias("y0"), "s.l", "s.u")
+    held = rows.join(start, keys).where((F.col("c") >= F.col("c0")) & F.col("v").isin(F.col("l"), F.col("u")))
+    held = held.groupBy(*keys, "c0", "y0", "c").agg(F.min(F.when(F.col("v") == F.col("l"), F.col("r"))).alias("first"), F.max(F.when(F.col("v") == F.col("u"), 1)).alias("both")).where("first IS NOT NULL AND both = 1")
+    island = F.col("c") - F.row_number().over(W.partitionBy(*keys).orderBy("c"))
+    run = held.withColumn("__i", island).where(F.col("__i") == F.col("c0") - 1)  # the columns that follow the first without a gap
+    last = run.groupBy(*keys, "c0", "y0").agg(F.max("c").alias("c1"), F.max_by("first", "c").alias("y1"))
+    across, down = F.col("c1") - F.col("c0"), F.col("y0") - F.col("y1")
+    angle = F.when(across == 0, 0.0).otherwise(-F.atan2(across.cast("double"), down.cast("double")))
+    every = footprints.select(*keys).dropDuplicates()
+    return every.join(last.select(*keys, angle.alias("angle")), keys, "left").withColumn("angle", F.coalesce("angle", F.lit(0.0)))
+
+
 def problems(grid: DataFrame, keys: list[str], low: float, high: float, classes: tuple[int, ...] | None = None) -> DataFrame:
     """How many cells of each raster lie outside their domain; rasters are reported, not refused."""
     v = F.col("v")

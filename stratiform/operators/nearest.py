@@ -25,52 +25,54 @@ def _cell(column: str, low: float, width: float) -> Column:
     return F.floor((F.col(column) - F.lit(low)) / F.lit(width)).cast("long")
 
 
-def k_nearest(queries: DataFrame, samples: DataFrame, axes: list[str], sample_axes: list[str], k: int) -> DataFrame:
+def k_nearest(queries: DataFrame, samples: DataFrame, axes: list[str], sample_axes: list[str], k: int, keys: list[str] | None = None) -> DataFrame:
     """(id, near): for each query (id, axes) an array of up to k structs (d, sid, row), nearest first, ties to the lesser sid.
 
-    ``row`` is the whole sample (sid, sample_axes and more). Queries or samples with a missing coordinate have no neighbours;
-    a query without any sample gives no row. Ids tell queries apart.
+    ``row`` is the whole sample (sid, sample_axes and more). With ``keys``, which both tables have, only samples of the query's own
+    key count. Queries or samples with a missing coordinate have no neighbours; a query without any sample gives no row. Ids
+    tell queries apart.
     """
+    by, dims = [f"__b{i}" for i in range(len(keys or []))], range(len(axes))
     finite = lambda names: functools.reduce(operator.and_, [F.col(n).isNotNull() & ~F.isnan(F.col(n).cast("double")) for n in names])
-    have = samples.where(finite(sample_axes)).select(*(F.col(a).cast("double").alias(f"__s{i}") for i, a in enumerate(sample_axes)), F.col("sid").alias("__sid"), F.struct(*samples.columns).alias("__row"))
-    at = [f"__s{i}" for i in range(len(axes))]
-    have = have.withColumn("__rank", F.row_number().over(W.partitionBy(*at).orderBy("__sid"))).where(F.col("__rank") <= k).drop("__rank")
+    shared = [F.col(c).alias(b) for c, b in zip(keys or [], by, strict=True)]
+    have = samples.where(finite(sample_axes)).select(*shared, *(F.col(a).cast("double").alias(f"__s{i}") for i, a in enumerate(sample_axes)), F.col("sid").alias("__sid"), F.struct(*samples.columns).alias("__row"))
+    at = [f"__s{i}" for i in dims]
+    there = have.groupBy(*by).agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("__w"))  # how many neighbours there are to find
+    have = have.withColumn("__rank", F.row_number().over(W.partitionBy(*by, *at).orderBy("__sid"))).where(F.col("__rank") <= k).drop("__rank")
     ends = have.agg(F.count(F.lit(1)).alias("n"), *(F.min(a).alias(f"lo{a}") for a in at), *(F.max(a).alias(f"hi{a}") for a in at)).first()
     schema = have.select(F.lit(0.0).alias("d"), F.col("__sid").alias("sid"), F.col("__row").alias("row"))
-    asked = queries.where(finite(axes)).select("id", *(F.col(a).cast("double").alias(f"__q{i}") for i, a in enumerate(axes)))
+    asked = queries.where(finite(axes)).select("id", *shared, *(F.col(a).cast("double").alias(f"__q{i}") for i, a in enumerate(axes)))
     if not ends["n"]:
         return asked.limit(0).select("id", F.array().cast(f"array<{schema.schema.simpleString()}>").alias("near"))
+    rest = asked.join(there, by) if by else asked.withColumn("__w", F.lit(min(k, ends["n"])))
     low = [ends[f"lo{a}"] for a in at]
     span = max(max(ends[f"hi{a}"] - ends[f"lo{a}"] for a in at), 1e-300)
-    width = span / 2 ** _level(have, at, low, span, k)
-    out, wanted, rest = None, min(k, ends["n"]), asked
+    width, out, cells = span / 2 ** _level(have, by, at, low, span, k), None, [f"__c{i}" for i in dims]
     while True:
-        cells = lambda f: [f(i).alias(f"__c{i}") for i in range(len(axes))]
-        mine = rest.select("*", *cells(lambda i: _cell(f"__q{i}", low[i], width)))
-        for i in range(len(axes)):
-            mine = mine.withColumn(f"__c{i}", F.explode(F.sequence(F.col(f"__c{i}") - 1, F.col(f"__c{i}") + 1)))
-        theirs = have.select("*", *cells(lambda i: _cell(f"__s{i}", low[i], width)))
-        pairs = mine.join(theirs, [f"__c{i}" for i in range(len(axes))])
-        square = functools.reduce(operator.add, [F.pow(F.col(f"__q{i}") - F.col(f"__s{i}"), F.lit(2.0)) for i in range(len(axes))])
-        near = pairs.select("id", F.struct(F.sqrt(square).alias("d"), F.col("__sid").alias("sid"), F.col("__row").alias("row")).alias("s"))
-        near = near.withColumn("__k", F.row_number().over(W.partitionBy("id").orderBy("s.d", "s.sid"))).where(F.col("__k") <= wanted)
-        near = near.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("__k", "s"))), lambda x: x["s"]).alias("near"))
-        sure = near.where((F.size("near") == wanted) & (F.get("near", F.lit(wanted - 1))["d"] <= width))
-        sure = cut(sure)
+        mine = rest.select("*", *(_cell(f"__q{i}", low[i], width).alias(cells[i]) for i in dims))
+        for c in cells:
+            mine = mine.withColumn(c, F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)))
+        theirs = have.select("*", *(_cell(f"__s{i}", low[i], width).alias(cells[i]) for i in dims))
+        square = functools.reduce(operator.add, [F.pow(F.col(f"__q{i}") - F.col(f"__s{i}"), F.lit(2.0)) for i in dims])
+        pairs = mine.join(theirs, [*by, *cells]).select("id", "__w", F.struct(F.sqrt(square).alias("d"), F.col("__sid").alias("sid"), F.col("__row").alias("row")).alias("s"))
+        near = pairs.withColumn("__k", F.row_number().over(W.partitionBy("id").orderBy("s.d", "s.sid"))).where(F.col("__k") <= k)
+        near = near.groupBy("id").agg(F.first("__w").alias("__w"), F.transform(F.array_sort(F.collect_list(F.struct("__k", "s"))), lambda x: x["s"]).alias("near"))
+        sure = (F.size("near") >= F.col("__w")) & (F.get("near", F.col("__w") - 1)["d"] <= width)
+        sure = cut(near.where(sure).select("id", F.slice("near", F.lit(1), F.col("__w")).alias("near")))
         out = sure if out is None else out.unionByName(sure)
         rest = cut(rest.join(sure.select("id"), "id", "left_anti"))
         if rest.isEmpty():
             return out
         width *= 2
-        if width >= 4 * span:  # whoever is left lies far outside: to them every sample is in one region, of which the nearest edge counts
+        if width >= 4 * span:  # whoever is left lies outside of all samples, and now sees every one
             width = max(width, _reach(rest, low, ends, at))
 
 
-def _level(have: DataFrame, at: list[str], low: list[float], span: float, k: int) -> int:
+def _level(have: DataFrame, by: list[str], at: list[str], low: list[float], span: float, k: int) -> int:
     """The coarsest lattice of span / 2**level in which no cell holds more than CROWD samples, or the finest."""
     levels = F.explode(F.sequence(F.lit(0), F.lit(FINEST))).alias("level")
-    fine = have.select(*(F.floor((F.col(a) - F.lit(lo)) / F.lit(span) * F.lit(float(2**FINEST))).cast("long").alias(a) for a, lo in zip(at, low, strict=True)), levels)
-    cells = fine.groupBy("level", *((F.expr(f"shiftright({a}, {FINEST} - level)")).alias(a) for a in at)).agg(F.count(F.lit(1)).alias("n"))
+    fine = have.select(*(F.floor((F.col(a) - F.lit(lo)) / F.lit(span) * F.lit(float(2**FINEST))).cast("long").alias(a) for a, lo in zip(at, low, strict=True)), *by, levels)
+    cells = fine.groupBy("level", *by, *((F.expr(f"shiftright({a}, {FINEST} - level)")).alias(a) for a in at)).agg(F.count(F.lit(1)).alias("n"))
     crowds = {r["level"]: r["n"] for r in cells.groupBy("level").agg(F.max("n").alias("n")).collect()}
     return min((level for level, n in crowds.items() if n <= max(CROWD, k)), default=FINEST)
 

@@ -10,14 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.algebra import finite
 from .nearest import k_nearest
 
 #: A cell of a box join with more right rows than this is dealt to several parts.
 CELL_ROWS = 4096
 
 
-def box_join(left: DataFrame, right: DataFrame, reach: float, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Pairs with |x - rx| <= reach and |y - ry| <= reach. left: x, y and more; right: rx, ry and more.
+def box_join(left: DataFrame, right: DataFrame, reach: float, cell_rows: int = CELL_ROWS, keys: list[str] | None = None) -> DataFrame:
+    """Pairs with |x - rx| <= reach and |y - ry| <= reach. left: x, y and more; right: rx, ry and more;
+    of keys, which both have, only equal ones meet.
 
     Each left row asks those of the nine cells around it that hold right rows; each right row lies in one. Only cells of more
     than cell_rows right rows are cut into parts, each asked in turn, so dense cells are no single task and others cost nothing.
@@ -26,16 +28,17 @@ def box_join(left: DataFrame, right: DataFrame, reach: float, cell_rows: int = C
     around = lambda v: F.explode(F.sequence(cell(v) - 1, cell(v) + 1))
     a = left.withColumn("__i", around(F.col("x"))).withColumn("__j", around(F.col("y")))
     b = right.withColumns({"__i": cell(F.col("rx")), "__j": cell(F.col("ry"))})
-    sizes = b.groupBy("__i", "__j").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_rows)).cast("int").alias("__n"))
-    a = a.join(sizes, ["__i", "__j"]).withColumn("__s", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+    on = [*(keys or []), "__i", "__j"]
+    sizes = b.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_rows)).cast("int").alias("__n"))
+    a = a.join(sizes, on).withColumn("__s", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
     crowded = sizes.where("__n > 1")
     part = F.coalesce(F.pmod(F.xxhash64(*right.columns), F.col("__n")), F.lit(0)).cast("int")
-    b = b.join(crowded, ["__i", "__j"], "left").withColumn("__s", part).drop("__n")
+    b = b.join(crowded, on, "left").withColumn("__s", part).drop("__n")
     near = (F.abs(F.col("x") - F.col("rx")) <= reach) & (F.abs(F.col("y") - F.col("ry")) <= reach)
-    return a.join(b, ["__i", "__j", "__s"]).where(near).drop("__i", "__j", "__s")
+    return a.join(b, [*on, "__s"]).where(near).drop("__i", "__j", "__s")
 
 
-def smoothed_heights(points: DataFrame, retrievals: DataFrame, sigma: float, heights: list[float]) -> DataFrame:
+def smoothed_heights(points: DataFrame, retrievals: DataFrame, sigma: float, heights: list[float], keys: list[str] | None = None) -> DataFrame:
     """(id, height): the best of the candidate heights at each grid point (id, x, y) from retrievals (rx, ry, scores).
 
     Scores within two sigma are averaged with Gaussian weights times the square of each retrieval's best score; a point needs a
@@ -43,7 +46,7 @@ def smoothed_heights(points: DataFrame, retrievals: DataFrame, sigma: float, hei
     being no cloud's height, and so are points without a retrieval. Score vectors are added element by element.
     """
     best = F.array_max("scores")
-    pairs = box_join(points, retrievals.where(~F.exists("scores", F.isnan)), 2 * sigma)
+    pairs = box_join(points, retrievals.where(F.forall("scores", finite)), 2 * sigma, keys=keys)
     d = F.sqrt(F.pow(F.col("x") - F.col("rx"), F.lit(2.0)) + F.pow(F.col("y") - F.col("ry"), F.lit(2.0)))
     pairs = pairs.withColumn("d", d).withColumn("w", F.exp(-0.5 * F.pow(F.col("d") / sigma, F.lit(2.0))) * best * best)
     sums = [F.sum(F.col("w") * F.get("scores", F.lit(k))).alias(f"s{k}") for k in range(len(heights))]
@@ -91,16 +94,56 @@ def transmission(value: Column, tau: Column, least_tau: float) -> Column:
     return F.least(F.greatest(F.when(tau < least_tau, low).otherwise(value), F.lit(0.0)), F.lit(1.0))
 
 
-def lut_interpolated(queries: DataFrame, lut: DataFrame, axis: str, by: list[str], value: str) -> DataFrame:
-    """Linear interpolation along one axis, per group; held at both ends. Intervals meet queries in their groups."""
-    order = W.partitionBy(*by).orderBy(axis)
-    spans = lut.withColumns({"__x1": F.lead(axis).over(order), "__v1": F.lead(value).over(order), "__k": F.row_number().over(order), "__n": F.count(F.lit(1)).over(W.partitionBy(*by))})
-    spans = spans.where("__x1 IS NOT NULL").select(*by, F.col(axis).alias("__x0"), F.col(value).alias("__v0"), "__x1", "__v1", (F.col("__k") == 1).alias("__first"), (F.col("__k") == F.col("__n") - 1).alias("__last"))
-    x = F.col(axis)
-    inside = ((x >= F.col("__x0")) | F.col("__first")) & ((x < F.col("__x1")) | F.col("__last"))
-    share = F.least(F.greatest((x - F.col("__x0")) / (F.col("__x1") - F.col("__x0")), F.lit(0.0)), F.lit(1.0))
-    found = queries.join(spans, by).where(inside)
-    return found.withColumn(value, (1 - share) * F.col("__v0") + share * F.col("__v1")).select(*queries.columns, value)
+def brackets(values: DataFrame, knots: DataFrame, x: str) -> DataFrame:
+    """values with (lo, hi, share): the neighbouring knots (one column, distinct) around x and how far x lies between them.
+
+    Beyond the ends the end counts. Spans are dealt to as many even buckets as there are knots, twice as many rows at most as
+    knots, and a value meets the spans of its bucket by an equi-join.
+    """
+    k = knots.columns[0]
+    ends = knots.agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    lo, hi, n = ends["lo"], ends["hi"], ends["n"]
+    if n < 2:
+        return values.withColumns({"lo": F.lit(lo).cast("double"), "hi": F.lit(lo).cast("double"), "share": F.lit(0.0)}) if n else values.limit(0).withColumns(dict.fromkeys(("lo", "hi", "share"), F.lit(0.0)))
+    bucket = lambda c: F.least(F.floor((c - F.lit(float(lo))) * F.lit(n / (hi - lo))), F.lit(n - 1)).cast("int")
+    spans = knots.select(F.col(k).cast("double").alias("lo"), F.lead(F.col(k).cast("double")).over(W.orderBy(k)).alias("hi")).where("hi IS NOT NULL")  # one row a knot of an axis
+    spans = spans.withColumn("__bucket", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))))
+    held = F.least(F.greatest(F.col(x).cast("double"), F.lit(float(lo))), F.lit(float(hi)))
+    rows = values.where(F.col(x).isNotNull() & ~F.isnan(F.col(x).cast("double"))).withColumn("__x", held).withColumn("__bucket", bucket(F.col("__x")))
+    inside = (F.col("__x") >= F.col("lo")) & ((F.col("__x") < F.col("hi")) | (F.col("hi") == F.lit(float(hi))))
+    found = rows.join(spans, "__bucket").where(inside)
+    return found.withColumn("share", (F.col("__x") - F.col("lo")) / (F.col("hi") - F.col("lo"))).drop("__bucket", "__x")
+
+
+def lut_interpolated(queries: DataFrame, lut: DataFrame, axes: list[str] | str, by: list[str], value: str) -> DataFrame:
+    """The queries' columns and the table's value, linear between the grid's entries along every axis, held at its ends.
+
+    The table is a full grid over its axes for each combination of ``by`` (fixed axes such as an albedo); a query whose corners
+    are not all there or not all numbers has null, one with a missing coordinate no row. Axes are bracketed one by one, then the
+    2**axes corners of each query are fetched by one equi-join.
+    """
+    axes = [axes] if isinstance(axes, str) else axes
+    rows = queries
+    for i, a in enumerate(axes):
+        knots = lut.select(F.col(a).cast("double").alias("k")).where("k IS NOT NULL").dropDuplicates()
+        rows = brackets(rows, knots, a).withColumnsRenamed({"lo": f"__lo{i}", "hi": f"__hi{i}", "share": f"__t{i}"})
+    for i in range(len(axes)):
+        low = F.struct(F.col(f"__lo{i}").alias("x"), (1 - F.col(f"__t{i}")).alias("w"))
+        high = F.struct(F.col(f"__hi{i}").alias("x"), F.col(f"__t{i}").alias("w"))
+        rows = rows.withColumn(f"__k{i}", F.explode(F.when((F.col(f"__t{i}") > 0), F.array(low, high)).otherwise(F.array(low))))
+    weight = F.lit(1.0)
+    for i in range(len(axes)):
+        weight = weight * F.col(f"__k{i}.w")
+    corners = rows.select(*queries.columns, weight.alias("__w"), *(F.col(f"__k{i}.x").alias(f"__a{i}") for i in range(len(axes))), *(F.col(f"__t{i}") for i in range(len(axes))))
+    entries = lut.select(*(F.col(b).alias(f"__b{j}") for j, b in enumerate(by)), *(F.col(a).cast("double").alias(f"__e{i}") for i, a in enumerate(axes)), F.col(value).cast("double").alias("__v"))
+    on = [F.col(f"__a{i}") == F.col(f"__e{i}") for i in range(len(axes))] + [F.col(b).eqNullSafe(F.col(f"__b{j}")) for j, b in enumerate(by)]
+    found = corners.join(entries, on, "left")
+    n = F.lit(1.0)
+    for i in range(len(axes)):
+        n = n * F.when(F.first(f"__t{i}") > 0, 2.0).otherwise(1.0)
+    whole = F.count(F.when(F.col("__v").isNotNull() & ~F.isnan("__v"), 1)) == F.count(F.lit(1))
+    out = found.groupBy(*queries.columns).agg(F.when(whole, F.sum(F.col("__w") * F.col("__v"))).alias("__sum"), (F.count(F.lit(1)) / n).cast("int").alias("__n"))
+    return out.withColumn(value, F.explode(F.array_repeat(F.col("__sum") / F.col("__n"), F.col("__n")))).select(*queries.columns, value)
 
 
 def pair_correlation(patches: DataFrame, keys: list[str], pixel: str = "pixel") -> DataFrame:

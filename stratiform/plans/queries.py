@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import algebra as A
 from ..functions import noise
-from ..operators import catalog, grids, inference, spatial, stats
+from ..operators import albedo, catalog, grids, inference, resize, spatial, stats, stereo
 from ..schema import BANDS, bands
 from ..sources import raster as rasters
 from ..sources import scenes
@@ -441,6 +441,114 @@ def lut_interp(spark, sf):
     return spatial.lut_interpolated(q, lut(spark), "tau", ["mu"], "t").select("o_orderkey", F.round("t", 8).alias("t"))
 
 
+LUT3 = "lut AS (SELECT tau, mu, alb, exp(-tau / (10 * (0.2 + mu / 25))) * (1 - 0.1 * alb) + 0.001 * mu * alb AS t FROM (SELECT DISTINCT p_size::DOUBLE AS tau FROM part) a, (SELECT i::DOUBLE AS mu FROM range(25) b(i)) c, (SELECT i::DOUBLE AS alb FROM range(5) d(i)) e)"
+
+
+@query(f"WITH {LUT3}, q AS (SELECT o_orderkey, o_totalprice / 9001 AS tau, (o_custkey % 263) / 10 AS mu, (o_orderkey % 41) / 10 AS alb FROM orders), "
+       + ", ".join(f"{n} AS (SELECT {n} AS x, lead({n}) OVER (ORDER BY {n}) AS y FROM (SELECT DISTINCT {n} FROM lut) u)" for n in ("tau", "mu", "alb"))
+       + ", h AS (SELECT o_orderkey, " + ", ".join(f"least(greatest(q.{n}, (SELECT min({n}) FROM lut)), (SELECT max({n}) FROM lut)) AS {n}" for n in ("tau", "mu", "alb")) + " FROM q), "
+       "i AS (SELECT h.o_orderkey, tau.x AS t0, tau.y AS t1, (h.tau - tau.x) / (tau.y - tau.x) AS ft, mu.x AS m0, mu.y AS m1, (h.mu - mu.x) / (mu.y - mu.x) AS fm, alb.x AS a0, alb.y AS a1, (h.alb - alb.x) / (alb.y - alb.x) AS fa "
+       "FROM h JOIN tau ON h.tau >= tau.x AND (h.tau < tau.y OR h.tau = tau.y AND tau.y = (SELECT max(tau) FROM lut)) JOIN mu ON h.mu >= mu.x AND (h.mu < mu.y OR h.mu = mu.y AND mu.y = (SELECT max(mu) FROM lut)) JOIN alb ON h.alb >= alb.x AND (h.alb < alb.y OR h.alb = alb.y AND alb.y = (SELECT max(alb) FROM lut))) "
+       "SELECT o_orderkey, round(sum((CASE WHEN lut.tau = t0 THEN 1 - ft ELSE ft END) * (CASE WHEN lut.mu = m0 THEN 1 - fm ELSE fm END) * (CASE WHEN lut.alb = a0 THEN 1 - fa ELSE fa END) * lut.t), 8) AS t FROM i JOIN lut ON lut.tau IN (t0, t1) AND lut.mu IN (m0, m1) AND lut.alb IN (a0, a1) GROUP BY o_orderkey")
+def lut_interp_axes(spark, sf):
+    """Three axes at once, one of them the albedo, with queries beyond all ends."""
+    count = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<double>"))
+    cube = table(spark, sf, "part").select(F.col("p_size").cast("double").alias("tau")).dropDuplicates().select("tau", count(25).alias("mu")).select("tau", "mu", count(5).alias("alb"))
+    cube = cube.withColumn("t", F.exp(-F.col("tau") / (10 * (0.2 + F.col("mu") / 25))) * (1 - 0.1 * F.col("alb")) + 0.001 * F.col("mu") * F.col("alb"))
+    q = table(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") / 9001).alias("tau"), (F.col("o_custkey") % 263 / 10).alias("mu"), (F.col("o_orderkey") % 41 / 10).alias("alb"))
+    return spatial.lut_interpolated(q, cube, ["tau", "mu", "alb"], [], "t").select("o_orderkey", F.round("t", 8).alias("t"))
+
+
+def _axis(name: str, n: int, m: int) -> str:
+    """Weights (o, i, w) by which m new cells of an axis are made of n old ones: Gaussian, inverse filter as a two-sided sum, spline."""
+    sigma, z = max(0.0, (n / m - 1) / 2), 3**0.5 - 2
+    radius = int(4 * sigma + 0.5) if sigma else 0
+    fold = lambda i: f"(CASE WHEN abs({i}) % {2 * n - 2} >= {n} THEN {2 * n - 2} - abs({i}) % {2 * n - 2} ELSE abs({i}) % {2 * n - 2} END)"
+    gauss = f"exp(-0.5 * (d / {sigma}) ** 2)" if radius else "1"
+    at = f"((o + 0.5) * ({n} / {m}) - 0.5)"
+    t = f"({at} - floor({at}))"
+    spline = f"CASE k WHEN 0 THEN (1 - {t}) ** 3 WHEN 1 THEN 4 - 6 * {t} ** 2 + 3 * {t} ** 3 WHEN 2 THEN 1 + 3 * {t} + 3 * {t} ** 2 - 3 * {t} ** 3 ELSE {t} ** 3 END / 6"
+    return (f"{name}g AS (SELECT d, {gauss} / (SELECT sum({gauss}) FROM range(-{radius}, {radius + 1}) t(d)) AS w FROM range(-{radius}, {radius + 1}) t(d)), "
+            f"{name} AS (SELECT o::INT AS o, {fold('(' + fold('(' + fold(f'(floor({at})::INT + k - 1)') + ' + p)') + ' + d)')}::INT AS i, sum(({spline}) * sqrt(3) * ({z}) ** abs(p) * w) AS w FROM range({m}) a(o), range(4) b(k), range(-28, 29) c(p), {name}g GROUP BY ALL)")
+
+
+@query(f"WITH {G}, {_axis('wr', H, 31)}, {_axis('wc', WIDTH, 90)}, a AS (SELECT scene, r, wc.o AS c, sum(v * w) AS v FROM g JOIN wc ON wc.i = g.c GROUP BY ALL), b AS (SELECT scene, wr.o AS r, c, sum(v * w) AS v FROM a JOIN wr ON wr.i = a.r GROUP BY ALL), "
+       "e AS (SELECT scene, min(v) AS lo, max(v) AS hi FROM g GROUP BY scene) SELECT scene, r, c, round(least(greatest(v, lo), hi), 6) AS v FROM b JOIN e USING (scene)")
+def cubic_resize(spark, sf):
+    """Smaller by rows, where it is smoothed first, and larger by columns."""
+    return resize.resized(raster(spark, sf).select("scene", "r", "c", "v"), ["scene"], H, WIDTH, 31, 90).withColumn("v", F.round("v", 6))
+
+
+STEREO_BANDS, STEREO_HEIGHTS = ("B02", "B03", "B04"), (0.0, 1000.0, 2107.0, 3000.0)
+OFFSETS = ", ".join(f"('{b}', {k}, {h}, {x!r}::DOUBLE)" for k, h in enumerate(STEREO_HEIGHTS) for b, x in zip(STEREO_BANDS, stereo.offsets(h, list(STEREO_BANDS), 10.0).tolist(), strict=True))
+
+
+@query(f"WITH {G}, m AS (SELECT scene, b.band, g.r - CASE WHEN scene % 2 = 0 THEN b.up ELSE b.down END AS r, c, v FROM g, (VALUES ('B02', 0, 0), ('B03', -1, 2), ('B04', -2, 2)) b(band, up, down)), "
+       "s AS (SELECT scene, c // 8 AS strip, band, r + 8 AS i, c % 8 AS j, v FROM m WHERE r BETWEEN 0 AND 49), "
+       f"o AS (SELECT * FROM (VALUES {OFFSETS}) t(band, k, h, off)), "
+       "p AS (SELECT scene, strip, i::INT AS i FROM (SELECT DISTINCT scene, strip FROM s) t, range(66) x(i) WHERE CASE WHEN scene % 2 = 0 THEN i >= 4 AND i < 59 AND i % 4 = 0 ELSE i >= 7 AND i < 62 AND (i - 7) % 4 = 0 END), "
+       "b AS (SELECT p.*, band, k, trunc(i - 4 - CASE WHEN scene % 2 = 0 THEN -off ELSE off END)::INT AS start FROM p, o), "
+       "ok AS (SELECT scene, strip, i, k FROM b GROUP BY ALL HAVING min(start) >= 0 AND max(start) + 8 <= 66), "
+       "x AS (SELECT b.scene, b.strip, b.i, b.k, b.band, s.i - start AS a, s.j, v FROM b JOIN ok USING (scene, strip, i, k) JOIN s ON s.scene = b.scene AND s.strip = b.strip AND s.band = b.band AND s.i BETWEEN start AND start + 7), "
+       "z AS (SELECT scene, strip, i, k, band, a, j, (v - avg(v) OVER w) / stddev_pop(v) OVER w AS z, count(*) OVER w AS n, exp(-((-4 + 8 * j / 7) ** 2 + (-4 + 8 * a / 7) ** 2) / 32) AS kern FROM x WINDOW w AS (PARTITION BY scene, strip, i, k, band)), "
+       "kn AS (SELECT avg(exp(-((-4 + 8 * j / 7) ** 2 + (-4 + 8 * a / 7) ** 2) / 32)) AS m FROM range(8) q(j), range(8) u(a)), "
+       "whole AS (SELECT scene, strip, i FROM ok LEFT JOIN (SELECT scene, strip, i, k, count(*) AS n FROM x GROUP BY ALL) c USING (scene, strip, i, k) GROUP BY ALL HAVING min(coalesce(n, 0)) = 192), "
+       "y AS (SELECT l.scene, l.strip, l.i, l.k, sum(l.z * r.z * l.kern / m) / 64 / 3 AS score FROM z l JOIN z r ON l.scene = r.scene AND l.strip = r.strip AND l.i = r.i AND l.k = r.k AND l.a = r.a AND l.j = r.j AND l.band < r.band, kn GROUP BY ALL), "
+       "f AS (SELECT whole.scene, whole.strip, whole.i, h.k, coalesce(score, 0) AS score FROM whole, range(4) h(k) LEFT JOIN y ON y.scene = whole.scene AND y.strip = whole.strip AND y.i = whole.i AND y.k = h.k) "
+       "SELECT scene, strip::INT AS strip, i, arg_max(k, round(score, 6))::INT AS best, round(max(score), 6) AS score FROM f GROUP BY scene, strip, i")
+def stereo_matches(spark, sf):
+    """Bands moved along the track as something at 2107 m would be, one way in scenes of even detectors and the other in odd ones."""
+    g = raster(spark, sf).select("scene", "r", "c", "v")
+    moved = lambda b, up, down: g.select("scene", F.lit(b).alias("band"), (F.col("r") - F.when(F.col("scene") % 2 == 0, up).otherwise(down)).alias("r"), "c", "v").where(f"r BETWEEN 0 AND {H - 1}")
+    bands = moved("B02", 0, 0).unionByName(moved("B03", -1, 2)).unionByName(moved("B04", -2, 2))
+    seen = g.select("scene", "r", "c", F.explode(F.array(*(F.lit(b) for b in STEREO_BANDS))).alias("band"), F.col("scene").alias("detector"))
+    points = stereo.strip_points(g.select("scene").dropDuplicates(), 10.0 * H, 10.0 * WIDTH, 0.0, 80.0, 80.0, 10.0, 10.0)
+    samples = stereo.sampled_bands(points, bands, dict.fromkeys(STEREO_BANDS, 10.0), dict.fromkeys(STEREO_BANDS, (H, WIDTH))).join(stereo.strip_detectors(points, seen, dict.fromkeys(STEREO_BANDS, 10.0)), ["scene", "strip"])
+    found = stereo.matched(samples.where("v IS NOT NULL"), stereo.strip_shape(10.0 * H, 0.0, 80.0, 10.0, 10.0), list(STEREO_HEIGHTS), list(STEREO_BANDS), 8, 4, 10.0)
+    scores = F.transform("scores", lambda x: F.round(x, 6))
+    return found.select("scene", "strip", "i", A.argmax(scores).alias("best"), F.round(F.array_max("scores"), 6).alias("score"))
+
+
+ALBEDO = {"B02": 0.05, "B03": 0.03}
+
+
+@query(f"WITH {G}, d AS (SELECT scene, r, c, CASE WHEN c < 5 THEN 0 ELSE round((v + 1) * 5000) END AS a, round((v + 1) * 4000) + r AS b, v FROM g), "
+       "p AS (SELECT scene, r, c, NOT CASE scene % 4 WHEN 1 THEN r > 0 WHEN 2 THEN (r + c) % 3 = 0 ELSE v > 0.25 END AND a <> 0 AS clear, a, b FROM d WHERE scene % 4 <> 0), "
+       "ok AS (SELECT scene FROM p GROUP BY scene HAVING avg(clear::INT) >= 0.05), "
+       "s AS (SELECT x.scene, x.r, x.c FROM p x JOIN ok USING (scene) JOIN p y ON y.scene = x.scene AND abs(y.r - x.r) <= 1 AND abs(y.c - x.c) <= 1 WHERE x.clear AND x.r BETWEEN 1 AND 48 AND x.c BETWEEN 1 AND 62 GROUP BY ALL HAVING bool_and(y.clear)), "
+       "e AS (SELECT scene FROM s GROUP BY scene HAVING count(*) >= 10), "
+       "m AS (SELECT s.scene, s.r, s.c, avg(y.a) / 10000 AS a, (avg(y.b) FILTER (y.b <> 0) - 100) / 10000 AS b FROM s JOIN e USING (scene) JOIN p y ON y.scene = s.scene AND abs(y.r - s.r) <= 1 AND abs(y.c - s.c) <= 1 WHERE y.clear GROUP BY ALL), "
+       "u AS (SELECT scene, count(*) AS n_samples FROM m GROUP BY scene), "
+       "o AS (SELECT scene, i::INT AS r, j::INT AS c FROM (SELECT DISTINCT scene FROM g) t, range(12) x(i), range(16) y(j)), "
+       "k AS (SELECT o.scene, o.r, o.c, sqrt((o.c * (640 / 15) - m.c * 10.0::DOUBLE) ** 2 + (o.r * (500 / 11) - m.r * 10.0::DOUBLE) ** 2) AS dist, m.a, m.b, row_number() OVER (PARTITION BY o.scene, o.r, o.c ORDER BY sqrt((o.c * (640 / 15) - m.c * 10.0::DOUBLE) ** 2 + (o.r * (500 / 11) - m.r * 10.0::DOUBLE) ** 2), m.r, m.c) AS n FROM o JOIN m USING (scene)), "
+       "f AS (SELECT scene, r, c, sum(a / (dist + 20)) / sum(1 / (dist + 20)) AS a, sum(b / (dist + 20)) / sum(1 / (dist + 20)) AS b FROM k WHERE n <= 8 GROUP BY ALL) "
+       "SELECT o.scene, band, o.r, o.c, CASE WHEN least(floor((o.c + 0.5) * 4), 63) >= 5 THEN round(CASE WHEN n_samples IS NULL THEN CASE band WHEN 'B02' THEN 0.05 ELSE 0.03 END ELSE greatest(CASE band WHEN 'B02' THEN f.a ELSE f.b END, 0) END::DOUBLE, 7) END AS albedo, "
+       "CASE WHEN n_samples IS NULL THEN 'constant' ELSE 'idw' END AS method, coalesce(n_samples, 0) AS n_samples FROM o LEFT JOIN u USING (scene) LEFT JOIN f ON f.scene = o.scene AND f.r = o.r AND f.c = o.c, (VALUES ('B02'), ('B03')) z(band)")
+def albedo_estimate(spark, sf):
+    """Scenes without a mask, with hardly a clear pixel, with clear pixels only beside clouds, and with enough of them."""
+    g = raster(spark, sf)
+    first = F.when(F.col("c") < 5, 0).otherwise(F.round((F.col("v") + 1) * 5000))
+    digital = g.select("scene", "r", "c", F.lit("B02").alias("band"), first.alias("dn")).unionByName(g.select("scene", "r", "c", F.lit("B03").alias("band"), (F.round((F.col("v") + 1) * 4000) + F.col("r")).alias("dn")))
+    kind = F.col("scene") % 4
+    cloud = F.when(kind == 1, F.col("r") > 0).when(kind == 2, (F.col("r") + F.col("c")) % 3 == 0).otherwise(F.col("v") > 0.25)
+    mask = g.where("scene % 4 <> 0").select("scene", "r", "c", cloud.alias("cloud"))
+    out = albedo.estimated(digital, mask, H, WIDTH, 10.0, 40.0, ALBEDO, {"B03": -100.0}, window_m=30.0, dilation_m=10.0, max_samples=H * WIDTH, smoothing=20.0)
+    return out.withColumn("albedo", F.round("albedo", 7))
+
+
+@query(f"WITH {G}, f AS (SELECT scene, r, c, CASE WHEN r < 3 OR c < 2 OR c > 58 THEN 0 WHEN scene % 5 = 4 THEN 5 ELSE 5 + (r * 3 > 40 + c * (1 + scene % 3))::INT END AS v FROM g), "
+       "t AS (SELECT scene, dense_rank() OVER (PARTITION BY scene ORDER BY r) - 1 AS r, dense_rank() OVER (PARTITION BY scene ORDER BY c) - 1 AS c, v FROM f WHERE v <> 0), "
+       "s AS (SELECT a.scene, min(a.c) AS c0 FROM t a JOIN t b ON a.scene = b.scene AND a.c = b.c AND b.r = a.r + 1 WHERE b.v - a.v = 1 GROUP BY a.scene), "
+       "y AS (SELECT a.scene, c0, min(a.r) AS y0 FROM s JOIN t a ON a.scene = s.scene AND a.c = c0 JOIN t b ON b.scene = a.scene AND b.c = a.c AND b.r = a.r + 1 WHERE b.v - a.v = 1 GROUP BY ALL), "
+       "h AS (SELECT t.scene, t.c, c0, y0, min(r) FILTER (v = 5) AS first FROM t JOIN y USING (scene) WHERE t.c >= c0 GROUP BY ALL HAVING count(DISTINCT v) = 2), "
+       "e AS (SELECT scene, c0, y0, max(c) AS c1, arg_max(first, c) AS y1 FROM h WHERE NOT EXISTS (SELECT 1 FROM range(64) x(i) WHERE i > c0 AND i < h.c AND NOT EXISTS (SELECT 1 FROM h k WHERE k.scene = h.scene AND k.c = i)) GROUP BY ALL) "
+       "SELECT scene, round(coalesce(CASE WHEN c1 = c0 THEN 0 ELSE -atan2(c1 - c0, y0 - y1) END, 0)::DOUBLE, 8) AS angle FROM (SELECT DISTINCT scene FROM g) z LEFT JOIN e USING (scene)")
+def orbit_angle(spark, sf):
+    g = raster(spark, sf).withColumns({"s": F.col("scene") % 3})
+    v = F.when((F.col("r") < 3) | (F.col("c") < 2) | (F.col("c") > 58), 0).when(F.col("scene") % 5 == 4, 5).otherwise(5 + (F.col("r") * 3 > 40 + F.col("c") * (1 + F.col("s"))).cast("int"))
+    return grids.orbit_angles(g.select("scene", "r", "c", v.alias("v")), ["scene"]).select("scene", F.round("angle", 8).alias("angle"))
+
+
 @query(f"WITH {G}, z AS (SELECT scene, r, c, (v - avg(v) OVER k) / nullif(stddev_pop(v) OVER k, 0) AS z, exp(-0.5 * ((c - 31.5) / 16) ** 2) AS w FROM g WHERE r < 4 WINDOW k AS (PARTITION BY scene, r)) SELECT scene, round(avg(p), 8) AS correlation FROM (SELECT a.scene, a.r, b.r AS r2, avg(a.z * b.z * a.w) AS p FROM z a JOIN z b ON a.scene = b.scene AND a.c = b.c AND a.r < b.r GROUP BY ALL) t GROUP BY scene")
 def band_pair_correlation(spark, sf):
     g = raster(spark, sf).where("r < 4").select("scene", F.col("r").alias("band_idx"), F.col("c").alias("pixel"), "v", grids.gaussian(F.col("c") - 31.5, 16.0).alias("w"))
