@@ -276,9 +276,3 @@ class Catalog:
 
     def delete(self, run: str) -> None:
         self._change_runs(lambda runs: runs.where(F.col("run_id") != run))
-
-
-def rolling_mean(rows: DataFrame, keys: list[str], order: list[str], value: str, before: int, after: int, least: int) -> DataFrame:
-    """Centred rolling mean over rows; null with fewer than ``least`` values."""
-    frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(-before, after)
-    return rows.withColumn("rolling", F.when(F.count(value).over(frame) >= least, F.avg(value).over(frame)))

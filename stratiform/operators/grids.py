@@ -245,6 +245,11 @@ def stacked(layers: DataFrame, keys: list[str], bands: tuple[str, ...]) -> DataF
     return layers.where(F.col("band").isin(*bands)).groupBy(*keys, "r", "c").agg(*(F.max(F.when(F.col("band") == b, F.col("v"))).alias(b) for b in bands))
 
 
+def mean_over_layers(layers: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, r, c, v): the mean over all layers of a cell (detectors, bands) that hold a number; null where none does."""
+    return layers.groupBy(*keys, "r", "c").agg(F.avg(F.when(finite(F.col("v")), F.col("v"))).alias("v"))
+
+
 def aligned(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Cells of two rasters of one shape, value beside value."""
     return left.withColumnRenamed("v", "left").join(right.select(*keys, "r", "c", F.col("v").alias("right")), [*keys, "r", "c"])

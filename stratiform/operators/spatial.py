@@ -168,7 +168,11 @@ def farthest_points(candidates: DataFrame, keys: list[str], n: int, seed: int, m
     Each key keeps max(50 n, most) candidates at the most, by hash, as the method prescribes, before its own task chooses.
     """
     bound = max(50 * n, most)
-    ranked = candidates.withColumn("__k", F.row_number().over(W.partitionBy(*keys).orderBy(F.xxhash64("r", "c", F.lit(seed)), "r", "c"))).where(F.col("__k") <= bound)
+    # about twice as many as are wanted lie below each key's limit, so that hardly a row more is ranked than is kept
+    h, sizes = F.pmod(F.xxhash64("r", "c", F.lit(seed)), F.lit(1 << 40)), candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    limit = F.least(F.lit(1.0), 2.0 * bound / F.col("__n")) * (1 << 40)
+    candidates = candidates.join(sizes, keys).where(h < limit).drop("__n")
+    ranked = candidates.withColumn("__k", F.row_number().over(W.partitionBy(*keys).orderBy(h, "r", "c"))).where(F.col("__k") <= bound)
 
     def choose(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
         part = batches.sort_values("__k")

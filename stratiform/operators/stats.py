@@ -156,6 +156,20 @@ def unprefixed(stats: DataFrame) -> DataFrame:
     return stats.drop("band")
 
 
+def clear_fractions(mask: DataFrame, keys: list[str], nodata: float | None = None, clear: tuple[int, ...] = (0,)) -> DataFrame:
+    """(keys, of_all, of_valid): the share of clear pixels among all, and among those that hold data; null where none does."""
+    is_clear, ok = F.col("value").isin(*clear), valid(F.col("value"), nodata)
+    counts = mask.groupBy(*keys).agg(F.count_if(is_clear & ok).alias("__c"), F.count(F.lit(1)).alias("__n"), F.count_if(ok).alias("__v"))
+    return counts.select(*keys, (F.col("__c") / F.col("__n")).alias("of_all"), F.try_divide("__c", "__v").alias("of_valid"))
+
+
+def mean_broadcast(pixels: DataFrame, keys: list[str]) -> DataFrame:
+    """The pixels with their key's mean in place of every finite value; the others stay missing. Means are aggregated and joined
+    back, so that no key is one task."""
+    means = pixels.groupBy(*keys).agg(F.avg(F.when(finite(F.col("value")), F.col("value"))).alias("__mean"))
+    return pixels.join(means, keys, "left").withColumn("value", F.when(finite(F.col("value")), F.col("__mean"))).drop("__mean")
+
+
 def uncertainty_summary(value: Column) -> list[Column | Quantiles]:
     """For ``summarised``."""
     points = Quantiles(p25=0.25, median=0.5, p75=0.75, p90=0.9, p95=0.95, p99=0.99)

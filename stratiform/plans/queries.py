@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import algebra as A
 from ..functions import noise
-from ..operators import albedo, catalog, grids, inference, resize, spatial, stats, stereo
+from ..operators import albedo, catalog, grids, inference, order, resize, spatial, stats, stereo
 from ..schema import BANDS, bands
 from ..sources import raster as rasters
 from ..sources import scenes
@@ -143,6 +143,50 @@ def dataset_minmax(spark, sf):
     return raster(spark, sf).groupBy("label").agg(F.min("v").alias("least"), F.max("v").alias("most"))
 
 
+@query("SELECT event_id, event_type, CASE WHEN count(value) OVER w >= 2 THEN round(avg(value) OVER w, 6) END AS rolling FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING)")
+def rolling_mean_centered(spark, sf):
+    rows = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    return order.rolling_mean(rows, ["event_type"], ["ts", "event_id"], "value", 3, 2, 2).select("event_id", "event_type", F.round("rolling", 6).alias("rolling"))
+
+
+@query("SELECT o_custkey AS scene, round(count(*) FILTER (o_orderkey % 5 = 0) / count(*), 6) AS of_all, round(count(*) FILTER (o_orderkey % 5 = 0) / nullif(count(*) FILTER (o_orderkey % 5 <> 4), 0), 6) AS of_valid FROM orders GROUP BY o_custkey")
+def clear_fractions(spark, sf):
+    k = F.when(F.col("o_orderkey") % 5 == 4, 255).otherwise(F.col("o_orderkey") % 5)
+    rows = stats.clear_fractions(table(spark, sf, "orders").select(F.col("o_custkey").alias("scene"), k.alias("value")), ["scene"], nodata=255)
+    return rows.select("scene", F.round("of_all", 6).alias("of_all"), F.round("of_valid", 6).alias("of_valid"))
+
+
+@query(f"WITH {PX}, m AS (SELECT run_id, band, avg(v) AS mean FROM px WHERE isfinite(v) GROUP BY ALL) SELECT run_id, band, CASE WHEN isfinite(v) THEN round(mean, 6) END AS v, count(*) AS n FROM px LEFT JOIN m USING (run_id, band) GROUP BY ALL")
+def scene_mean_broadcast(spark, sf):
+    rows = stats.mean_broadcast(pixels(spark, sf), ["run_id", "band"])
+    return rows.groupBy("run_id", F.lower("band").alias("band"), F.round("value", 6).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT label, c::INT AS c, round(avg(v) FILTER (v > -0.1), 6) AS v FROM (SELECT label, generate_subscripts(embedding, 1) - 1 AS c, unnest(embedding)::DOUBLE AS v FROM embeddings) t GROUP BY ALL")
+def layer_mean(spark, sf):
+    """Over detectors (rows here) that see a cell."""
+    layers = raster(spark, sf).select("label", F.lit(0).alias("r"), "c", F.when(F.col("v") > -0.1, F.col("v")).otherwise(float("nan")).alias("v"))
+    return grids.mean_over_layers(layers, ["label"]).select("label", "c", F.round("v", 6).alias("v"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity <> 1 THEN round((l_quantity + CASE l_linenumber % 3 WHEN 0 THEN -1000 WHEN 1 THEN l_orderkey % 7 ELSE 0 END)::DOUBLE / CASE WHEN l_orderkey % 2 = 0 THEN 10000 ELSE 5000 END, 8) END AS reflectance FROM lineitem")
+def reflectance(spark, sf):
+    """Offsets and the quantification come out of metadata documents, by scene and band."""
+    k = F.col("o_orderkey")
+    text = F.format_string("<m><QUANTIFICATION_VALUE>%d</QUANTIFICATION_VALUE><RADIO_ADD_OFFSET band_id='0'>-1000</RADIO_ADD_OFFSET><RADIO_ADD_OFFSET band_id='1'>%d</RADIO_ADD_OFFSET></m>", F.when(k % 2 == 0, 10000).otherwise(5000), k % 7)
+    docs = table(spark, sf, "orders").select(k.alias("scene"), text.alias("xml"))
+    quantification = docs.select("scene", scenes.product_metadata(F.col("xml"))["quantification"].alias("quantification"))
+    px = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_orderkey").alias("scene"), (F.col("l_linenumber") % 3).cast("int").alias("band_idx"), F.when(F.col("l_quantity") != 1, F.col("l_quantity")).otherwise(0).alias("dn"))
+    rows = scenes.reflectance(px, quantification, scenes.radiometric_offsets(docs))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.round("reflectance", 8).alias("reflectance"))
+
+
+@query("SELECT c_custkey AS scene, b::INT AS band_idx, CASE b WHEN 0 THEN 'B01' WHEN 1 THEN 'B8A' ELSE 'B' || (10 + c_custkey % 3) END AS band FROM customer, range(3) t(b)")
+def spectral_bands(spark, sf):
+    text = F.format_string("<m><Spectral_Information bandId='0' physicalBand='B1'/><Spectral_Information bandId='1' physicalBand='B8A'/><Spectral_Information bandId='2' physicalBand='B%d'/></m>", 10 + F.col("c_custkey") % 3)
+    return scenes.spectral_bands(table(spark, sf, "customer").select(F.col("c_custkey").alias("scene"), text.alias("xml"))).drop("name")
+
+
 # Map algebra
 
 

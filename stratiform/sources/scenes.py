@@ -53,6 +53,21 @@ def radiometric_offsets(scenes: DataFrame, key: str = "scene", xml: str = "xml")
     return scenes.select(key, F.explode(zipped).alias("o")).select(key, F.col("o")["0"].cast("int").alias("band_idx"), F.col("o")["1"].cast("double").alias("offset"))
 
 
+def spectral_bands(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> DataFrame:
+    """(scene, band_idx, band, name): which band a number in the metadata stands for, as B02, and as the file names it, as B2."""
+    zipped = F.arrays_zip(F.xpath(xml, F.lit("//Spectral_Information/@bandId")), F.xpath(xml, F.lit("//Spectral_Information/@physicalBand")))
+    rows = scenes.select(key, F.explode(zipped).alias("b")).select(key, F.col("b")["0"].cast("int").alias("band_idx"), F.col("b")["1"].alias("name"))
+    return rows.select(key, "band_idx", F.regexp_replace("name", r"^B(\d)$", "B0$1").alias("band"), "name")
+
+
+def reflectance(pixels: DataFrame, quantification: DataFrame, offsets: DataFrame, key: str = "scene") -> DataFrame:
+    """The pixels (scene, band_idx, dn and more) with their reflectance: offset by band (scene, band_idx, offset; none is 0), over the
+    scene's quantification (scene, quantification); null where dn is 0, which is no data."""
+    rows = pixels.join(offsets, [key, "band_idx"], "left").join(quantification, key)
+    value = (F.col("dn") + F.coalesce("offset", F.lit(0.0))) / F.col("quantification")
+    return rows.withColumn("reflectance", F.when(F.col("dn") != 0, value)).drop("offset", "quantification")
+
+
 def angle_grid(scenes: DataFrame, path: str, key: str = "scene", xml: str = "xml") -> DataFrame:
     """(scene, r, c, v) of a matrix of VALUES rows; NaN becomes null."""
     rows = scenes.select(key, F.posexplode(F.xpath(xml, F.lit(f"{path}//VALUES/text()"))).alias("r", "line"))
