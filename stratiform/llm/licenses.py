@@ -2,7 +2,7 @@
 
 DataFrame expressions only. A document is first asked for a few stems (GATES); only where one stands are the rules'
 keywords looked up, and only rules whose keyword stands are matched. Both are looked up in a copy in lower case whose
-white space is collapsed, as the rules take words apart by any white space. A detection is suppressed if another one of the
+gaps are collapsed, as the rules take words apart by any gap: white space, with a comment's mark in it or without. A detection is suppressed if another one of the
 same or a stronger priority contains its interval (of equal intervals the stronger, then the earlier rule stays).
 Detections are resolved within the row, so nothing is shuffled and any text stays in its task.
 
@@ -123,7 +123,7 @@ SENTENCES = (
     ("mit", "substantial portions", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("isc", "permission to use", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee is hereby granted"),
     ("bsd-2", "redistributions", r"redistributions of source code must retain the above copyright notice, this list of conditions"),
-    ("bsd-3", "endorse or promote", r"neither the name of .{1,80} nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd-3", "endorse or promote", r"neither the name of [\s\S]{1,80}? nor the names of its contributors may be used to endorse or promote products"),
     ("bsd-4", "advertising materials", r"all advertising materials mentioning features or use of this software must display"),
     ("apache-2", "apache", r"licensed under the apache licen[cs]e, version 2\.0 \(the .licen[cs]e.\)"),
     ("apache-2", "in compliance with", r"you may not use this file except in compliance with the licen[cs]e\. you may obtain a copy of the licen[cs]e at"),
@@ -137,7 +137,7 @@ SENTENCES = (
     ("zlib", "origin of this software", r"the origin of this software must not be misrepresented; you must not claim that you wrote the original software"),
     ("unlicense", "public domain", r"this is free and unencumbered software released into the public domain"),
     ("public-domain", "public domain", r"(?:dedicated|released|placed) (?:in|to|into) the public domain"),
-    ("cc0", "waive", r"to the extent possible under law, .{1,80} has waived all copyright"),
+    ("cc0", "waive", r"to the extent possible under law, [\s\S]{1,80}? has waived all copyright"),
     ("ofl-1.1", "font", r"this font software is licensed under the sil open font licen[cs]e"),
     ("all-rights-reserved", "all rights reserved", r"all rights reserved"),
     ("proprietary", "proprietary", r"(?:confidential and proprietary|proprietary and confidential)"),
@@ -169,11 +169,22 @@ GATES = ("licen", "spdx", "copyright", "public domain", "gpl", "cc0", "cc by", "
 _GRANT = r"(?:licen[cs]ed|released|distributed|available|published|provided|offered|covered)(?: [a-z]+)? (?:under|by)(?: the)?(?: terms of(?: the)?)? "
 
 
+#: Marks with which a comment's lines begin. White space with one of them between, and white space after it, is a gap as well, so
+#: that headers match as they stand in source files.
+MARKS = r"[*#/;!%>|]{1,3}"
+GAP = rf"\s+(?:{MARKS}\s+)?"
+
+
 def _spaced(pattern: str) -> str:
-    """Every blank stands for white space of any kind and length, also the one that a hyphen may replace."""
+    """Every blank stands for a gap, also the one that a hyphen may replace."""
     for either in ("[ -]", "[- ]"):
         pattern = pattern.replace(either, r"(?: |-)")
-    return pattern.replace(" ", r"\s+")
+    return pattern.replace(" ", GAP)
+
+
+def _stem(ids: str) -> str:
+    """The letters, digits and hyphens with which an identifier begins, in lower case."""
+    return re.match(r"[A-Za-z0-9-]+", ids)[0].lower()
 
 
 def rules() -> tuple[Rule, ...]:
@@ -182,6 +193,8 @@ def rules() -> tuple[Rule, ...]:
     found = [Rule(label, FULL_TEXT, kw, edge(_spaced(p))) for label, kw, p in SENTENCES]
     found += [Rule(label, FULL_TEXT, "spdx-license-identifier", edge(rf"spdx-license-identifier:\s*(?:{ids})")) for label, _, _, ids in NAMES]
     found += [Rule(label, GRANT, kw, edge(p)) for label, kw, p in ADDRESSES]
+    named = lambda ids: rf"(?:licen[cs]e\s*[:=]\s*[\"']?|{_spaced('licen[cs]ed(?: [a-z]+)? under(?: the)?(?: terms of(?: the)?)? ')})(?:{ids})"
+    found += [Rule(label, GRANT, _stem(ids), edge(named(ids))) for label, _, _, ids in NAMES]
     found += [Rule(label, GRANT, kw, edge(_spaced(f"{_GRANT}(?:{p})"))) for label, kw, p, _ in NAMES]
     found += [Rule(label, MENTION, kw, edge(_spaced(p))) for label, kw, p, _ in NAMES]
     return tuple(found)
@@ -224,8 +237,8 @@ def resolved(found: Column) -> Column:
 
 
 def collapsed(text: Column) -> Column:
-    """Single blanks for white space; single blanks are passed over, so that most texts are hardly rewritten."""
-    return F.regexp_replace(text, r"[\t-\r]\s*| \s+", " ")
+    """Single blanks for gaps; single blanks are passed over, so that most texts are hardly rewritten."""
+    return F.regexp_replace(text, rf"[\t-\r]\s*(?:{MARKS}\s+)?| \s+(?:{MARKS}\s+)?| {MARKS}\s+", " ")
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: tuple[Rule, ...] | None = None) -> DataFrame:

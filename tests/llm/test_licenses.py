@@ -106,3 +106,20 @@ def test_words_apart_by_any_white_space(spark):
     for r in licenses.scanned(docs).collect():
         found = [(d.start, d.stop, d.label) for d in r.detections]
         assert found == detections_of(r.text, rules) and SPACED[r.text] in [x for _, _, x in found], r.text
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        (" * Permission is hereby granted, free of charge, to any\n * person obtaining a copy\n * of this software", "mit"),
+        ("# Redistributions of source code must retain the above\n# copyright notice, this list of conditions", "bsd-2"),
+        ("// Neither the name of the\n// Example Institute of Things nor the names of its\n// contributors may be used to endorse or promote products", "bsd-3"),
+        ("License: Apache-2.0", "apache-2"), ("license = \"MIT\"", "mit"), ("This file is licensed under MIT.", "mit"), ("licensed under the terms of the BSD-3-Clause", "bsd-3"),
+        ("all rights\n;; reserved", "all-rights-reserved"), ("free of\n   charge; License:\n  MPL-2.0", "mpl-2"),
+    ],
+)
+def test_headers_as_they_stand_in_files(spark, text, label):
+    df = spark.createDataFrame([(1, text), (2, text.replace("MIT", "MITRE").replace("granted", "given"))], "doc_id long, text string")
+    rows = {r.doc_id: r for r in licenses.scanned(df).select("doc_id", "detections").collect()}
+    assert label in {d.label for d in rows[1].detections}
+    assert [(d.start, d.stop, d.label) for d in rows[1].detections] == detections_of(text, licenses.rules())
