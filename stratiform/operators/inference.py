@@ -175,3 +175,67 @@ def bags(grid: DataFrame, keys: list[str], height: int, width: int, window: int,
     rows = in_windows(grid.where(F.col("v").isNotNull()), height, width, window, stride)
     whole = rows.groupBy(*keys, "wr", "wc").agg(F.array_sort(F.collect_list(F.struct("r", "c", "v"))).alias("b"))
     return whole.where(F.size("b") == window * window).select(*keys, "wr", "wc", F.transform("b", lambda x: x["v"]).alias("values"))
+
+
+def leaky(x: np.ndarray) -> np.ndarray:
+    return np.where(x > 0, x, 0.01 * x)
+
+
+def layer_norm(x: np.ndarray, scale: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    mean, var = x.mean(-1, keepdims=True), x.var(-1, keepdims=True)
+    return (x - mean) / np.sqrt(var + 1e-5) * scale + shift
+
+
+Weights = dict[str, np.ndarray]
+
+
+def attention_over_bags(w: Weights, heads: int, layers: int) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """A model of bags (n, size, inputs): a shading for each pixel (n, size) and properties for each bag (n, outputs).
+
+    Pixels are encoded alike, see each other by self-attention, and are then read one by one and, averaged, as a bag. Weights by name:
+    ``<part>.w``, ``.b`` of linear maps (inputs by outputs), ``<part>.scale``, ``.shift`` of norms, for the parts enc0, enc1,
+    att<k>.q, .k, .v, .o, att<k>.norm, ffn<k>.0, .1, .norm, shade0, shade1, pool, glob0, glob1; norms of enc0, enc1, shade0, pool
+    and glob0 bear their names.
+    """
+    linear = lambda name, x: x @ w[f"{name}.w"] + w[f"{name}.b"]
+    norm = lambda name, x: layer_norm(x, w[f"{name}.scale"], w[f"{name}.shift"])
+    step = lambda name, x: norm(name, leaky(linear(name, x)))
+
+    def attended(name: str, x: np.ndarray) -> np.ndarray:
+        n, size, width = x.shape
+        q, k, v = (linear(f"{name}.{part}", x).reshape(n, size, heads, width // heads).transpose(0, 2, 1, 3) for part in "qkv")
+        scores = q @ k.transpose(0, 1, 3, 2) / np.sqrt(width // heads)
+        scores = np.exp(scores - scores.max(-1, keepdims=True))
+        mixed = (scores / scores.sum(-1, keepdims=True)) @ v
+        return linear(f"{name}.o", mixed.transpose(0, 2, 1, 3).reshape(n, size, width))
+
+    def predict(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = step("enc1", step("enc0", x))
+        for k in range(layers):
+            x = norm(f"att{k}.norm", x + attended(f"att{k}", x))
+            x = norm(f"ffn{k}.norm", x + linear(f"ffn{k}.1", leaky(linear(f"ffn{k}.0", x))))
+        shading = linear("shade1", step("shade0", x))[..., 0]
+        return shading, np.tanh(linear("glob1", step("glob0", step("pool", x.mean(1)))))
+
+    return predict
+
+
+def inverted_bags(bags: DataFrame, keys: list[str], predict: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(keys, shading, properties) of bags (keys, pixels), pixels an array of feature arrays; bags of one size are predicted together,
+    an Arrow batch at a time. An empty bag has nulls."""
+    schema = T.StructType([*(bags.schema[k] for k in keys), T.StructField("shading", T.ArrayType(T.DoubleType())), T.StructField("properties", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pixels = batch.column(len(keys)).to_pylist()
+            shading: list = [None] * len(pixels)
+            properties: list = [None] * len(pixels)
+            sizes = np.array([len(p) if p else 0 for p in pixels])
+            for size in np.unique(sizes[sizes > 0]):
+                at = np.flatnonzero(sizes == size)
+                found = predict(np.array([pixels[i] for i in at], float))
+                for i, one, whole in zip(at, *found, strict=True):
+                    shading[i], properties[i] = one.tolist(), whole.tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(shading, pa.list_(pa.float64())), pa.array(properties, pa.list_(pa.float64()))], names=[*keys, "shading", "properties"])
+
+    return bags.select(*keys, "pixels").mapInArrow(run, schema)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import algebra as A
-from ..functions import noise
+from ..functions import losses, noise
 from ..operators import albedo, catalog, grids, inference, order, resize, spatial, stats, stereo
 from ..schema import BANDS, bands
 from ..sources import raster as rasters
@@ -283,13 +283,21 @@ def detector_sign(spark, sf):
     return o.join(own, "o_orderkey", "left").join(other, "o_orderkey", "left").select("o_orderkey", A.detector_sign(F.coalesce("d1", "d2", F.lit(0))).alias("sign"))
 
 
-@query("SELECT label, round(avg(CASE WHEN p1 IS NOT NULL THEN (p1 - t1) ** 2 ELSE 0 END), 8) AS mse, round(avg(CASE WHEN ilr >= 0.02 THEN 0 ELSE (p1 - t1) ** 2 END), 8) AS liquid, round(avg(CASE WHEN ilr <= -0.02 THEN 0 ELSE (p1 - t1) ** 2 END), 8) AS ice FROM (SELECT label, embedding[1]::DOUBLE AS p1, embedding[2]::DOUBLE AS t1, embedding[3]::DOUBLE AS ilr FROM embeddings) t GROUP BY label")
+def _e(i: int) -> str:
+    return f"embedding[{i + 1}]::DOUBLE"
+
+
+@query(f"SELECT label, round(sum(a + b + CASE WHEN ratio >= 0.99 THEN 0 ELSE c END + CASE WHEN ratio <= 0.01 THEN 0 ELSE d END) / count(*) / 4, 8) AS physics, round(sum(a + b + c + d) / count(*) / 4, 8) AS mse, round(sum(2 * (a + b + CASE WHEN ratio >= 0.99 THEN 0 ELSE c END + CASE WHEN ratio <= 0.01 THEN 0 ELSE d END) + (a + b + c + d) / 2) / count(*) / 4, 8) AS both, round(avg(abs({_e(0)} - {_e(4)})), 8) AS mae_b02, round(avg(abs({_e(1)} - {_e(5)})), 8) AS mae_b03 "
+       f"FROM (SELECT *, CASE vec_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 0.5 END AS ratio, {', '.join(f'({_e(i)} - {_e(i + 4)}) ** 2 AS {n}' for i, n in enumerate('abcd'))} FROM embeddings) t GROUP BY label")
 def physics_masked_loss(spark, sf):
-    """Errors of the phase that is not there count as 0 and stay in the denominator."""
-    e = lambda i: F.get("embedding", F.lit(i)).cast("double")
-    square = F.pow(e(0) - e(1), F.lit(2.0))
-    masked = lambda off: F.round(F.avg(F.when(off, 0.0).otherwise(square)), 8)
-    return table(spark, sf, "embeddings").groupBy("label").agg(F.round(F.avg(square), 8).alias("mse"), masked(e(2) >= 0.02).alias("liquid"), masked(e(2) <= -0.02).alias("ice"))
+    """Liquid, ice and mixed clouds in turn."""
+    part = lambda i: F.transform(F.slice("embedding", i, 4), lambda x: x.cast("double"))
+    ratio = F.when(F.col("vec_id") % 3 == 0, 0.0).when(F.col("vec_id") % 3 == 1, 1.0).otherwise(0.5)
+    rows = table(spark, sf, "embeddings").select("label", part(1).alias("p"), part(5).alias("t"), F.array(F.lit(0.0), ratio, F.lit(0.0), F.lit(0.0)).alias("u"))
+    p, t = F.col("p"), F.col("t")
+    physics, every = losses.physics_masked(p, t, F.col("u")), losses.mse(p, t, 4)
+    made = rows.groupBy("label").agg(physics.alias("physics"), every.alias("mse"), losses.combined(physics, every, 2.0, 0.5).alias("both"), *losses.band_mae(p, t, ("mae_b02", "mae_b03")))
+    return made.select("label", *(F.round(c, 8).alias(c) for c in made.columns[1:]))
 
 
 # Rasters
@@ -840,6 +848,29 @@ def sliding_window_udf(spark, sf):
     return inference.windowed(raster(spark, sf), ["scene"], H, WIDTH, 16, 8, lambda x: x * 2 + 1, context=2).withColumn("v", F.round("v", 6))
 
 
+def bag_weights(inputs: int = 3, hidden: int = 16, outputs: int = 4, layers: int = 2, seed: int = 3) -> inference.Weights:
+    rng, out = np.random.default_rng(seed), {}
+    maps = {"enc0": (inputs, hidden), "enc1": (hidden, hidden), "shade0": (hidden, hidden // 2), "shade1": (hidden // 2, 1), "pool": (hidden, hidden // 2), "glob0": (hidden // 2, hidden // 4), "glob1": (hidden // 4, outputs)}
+    for k in range(layers):
+        maps |= {f"att{k}.{p}": (hidden, hidden) for p in "qkvo"} | {f"ffn{k}.0": (hidden, 2 * hidden), f"ffn{k}.1": (2 * hidden, hidden)}
+    for name, (a, b) in maps.items():
+        out |= {f"{name}.w": rng.normal(0, 0.3, (a, b)), f"{name}.b": rng.normal(0, 0.1, b)}
+    for name in ("enc0", "enc1", "shade0", "pool", "glob0", *(f"{p}{k}.norm" for k in range(layers) for p in ("att", "ffn"))):
+        size = hidden if name.endswith("norm") else maps[name][1]
+        out |= {f"{name}.scale": 1 + rng.normal(0, 0.1, size), f"{name}.shift": rng.normal(0, 0.1, size)}
+    return out
+
+
+@query()
+def shading_inversion(spark, sf):
+    """Windows of four by four cells as bags; each cell's shading, windows merged by their geometric mean."""
+    whole = inference.bags(raster(spark, sf), ["scene"], H, WIDTH, 4, 3).withColumn("pixels", F.transform("values", lambda v: F.array(v, v * v, F.lit(1.0))))
+    found = inference.inverted_bags(whole, ["scene", "wr", "wc"], inference.attention_over_bags(bag_weights(), 4, 2))
+    cells = found.select("scene", "wr", "wc", F.posexplode("shading").alias("k", "s"))
+    cells = cells.select("scene", "wr", "wc", (F.col("wr") + F.floor(F.col("k") / 4)).alias("r"), (F.col("wc") + F.col("k") % 4).alias("c"), F.exp("s").alias("v"))
+    return grids.merged_geometric(cells, ["scene"]).withColumn("v", F.round("v", 6))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

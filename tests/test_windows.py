@@ -66,3 +66,33 @@ def test_mask_and_height_models_over_tiles(spark):
     assert all(abs(r.cloud - want[1:3, r.r, r.c].sum()) < 1e-9 for r in got.collect())
     with pytest.raises(ValueError, match="less than the window"):
         inference.windowed(grid, ["scene"], 6, 6, 4, 4, softmax)
+
+
+def test_attention_over_bags_against_loops(spark):
+    """Pixel by pixel and head by head, without a matrix product over a bag."""
+    from stratiform.plans import queries as plans
+
+    w, heads = plans.bag_weights(), 4
+    lin = lambda n, x: np.array([sum(x[i] * w[f"{n}.w"][i, j] for i in range(len(x))) + w[f"{n}.b"][j] for j in range(w[f"{n}.w"].shape[1])])
+    norm = lambda n, x: (x - x.mean()) / np.sqrt(x.var() + 1e-5) * w[f"{n}.scale"] + w[f"{n}.shift"]
+    act = lambda x: np.maximum(x, 0) + 0.01 * np.minimum(x, 0)
+    step = lambda n, x: norm(n, act(lin(n, x)))
+    bag = np.random.default_rng(6).normal(size=(5, 3))
+    xs = [step("enc1", step("enc0", p)) for p in bag]
+    for k in range(2):
+        q, keys, v = ([lin(f"att{k}.{part}", x) for x in xs] for part in "qkv")
+        out = []
+        for i in range(5):
+            mixed = np.zeros(16)
+            for h in range(heads):
+                at = slice(4 * h, 4 * h + 4)
+                e = np.exp([q[i][at] @ keys[j][at] / 2 for j in range(5)])
+                mixed[at] = sum(e[j] / e.sum() * v[j][at] for j in range(5))
+            out.append(norm(f"att{k}.norm", xs[i] + lin(f"att{k}.o", mixed)))
+        xs = [norm(f"ffn{k}.norm", x + lin(f"ffn{k}.1", act(lin(f"ffn{k}.0", x)))) for x in out]
+    shading = [lin("shade1", step("shade0", x))[0] for x in xs]
+    whole = np.tanh(lin("glob1", step("glob0", step("pool", np.mean(xs, 0)))))
+    df = spark.createDataFrame([(1, bag.tolist()), (2, bag[:2].tolist()), (3, []), (4, bag[::-1].tolist())], "id int, pixels array<array<double>>")
+    got = {r.id: r for r in inference.inverted_bags(df, ["id"], inference.attention_over_bags(w, heads, 2)).collect()}
+    assert np.allclose(got[1].shading, shading) and np.allclose(got[1].properties, whole) and np.allclose(got[4].shading, shading[::-1])
+    assert len(got[2].shading) == 2 and got[3].shading is None
