@@ -40,8 +40,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows, written below the shared folder and read from there, so that lost executors lose nothing."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """The rows, written once as Parquet below the shared folder and read from there, so that lost executors lose nothing."""
+    path = shared_path(df.sparkSession, "cut")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
