@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions import algebra as A
 from ..functions import losses, noise
-from ..operators import albedo, catalog, grids, inference, order, resize, spatial, stats, stereo
+from ..operators import albedo, catalog, grids, inference, order, resize, sampling, spatial, stats, stereo, training
 from ..schema import BANDS, bands
 from ..sources import raster as rasters
 from ..sources import scenes
-from ..sources.tables import shared_path, table
+from ..sources.tables import cut, shared_path, table
 from . import workflow
 
 H, WIDTH = 50, 64
@@ -806,9 +806,50 @@ def scene_months(spark, sf):
     return table(spark, sf, "lineitem").join(months, "l_orderkey").groupBy("month").agg(F.count(F.lit(1)).alias("n"))
 
 
+SAMPLE_BANDS, SAMPLE_SHAPES = {"B02": 10.0, "B05": 20.0, "B01": 60.0}, {"B02": (H, WIDTH), "B05": (H // 2, WIDTH // 2), "B01": (H // 6, WIDTH // 6)}
+
+
+def _samples(spark, sf) -> DataFrame:
+    """Three bands on grids of their own; masks that leave much, some and next to nothing of a scene clear; nodes of angles from the raster's corner."""
+    g = raster(spark, sf)
+    on = lambda band, step, gain: g.where((F.col("r") % step == 0) & (F.col("c") % step == 0) & (F.col("r") < H // step * step) & (F.col("c") < WIDTH // step * step)).select("scene", F.lit(band).alias("band"), (F.col("r") / step).cast("int").alias("r"), (F.col("c") / step).cast("int").alias("c"), F.when((F.col("label") == 3) & F.lit(step == 1), 0.0).otherwise(F.round((F.col("v") + 1) * gain)).alias("dn"))
+    mask = g.select("scene", "r", "c", F.when(F.col("v") > F.element_at(F.array(*map(F.lit, (0.25, 0.2, -0.2))), F.col("scene") % 3 + 1), F.col("c") % 3 + 1).otherwise(0).alias("v"))
+    nodes = g.where("r < 2 AND c < 2").withColumn("k", F.explode(F.array(*map(F.lit, range(4)))))
+    angles = nodes.select("scene", F.element_at(F.array(*map(F.lit, sampling.ANGLES)), F.col("k") + 1).alias("name"), "r", "c", (F.col("v") * 100 + F.col("k") * 10).alias("v"))
+    scenes = g.select("scene").dropDuplicates().select("scene", F.array(*(F.lit(x) for x in (10.0, 0.0, 5e5, 0.0, -10.0, 5e6))).alias("transform"), F.lit(32).alias("zone"), F.lit(False).alias("south"), F.expr("timestamp_seconds(1600000000 + scene * 86400)").alias("sensing_time"), F.when(F.col("scene") % 2 == 0, F.col("scene") * 0.5).alias("wind_speed"), F.lit(45.0).alias("wind_direction"), F.lit(10_000.0).alias("quantification"))
+    offsets = scenes.where("scene % 2 = 0").select("scene", F.lit("B05").alias("band"), F.lit(-1000.0).alias("offset"))
+    feet = g.select("scene", "r", "c", (F.col("r") % 12 + 1).alias("v"))
+    digital = on("B02", 1, 5000).unionByName(on("B05", 2, 4000)).unionByName(on("B01", 6, 3000))
+    return sampling.clear_sky_samples(digital, mask, scenes, angles, H, WIDTH, SAMPLE_BANDS, SAMPLE_SHAPES, (2, 2), offsets, feet, dilation=1, window_m=60.0)
+
+
+@query(f"WITH {G}, p AS (SELECT scene, r, c, label <> 3 AND round((v + 1) * 5000) <> 0 AS valid, v > CASE scene % 3 WHEN 0 THEN 0.25 WHEN 1 THEN 0.2 ELSE -0.2 END AND c % 3 < 2 AS cloud, round((v + 1) * 5000) AS dn FROM g), s AS (SELECT scene FROM p GROUP BY scene HAVING count(*) FILTER (valid AND NOT cloud) / greatest(count(*) FILTER (valid), 1) >= 0.2), "
+       "k AS (SELECT a.scene, a.r, a.c FROM p a JOIN s USING (scene) WHERE a.valid AND NOT a.cloud AND a.r BETWEEN 3 AND 46 AND a.c BETWEEN 3 AND 60 AND NOT EXISTS (SELECT 1 FROM p b WHERE b.scene = a.scene AND b.cloud AND b.r BETWEEN a.r - 1 AND a.r + 1 AND b.c BETWEEN a.c - 1 AND a.c + 1)), "
+       "x AS (SELECT k.scene, k.r, k.c, avg(p.dn) AS m FROM k JOIN p ON p.scene = k.scene AND p.r BETWEEN k.r - 3 AND k.r + 2 AND p.c BETWEEN k.c - 3 AND k.c + 2 AND p.valid GROUP BY ALL), "
+       "y AS (SELECT k.scene, k.r, k.c, avg(round((g.v + 1) * 4000)) AS m FROM k JOIN g ON g.scene = k.scene AND g.r % 2 = 0 AND g.c % 2 = 0 AND g.r // 2 BETWEEN k.r // 2 - 1 AND k.r // 2 + 1 AND g.c // 2 BETWEEN k.c // 2 - 1 AND k.c // 2 + 1 AND round((g.v + 1) * 4000) <> 0 GROUP BY ALL), "
+       "z AS (SELECT k.scene, k.r, k.c, round((g.v + 1) * 3000) AS m FROM k JOIN g ON g.scene = k.scene AND g.r = 6 * least(trunc(k.r * (10::DOUBLE / 60)), 7) AND g.c = 6 * least(trunc(k.c * (10::DOUBLE / 60)), 9)), "
+       "a AS (SELECT scene, " + ", ".join(f"max(v) FILTER (r = {r} AND c = {c}) AS n{r}{c}" for r in (0, 1) for c in (0, 1)) + " FROM g WHERE r < 2 AND c < 2 GROUP BY scene), "
+       "u AS (SELECT k.*, 100 * ((1 - k.r / 500) * ((1 - k.c / 500) * n00 + k.c / 500 * n01) + k.r / 500 * ((1 - k.c / 500) * n10 + k.c / 500 * n11)) AS t FROM k JOIN a USING (scene)) "
+       "SELECT scene, r, c, round(t, 6) AS sun_zenith, round(t + 10, 6) AS sun_azimuth, round(t + 20, 6) AS view_zenith, round(t + 30, 6) AS view_azimuth, CASE WHEN scene % 2 = 0 THEN scene * 0.5 ELSE 0 END::DOUBLE AS wind_speed, extract(doy FROM TIMESTAMP '2020-09-13 12:26:40' + to_days(scene))::INT AS day_of_year, (r % 12 + 1)::INT AS detector, "
+       "round(x.m / 10000, 8) AS \"B02\", round((y.m - CASE WHEN scene % 2 = 0 THEN 1000 ELSE 0 END) / 10000, 8) AS \"B05\", round(z.m / 10000, 8) AS \"B01\" FROM u LEFT JOIN x USING (scene, r, c) LEFT JOIN y USING (scene, r, c) LEFT JOIN z USING (scene, r, c)")
+def clear_sky_samples(spark, sf):
+    """Every clear pixel is a sample, since scenes hold fewer than are asked for; positions in degrees are tested elsewhere."""
+    names = ("sun_zenith", "sun_azimuth", "view_zenith", "view_azimuth")
+    return _samples(spark, sf).select("scene", "r", "c", *(F.round(n, 6).alias(n) for n in names), "wind_speed", "day_of_year", "detector", *(F.round(b, 8).alias(b) for b in SAMPLE_BANDS))
+
+
 # Without an SQL form: tested against NumPy
 
 
+@query()
+def albedo_training(spark, sf):
+    """A small model of reflectance learnt from the samples of three scenes of four, held against the fourth; one row an epoch."""
+    given = [F.col(n) for n in ("latitude", "longitude", "sun_zenith", "view_zenith", "sun_azimuth", "view_azimuth", "wind_speed", "wind_direction", "bathymetry", "day_of_year", "detector")]
+    rows = cut(_samples(spark, sf).select("scene", F.array(*A.features(*given)).alias("features"), F.array(*SAMPLE_BANDS).alias("targets")))
+    fit = training.trained(rows.where("scene % 4 <> 3"), rows.where("scene % 4 = 3"), "features", "targets", training.widths(15, 3, 16, 2), epochs=2, batches=2, rate=0.02)
+    return spark.createDataFrame([tuple(h[k] for k in ("epoch", "rate", "train_mse", "val_mae", "val_mse")) for h in fit.history], "epoch int, rate double, train_mse double, val_mae double, val_mse double")
+
+
 @query()
 def seeded_sample(spark, sf):
     return grids.sampled(table(spark, sf, "embeddings").select("vec_id", "label"), 50, 42, ["vec_id"])
