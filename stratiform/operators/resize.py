@@ -12,8 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STRIP = 64
-#: The pole of the cubic B-spline's inverse filter.
-POLE = 3**0.5 - 2
+#: The poles of the inverse filters of B-splines by order.
+POLES = {
+    2: (8**0.5 - 3,),
+    3: (3**0.5 - 2,),
+    4: tuple((664 + s * 438976**0.5) ** 0.5 - s * 304**0.5 - 19 for s in (-1, 1)),
+    5: tuple((67.5 + s * 4436.25**0.5) ** 0.5 - s * 26.25**0.5 - 6.5 for s in (-1, 1)),
+}
 
 
 def mirror(i: np.ndarray, n: int) -> np.ndarray:
@@ -35,21 +40,24 @@ def smoothed(x: np.ndarray, sigma: float) -> np.ndarray:
     return sum(w * x[:, mirror(np.arange(n) + k, n)] for k, w in zip(d, weights / weights.sum(), strict=True))
 
 
-def spline_coefficients(x: np.ndarray) -> np.ndarray:
-    """Rows c with (c[i - 1] + 4 c[i] + c[i + 1]) / 6 = x[i]: one recursion forward, one back."""
+def spline_coefficients(x: np.ndarray, order: int = 3) -> np.ndarray:
+    """Rows c of which the B-spline of an order meets x at every cell, (c[i - 1] + 4 c[i] + c[i + 1]) / 6 = x[i] for order 3: by pole, one
+    recursion forward, one back."""
     n = x.shape[1]
     if n == 1:
         return x.copy()
     period = mirror(np.arange(2 * n - 2), n)
-    c = np.empty_like(x)
-    powers = POLE ** np.arange(2 * n - 2)
-    c[:, 0] = (x[:, period[-np.arange(2 * n - 2)]] * powers).sum(1) / (1 - POLE ** (2 * n - 2))  # all that comes before, once around
-    for i in range(1, n):
-        c[:, i] = x[:, i] + POLE * c[:, i - 1]
-    c[:, n - 1] = POLE / (POLE**2 - 1) * (c[:, n - 1] + POLE * c[:, n - 2])
-    for i in range(n - 2, -1, -1):
-        c[:, i] = POLE * (c[:, i + 1] - c[:, i])
-    return 6 * c
+    for pole in POLES[order]:
+        c = np.empty_like(x)
+        powers = pole ** np.arange(2 * n - 2)
+        c[:, 0] = (x[:, period[-np.arange(2 * n - 2)]] * powers).sum(1) / (1 - pole ** (2 * n - 2))  # all that comes before, once around
+        for i in range(1, n):
+            c[:, i] = x[:, i] + pole * c[:, i - 1]
+        c[:, n - 1] = pole / (pole**2 - 1) * (c[:, n - 1] + pole * c[:, n - 2])
+        for i in range(n - 2, -1, -1):
+            c[:, i] = pole * (c[:, i + 1] - c[:, i])
+        x = (1 - pole) * (1 - 1 / pole) * c
+    return x
 
 
 def resized_rows(x: np.ndarray, m: int) -> np.ndarray:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import algebra as A
 from ..functions import losses, noise
-from ..operators import albedo, catalog, grids, inference, order, resize, sampling, spatial, stats, stereo, training
+from ..operators import albedo, catalog, grids, inference, order, resize, sampling, spatial, stats, stereo, training, warp
 from ..schema import BANDS, bands
 from ..sources import raster as rasters
 from ..sources import scenes
@@ -531,6 +531,22 @@ def cubic_resize(spark, sf):
     return resize.resized(raster(spark, sf).select("scene", "r", "c", "v"), ["scene"], H, WIDTH, 31, 90).withColumn("v", F.round("v", 6))
 
 
+_B3 = lambda t: f"CASE WHEN abs({t}) < 1 THEN 2 / 3 - {t} ** 2 + abs({t}) ** 3 / 2 WHEN abs({t}) < 2 THEN (2 - abs({t})) ** 3 / 6 ELSE 0 END"
+_HELD = lambda i, n: f"least(greatest({i}, 0), {n - 1})"
+
+
+@query(f"WITH {G}, z AS (SELECT p::INT AS p, sqrt(3) * {3**0.5 - 2} ** abs(p) AS w FROM range(-30, 31) t(p)), "
+       f"wide AS (SELECT g.scene, g.r, u.c, g.v FROM g JOIN (SELECT c::INT AS c, {_HELD('c', WIDTH)}::INT AS k FROM range(-40, {WIDTH + 40}) t(c)) u ON g.c = u.k), a AS (SELECT x.scene, x.r, t.c, sum(z.w * x.v) AS v FROM z JOIN range(-8, {WIDTH + 8}) t(c) ON true JOIN wide x ON x.c = t.c + z.p GROUP BY ALL), "
+       f"tall AS (SELECT a.scene, u.r, a.c, a.v FROM a JOIN (SELECT r::INT AS r, {_HELD('r', H)}::INT AS k FROM range(-40, {H + 40}) t(r)) u ON a.r = u.k), b AS (SELECT x.scene, t.r, x.c, sum(z.w * x.v) AS v FROM z JOIN range(-8, {H + 8}) t(r) ON true JOIN tall x ON x.r = t.r + z.p GROUP BY ALL), "
+       f"o AS (SELECT scene, r, c, r + (v * 12) AS y, c - (v * 9) AS x FROM g), w AS (SELECT o.scene, o.r, o.c, y, x, floor(y)::INT - 1 + i AS i, floor(x)::INT - 1 + j AS j FROM o, range(4) p(i), range(4) q(j)) "
+       f"SELECT w.scene, w.r, w.c, round(sum(b.v * ({_B3('(w.y - w.i)')}) * ({_B3('(w.x - w.j)')})), 6) AS v FROM w JOIN b ON b.scene = w.scene AND b.r = w.i AND b.c = w.j GROUP BY ALL")
+def cubic_warp(spark, sf):
+    """Every cell is looked up some cells away, by a cubic spline, edges repeated."""
+    g = raster(spark, sf).select("scene", "r", "c", "v")
+    moves = g.select("scene", "r", "c", (F.col("v") * 12).alias("dr"), (-F.col("v") * 9).alias("dc"))
+    return warp.warped(g, moves, ["scene"], H, WIDTH, order=3).withColumn("v", F.round("v", 6))
+
+
 STEREO_BANDS, STEREO_HEIGHTS = ("B02", "B03", "B04"), (0.0, 1000.0, 2107.0, 3000.0)
 OFFSETS = ", ".join(f"('{b}', {k}, {h}, {x!r}::DOUBLE)" for k, h in enumerate(STEREO_HEIGHTS) for b, x in zip(STEREO_BANDS, stereo.offsets(h, list(STEREO_BANDS), 10.0).tolist(), strict=True))
 
