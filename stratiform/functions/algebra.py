@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import math
 import operator
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -187,6 +188,48 @@ def rectangle_wkb(left: Column, bottom: Column, right: Column, top: Column) -> C
     return F.concat(F.unhex(F.lit("00000000030000000100000005")), *(double(v) for point in corners for v in point))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it appears."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
+
+
+def footprint_corners(tf: Column, height: Column, width: Column, zone: Column, south: Column, crop: Column | None = None) -> Column:
+    """array of struct (lon, lat): the four corners of what a run covers.
+
+    Of a crop (array of column, row, width, height, as ``crop_window`` gives it): its corners, each transformed, so that the polygon is
+    as oblique as it lies. Of a whole scene, where crop is null: the box around its outline, each edge in 22 pieces.
+    """
+    point = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    def degrees(p: Column) -> Column:
+        lat, lon = utm_to_degrees(p["x"], p["y"] - F.when(south, 1e7).otherwise(0.0), zone)
+        return F.struct(lon.alias("lon"), lat.alias("lat"))
+
+    right, bottom = tf[2] + width * tf[0], tf[5] + height * tf[4]
+    share = F.transform(F.sequence(F.lit(0), F.lit(22)), lambda k: k / 22)
+    across = [F.transform(share, lambda t: point(tf[2] + t * width * tf[0], tf[5])), F.transform(share, lambda t: point(tf[2] + t * width * tf[0], bottom))]
+    down = [F.transform(share, lambda t: point(tf[2], tf[5] + t * height * tf[4])), F.transform(share, lambda t: point(right, tf[5] + t * height * tf[4]))]
+
+    def box(outline: Column) -> Column:
+        lon, lat = F.transform(outline, lambda p: p["lon"]), F.transform(outline, lambda p: p["lat"])
+        corner = lambda x, y: F.struct(x.alias("lon"), y.alias("lat"))
+        return F.array(corner(F.array_max(lon), F.array_min(lat)), corner(F.array_max(lon), F.array_max(lat)), corner(F.array_min(lon), F.array_max(lat)), corner(F.array_min(lon), F.array_min(lat)))
+
+    whole = _bound(F.transform(F.concat(*across, *down), degrees), box)
+    if crop is None:
+        return whole
+    places = ((crop[1], crop[0]), (crop[1], crop[0] + crop[2]), (crop[1] + crop[3], crop[0] + crop[2]), (crop[1] + crop[3], crop[0]))
+    given = F.transform(F.array(*(point(map_x(r, c, tf), map_y(r, c, tf)) for r, c in places)), degrees)
+    return F.when(crop.isNull(), whole).otherwise(given)
+
+
+def footprint_wkb(corners: Column) -> Column:
+    """Well-known binary of the polygon of four corners, closed by its first corner again, big-endian."""
+    double = lambda x: F.unhex(F.lpad(F.hex(_double_bits(x)), 16, "0"))
+    closed = F.concat(corners, F.slice(corners, 1, 1))
+    return F.aggregate(closed, F.unhex(F.lit("00000000030000000100000005")), lambda out, p: F.concat(out, double(p["lon"]), double(p["lat"])))
+
+
 def _double_bits(x: Column) -> Column:
     """The 64 bits of a double as a long, for finite values away from the subnormal ones."""
     size = F.abs(x)

@@ -430,6 +430,39 @@ def utm_degrees(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", F.round(lat, 7).alias("lat"), F.round(lon, 7).alias("lon"))
 
 
+def _degrees(x: str, y: str) -> tuple[str, str]:
+    """Latitude and longitude in zone 32 as SQL."""
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    radius = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64) * 0.9996
+    xi, eta = f"(({y}) / {radius!r})", f"((({x}) - 500000) / {radius!r})"
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    u = "(" + xi + "".join(f" - {b!r} * sin({2 * k} * {xi}) * cosh({2 * k} * {eta})" for k, b in enumerate(beta, 1)) + ")"
+    v = "(" + eta + "".join(f" - {b!r} * cos({2 * k} * {xi}) * sinh({2 * k} * {eta})" for k, b in enumerate(beta, 1)) + ")"
+    chi = f"asin(sin({u}) / cosh({v}))"
+    return f"degrees({chi}" + "".join(f" + {d!r} * sin({2 * k} * {chi})" for k, d in enumerate(delta, 1)) + ")", f"(degrees(atan2(sinh({v}), cos({u}))) + 9)"
+
+
+_LAT, _LON = _degrees("x", "y")
+
+
+@query("WITH s AS (SELECT c_custkey AS run, 300000 + c_custkey * 100::DOUBLE AS x0, CASE WHEN c_nationkey % 2 = 0 THEN 5000000 + c_custkey * 50 ELSE 6000000 END::DOUBLE AS y0, (c_nationkey % 2) * 1e7::DOUBLE AS shift, c_custkey % 3 = 0 AS whole, c_nationkey * 10 AS col, c_custkey % 90 AS row FROM customer), "
+       "p AS (SELECT run, k, x0 + (col + CASE WHEN k IN (1, 2) THEN 500 ELSE 0 END) * 10 AS x, y0 - shift - (row + CASE WHEN k > 1 THEN 300 ELSE 0 END) * 10 AS y FROM s, range(4) t(k) WHERE NOT whole), "
+       "e AS (SELECT run, x0 + i * 2000 * 10 / 22 AS x, y0 - shift - j * 1000 * 10 / 22 AS y FROM s, range(23) a(i), range(23) b(j) WHERE whole AND (i IN (0, 22) OR j IN (0, 22))), "
+       f"q AS (SELECT run, k, {_LON} AS lon, {_LAT} AS lat FROM p UNION ALL SELECT run, k, CASE WHEN k < 2 THEN max(lon) ELSE min(lon) END, CASE WHEN k IN (1, 2) THEN max(lat) ELSE min(lat) END FROM (SELECT run, {_LON} AS lon, {_LAT} AS lat FROM e), range(4) t(k) GROUP BY run, k) "
+       "SELECT run, " + ", ".join(f"round(max({n}) FILTER (k = {k}), 7) AS {n}{k}" for k in range(4) for n in ("lon", "lat")) + ", 93::INT AS bytes FROM q GROUP BY run")
+def run_footprints(spark, sf):
+    """Runs over crops and over whole scenes, on both hemispheres."""
+    even, key = F.col("c_nationkey") % 2 == 0, F.col("c_custkey")
+    tf = F.array(F.lit(10.0), F.lit(0.0), (300_000 + key * 100).cast("double"), F.lit(0.0), F.lit(-10.0), F.when(even, 5_000_000 + key * 50).otherwise(6_000_000).cast("double"))
+    text = F.when(key % 3 != 0, F.concat_ws(",", F.col("c_nationkey") * 10, key % 90, F.lit(500), F.lit(300)))
+    rows = table(spark, sf, "customer").select(key.alias("run"), tf.alias("tf"), A.crop_window(text).alias("crop"), (~even).alias("south"))
+    rows = rows.withColumn("corners", A.footprint_corners(F.col("tf"), F.lit(1000), F.lit(2000), F.lit(32), F.col("south"), F.col("crop")))
+    corners = [F.round(F.col("corners")[k][n], 7).alias(f"{n}{k}") for k in range(4) for n in ("lon", "lat")]
+    return rows.select("run", *corners, F.octet_length(A.footprint_wkb(F.col("corners"))).alias("bytes"))
+
+
 # Joins by place
 
 
