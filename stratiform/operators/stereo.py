@@ -67,7 +67,7 @@ def strip_detectors(points: DataFrame, footprints: DataFrame, resolutions: dict[
     near = lambda v: F.ceil(v - 0.5).cast("int")
     asked = points.join(F.broadcast(bands)).withColumns({"r": near(F.col("y") / res), "c": near(F.col("x") / res)})  # a row a band
     asked = asked.select("scene", "strip", "band", "r", "c").dropDuplicates()
-    seen = asked.join(footprints, ["scene", "band", "r", "c"]).groupBy("scene", "strip", "band").agg(F.min("detector").alias("lo"), F.max("detector").alias("hi"))
+    seen = asked.join(footprints.hint("merge"), ["scene", "band", "r", "c"]).groupBy("scene", "strip", "band").agg(F.min("detector").alias("lo"), F.max("detector").alias("hi"))
     each = seen.groupBy("scene", "strip").agg(F.min("lo").alias("detector"), F.max("hi").alias("most"), F.count(F.lit(1)).alias("n"))
     return each.where((F.col("detector") == F.col("most")) & (F.col("n") == len(resolutions))).select("scene", "strip", "detector")
 

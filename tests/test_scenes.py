@@ -151,3 +151,12 @@ def test_angle_of_the_orbit(spark):
     y0 = np.flatnonzero(np.diff(kept[:, 0]) == 1)[0]
     assert abs(got + np.arctan2(26, y0 - 0)) < 1e-12
     assert grids.orbit_angles(frame(spark, np.ones((4, 4))), ["scene"]).first().angle == 0.0
+
+
+def test_rasters_are_not_broadcast(spark):
+    """However small their files are: each row of a file may hold many cells."""
+    g = spark.range(4).select(F.lit(1).alias("scene"), F.lit("B02").alias("band"), F.col("id").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.lit(63))).alias("c"), F.rand(1).alias("v"))
+    points = stereo.strip_points(g.select("scene").dropDuplicates(), 40.0, 640.0, 0.0, 80.0, 80.0, 10.0, 10.0)
+    for made in (stereo.sampled_bands(points, g, {"B02": 10.0}, {"B02": (4, 64)}), stereo.strip_detectors(points, g.withColumn("detector", F.lit(1)), {"B02": 10.0}).select("scene")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 0
