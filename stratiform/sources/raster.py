@@ -59,6 +59,7 @@ class TiffReader(DataSourceReader):
         self.path, self.rasters = options["path"], rasters
         self.bands = {int(b) for b in options["bands"].split(",")} if options.get("bands") else None
         self.crop = tuple(int(x) for x in options["crop"].split(",")) if options.get("crop") else None
+        self.written = options.get("written", "false") == "true"
         self.a_task, self.tag = int(options.get("tiles_a_task", TILES_A_TASK)), options.get("tag", TAG)
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
@@ -71,6 +72,8 @@ class TiffReader(DataSourceReader):
                 yield f
 
     def _wanted(self, header: tiff.Header, number: int) -> bool:
+        if self.written and not header.sizes[number]:
+            return False
         plane, row, col = header.place(number)
         planes = range(header.bands) if header.interleaved else (plane,)
         if self.bands is not None and not any(p + 1 in self.bands for p in planes):
@@ -205,11 +208,11 @@ def registered(spark: SparkSession) -> None:
     spark.dataSource.register(TiffSource)
 
 
-def read_tiles(spark: SparkSession, path: str, bands: tuple[int, ...] | None = None, crop: tuple[int, int, int, int] | None = None, tiles_a_task: int = TILES_A_TASK) -> DataFrame:
+def read_tiles(spark: SparkSession, path: str, bands: tuple[int, ...] | None = None, crop: tuple[int, int, int, int] | None = None, tiles_a_task: int = TILES_A_TASK, written: bool = False) -> DataFrame:
     """(name, band from 1, r, c, height, width, dtype, data) of the tiles that hold a part of the crop (row, col, height, width), cut
-    to it; data is the tile's numbers, row by row, little-endian."""
+    to it; data is the tile's numbers, row by row, little-endian. ``written`` leaves out tiles that were never written."""
     registered(spark)
-    reader = spark.read.format("tiff").option("tiles_a_task", tiles_a_task)
+    reader = spark.read.format("tiff").option("tiles_a_task", tiles_a_task).option("written", str(written).lower())
     if bands is not None:
         reader = reader.option("bands", ",".join(map(str, bands)))
     if crop is not None:
@@ -223,15 +226,16 @@ def read_rasters(spark: SparkSession, path: str, tag: str = TAG) -> DataFrame:
     return spark.read.format("tiff").option("what", "rasters").option("tag", tag).load(path)
 
 
-def cells(tiles: DataFrame) -> DataFrame:
-    """(name, band, r, c, v) of every cell of tiles, in batches of about a tile."""
+def cells(tiles: DataFrame, missing: float | None = None) -> DataFrame:
+    """(name, band, r, c, v) of every cell of tiles, in batches of about a tile; of those that hold ``missing`` none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 v = np.frombuffer(row["data"], row["dtype"]).astype(np.float64)
-                at = np.arange(len(v))
-                columns = [pa.array([row["name"]] * len(v)), pa.array(np.full(len(v), row["band"], np.int32)), pa.array((row["r"] + at // row["width"]).astype(np.int32)), pa.array((row["c"] + at % row["width"]).astype(np.int32)), pa.array(v)]
+                at = np.arange(len(v)) if missing is None else np.flatnonzero(v != missing)
+                v = v[at]
+                columns = [pa.array([row["name"]] * len(v), pa.string()), pa.array(np.full(len(v), row["band"], np.int32)), pa.array((row["r"] + at // row["width"]).astype(np.int32)), pa.array((row["c"] + at % row["width"]).astype(np.int32)), pa.array(v)]
                 yield pa.RecordBatch.from_arrays(columns, names=["name", "band", "r", "c", "v"])
 
     return tiles.mapInArrow(run, "name string, band int, r int, c int, v double")

@@ -133,3 +133,11 @@ def test_a_band_of_layers(spark, tmp_path):
     raster.write_tiles(df, f"{tmp_path}/l", 16, 16, 1, "u1", 16)
     assert sorted(p.name for p in (tmp_path / "l").iterdir()) == ["layer0.tif", "layer1.tif", "layer2.tif"]
     assert raster.read_rasters(spark, f"{tmp_path}/l").count() == 3
+
+
+def test_cells_that_a_raster_lacks_do_not_come_back(spark, tmp_path):
+    rows = [("a", 1, r, c, float(r - c)) for r in range(7) for c in range(20) if r < 5 and c < 12]
+    grid = spark.createDataFrame(rows, "name string, band int, r int, c int, v double")
+    raster.write_tiles(raster.tiled(grid, 7, 20, "f8", 16, missing=-9e99), str(tmp_path), 7, 20, 1, "f8", 16)
+    assert sorted(map(tuple, raster.cells(raster.read_tiles(spark, str(tmp_path), written=True), -9e99).collect())) == rows
+    assert raster.cells(raster.read_tiles(spark, str(tmp_path))).count() == 7 * 20
