@@ -53,13 +53,14 @@ def predicted(features: Column, predict: Callable[[np.ndarray], np.ndarray]) ->
     return run(features)
 
 
-def windowed(grid: DataFrame, keys: list[str], height: int, width: int, window: int, overlap: int, predict: Callable[[np.ndarray], np.ndarray], context: int = 0, only_where: str | None = None, batch: int = 8) -> DataFrame:
+def windowed(grid: DataFrame, keys: list[str], height: int, width: int, window: int, overlap: int, predict: Callable[[np.ndarray], np.ndarray], context: int = 0, only_where: str | None = None, batch: int = 8, known_only: bool = False) -> DataFrame:
     """A model over overlapping windows, merged by their mean: (keys, r, c, v).
 
     v is a number or, of several channels, an array; predict takes and returns (n, side, side) or (n, channels, side, side), of
     at most ``batch`` windows. Windows begin every window - overlap cells until the raster is covered. What a window and its
     ``context`` cells lack at the raster's edge is reflected, or, where the slice is no larger than what it lacks on a side,
     repeated from its edge. Windows in which ``only_where`` holds nowhere are left out before anything is exchanged.
+    ``known_only`` gives predictions only of cells that the grid has; else those it lacks, which count as 0, have theirs too.
 
     Cells are packed into square tiles of the stride, tiles go to the windows that need them, windows are predicted as a stream
     and cut at the tiles' borders, and tiles add up their pieces: no cell is copied by itself and no task holds a raster.
@@ -152,7 +153,8 @@ def windowed(grid: DataFrame, keys: list[str], height: int, width: int, window:
         return frame
 
     schema = T.StructType([*key_fields, T.StructField("r", T.LongType()), T.StructField("c", T.LongType()), T.StructField("v", out_v)])
-    return sent.mapInArrow(predicted_windows, piece_schema).groupBy(*keys, *place).applyInPandas(merged, schema)
+    out = sent.mapInArrow(predicted_windows, piece_schema).groupBy(*keys, *place).applyInPandas(merged, schema)
+    return out.join(grid.select(*keys, F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c")).hint("merge"), [*keys, "r", "c"], "left_semi") if known_only else out
 
 
 def _assembled(parts: list[tuple[int, int, np.ndarray]], wr: int, wc: int, stride: int, window: int, context: int, height: int, width: int) -> np.ndarray:

@@ -96,3 +96,12 @@ def test_attention_over_bags_against_loops(spark):
     got = {r.id: r for r in inference.inverted_bags(df, ["id"], inference.attention_over_bags(w, heads, 2)).collect()}
     assert np.allclose(got[1].shading, shading) and np.allclose(got[1].properties, whole) and np.allclose(got[4].shading, shading[::-1])
     assert len(got[2].shading) == 2 and got[3].shading is None
+
+
+def test_predictions_of_cells_that_the_grid_has(spark):
+    rows = [(1, r, c, float(r * 6 + c)) for r in range(6) for c in range(6) if r < 3]
+    grid = spark.createDataFrame(rows, "scene int, r int, c int, v double")
+    twice = lambda x: x * 2
+    got = inference.windowed(grid, ["scene"], 6, 6, 4, 2, twice, context=1, known_only=True).collect()
+    assert sorted((r.scene, r.r, r.c, r.v / 2) for r in got) == rows
+    assert inference.windowed(grid, ["scene"], 6, 6, 4, 2, twice, context=1).count() > len(rows)
