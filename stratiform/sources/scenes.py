@@ -6,9 +6,12 @@ Pixel files (JP2, GeoTIFF, GRIB) need a decoder that is not at hand; ``binaryFil
 from __future__ import annotations
 
 import json
+import re
+from xml.parsers import expat
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def metadata_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,8 +26,55 @@ def exactly_one(files: DataFrame, keys: list[str]) -> DataFrame:
     return files.groupBy(*keys).agg(F.when(n == 1, F.min("path")).otherwise(F.raise_error(F.concat_ws(" ", F.lit("several files for"), *keys))).alias("path"))
 
 
+#: Elements whose first appearance counts, by (parent, name) or by name alone.
+_ELEMENTS = {
+    "SENSING_ORBIT_DIRECTION": "orbit_direction", "PRODUCT_URI": "product_uri", "DATATAKE_SENSING_START": "start", "SENSING_TIME": "sensing", "QUANTIFICATION_VALUE": "quantification",
+    ("Mean_Sun_Angle", "ZENITH_ANGLE"): "sun_zenith", ("Mean_Sun_Angle", "AZIMUTH_ANGLE"): "sun_azimuth",
+}
+_NUMBERS = ("quantification", "sun_zenith", "sun_azimuth")
+
+
+_OFFSETS = T.ArrayType(T.StructType([T.StructField("band_idx", T.StringType()), T.StructField("offset", T.StringType())]))
+
+
+@F.udf(T.StructType([*(T.StructField(n, T.DoubleType() if n in _NUMBERS else T.StringType()) for n in _ELEMENTS.values()), T.StructField("offsets", _OFFSETS)]), useArrow=True)
+def parsed(xml: str | None) -> dict | None:
+    """What the functions below need of a document, which is read once; absent text is null and an absent number NaN."""
+    if not xml:
+        return None
+    path, taking, found, offsets = [], [], {}, []
+
+    def start(name: str, attributes: dict[str, str]) -> None:
+        field = _ELEMENTS.get(name) or _ELEMENTS.get((path[-1] if path else "", name))
+        path.append(name)
+        if field and field not in found:
+            found[field] = ""
+            taking.append((len(path), field))
+        if name == "RADIO_ADD_OFFSET":
+            offsets.append({"band_idx": attributes.get("band_id"), "offset": ""})
+
+    def text(data: str) -> None:
+        for _, field in taking:
+            found[field] += data
+        if path[-1] == "RADIO_ADD_OFFSET":
+            offsets[-1]["offset"] += data
+
+    def end(_: str) -> None:
+        while taking and taking[-1][0] >= len(path):
+            taking.pop()
+        path.pop()
+
+    reader = expat.ParserCreate()
+    reader.StartElementHandler, reader.CharacterDataHandler, reader.EndElementHandler = start, text, end
+    reader.Parse(xml, True)
+    number = lambda x: float(x) if re.fullmatch(r"\s*-?(\d+\.?\d*|\.\d+)\s*", x) else float("nan")
+    values = {field: number(found.get(field, "")) if field in _NUMBERS else found.get(field) or None for field in _ELEMENTS.values()}
+    return values | {"offsets": offsets}
+
+
 def sun_angles(xml: Column) -> dict[str, Column]:
-    return {"sun_zenith": F.xpath_double(xml, F.lit("//Mean_Sun_Angle/ZENITH_ANGLE")), "sun_azimuth": F.xpath_double(xml, F.lit("//Mean_Sun_Angle/AZIMUTH_ANGLE"))}
+    found = parsed(xml)
+    return {"sun_zenith": found["sun_zenith"], "sun_azimuth": found["sun_azimuth"]}
 
 
 def circular_mean(degrees: Column) -> Column:
@@ -40,17 +90,16 @@ def view_angles(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> Data
 
 def product_metadata(xml: Column) -> dict[str, Column]:
     """Orbit direction, product name, quantification and sensing time, which has a second place to look in."""
-    text = lambda path: F.nullif(F.xpath_string(xml, F.lit(path)), F.lit(""))
+    found = parsed(xml)
     return {
-        "orbit_direction": text("//SENSING_ORBIT_DIRECTION"), "product_uri": text("//PRODUCT_URI"), "quantification": F.xpath_double(xml, F.lit("//QUANTIFICATION_VALUE")),
-        "sensing_time": F.to_timestamp(F.coalesce(text("//DATATAKE_SENSING_START"), text("//SENSING_TIME"))),
+        "orbit_direction": found["orbit_direction"], "product_uri": found["product_uri"], "quantification": found["quantification"],
+        "sensing_time": F.to_timestamp(F.coalesce(found["start"], found["sensing"])),
     }
 
 
 def radiometric_offsets(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> DataFrame:
     """(scene, band_idx, offset) of products that name offsets."""
-    zipped = F.arrays_zip(F.xpath(xml, F.lit("//RADIO_ADD_OFFSET/@band_id")), F.xpath(xml, F.lit("//RADIO_ADD_OFFSET/text()")))
-    return scenes.select(key, F.explode(zipped).alias("o")).select(key, F.col("o")["0"].cast("int").alias("band_idx"), F.col("o")["1"].cast("double").alias("offset"))
+    return scenes.select(key, F.explode(parsed(F.col(xml))["offsets"]).alias("o")).select(key, F.col("o.band_idx").cast("int").alias("band_idx"), F.col("o.offset").cast("double").alias("offset"))
 
 
 def spectral_bands(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> DataFrame:

@@ -133,3 +133,13 @@ def test_arrivals(spark, tmp_path):
     assert db.runs.count() == 2
     rolled = arrivals.daily_cloud(spark.read.schema(arrivals.MANIFEST).json(str(land)).dropDuplicates(["run_id"])).first()
     assert (rolled.n, round(rolled.cloud, 6)) == (2, 0.3)
+
+
+def test_metadata_of_a_document_are_read_at_once(spark):
+    xml = "<n1:m xmlns:n1='u'><a><Mean_Sun_Angle><ZENITH_ANGLE> 31.5 </ZENITH_ANGLE></Mean_Sun_Angle><ZENITH_ANGLE>7</ZENITH_ANGLE></a><PRODUCT_URI>A&amp;B</PRODUCT_URI><PRODUCT_URI>C</PRODUCT_URI><SENSING_TIME>2020-01-01T10:00:00</SENSING_TIME><RADIO_ADD_OFFSET band_id='2'/><RADIO_ADD_OFFSET band_id='3'>-5</RADIO_ADD_OFFSET></n1:m>"
+    rows = spark.createDataFrame([(1, xml), (2, None), (3, "<m/>")], "scene int, xml string")
+    more = scenes.product_metadata(F.col("xml"))
+    made = rows.select("scene", more["product_uri"].alias("uri"), more["sensing_time"].cast("string").alias("at"), more["quantification"].cast("string").alias("q"), scenes.sun_angles(F.col("xml"))["sun_zenith"].cast("string").alias("z"))
+    assert sorted(map(tuple, made.collect())) == [(1, "A&B", "2020-01-01 10:00:00", "NaN", "31.5"), (2, None, None, None, None), (3, None, None, "NaN", "NaN")]
+    assert made._jdf.queryExecution().executedPlan().toString().count("parsed(xml") <= 2  # once, as it stands in a node and its output
+    assert sorted(map(tuple, scenes.radiometric_offsets(rows).collect()), key=str) == [(1, 2, None), (1, 3, -5.0)]
