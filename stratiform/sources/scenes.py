@@ -99,7 +99,7 @@ def product_metadata(xml: Column) -> dict[str, Column]:
 
 def radiometric_offsets(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> DataFrame:
     """(scene, band_idx, offset) of products that name offsets."""
-    return scenes.select(key, F.explode(parsed(F.col(xml))["offsets"]).alias("o")).select(key, F.col("o.band_idx").cast("int").alias("band_idx"), F.col("o.offset").cast("double").alias("offset"))
+    return scenes.select(key, F.explode(parsed(F.col(xml))["offsets"]).alias("o")).select(key, F.col("o.band_idx").cast("int").alias("band_idx"), F.nullif(F.col("o.offset"), F.lit("")).cast("double").alias("offset"))
 
 
 def spectral_bands(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> DataFrame:
