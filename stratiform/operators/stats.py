@@ -1,11 +1,13 @@
 """Statistics of pixels by run and band: plug-ins by name, all runs in one job.
 
-Quantiles are exact and found by rank, so that no task holds a group's values: values are counted, counts are sorted by ranges
-of (group, value), and of the ranges only those that hold a wanted rank are looked into.
+Quantiles are exact and found by rank, so that no task holds a large group's values: these are counted, counts are sorted by
+ranges of (group, value), and of the ranges only those that hold a wanted rank are looked into. Small groups are moved and sorted once.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +21,10 @@ from ..sources.tables import cut
 PERCENTILES = (0, 5, 25, 50, 75, 95, 100)
 CLASSES = {0: "Clear", 1: "Thick Cloud", 2: "Thin Cloud", 3: "Cloud Shadow"}
 
+#: Rows that a task of quantiles sorts, places to which keys are dealt when their rows are counted, and tasks at the most.
+ROWS, PLACES, TASKS = 1 << 18, 1 << 16, 1 << 14
+
+
 class Quantiles(dict):
     """Names of wanted quantiles and their points within 0..1, which a statistics function may return among its aggregates."""
 
@@ -76,26 +82,60 @@ def band_stats(pixels: DataFrame, identifier: str, nodata: float | None = None,
 
 
 def summarised(rows: DataFrame, keys: list[str], value: str, wanted: list[Column | Quantiles]) -> DataFrame:
-    """The aggregates and quantiles of a value by keys, quantiles first."""
+    """The aggregates and quantiles of a value by keys, quantiles first; with quantiles, only of keys that have a value."""
     points = {name: p for w in wanted if isinstance(w, Quantiles) for name, p in w.items()}
     aggregates = [w for w in wanted if not isinstance(w, Quantiles)]
-    if not points:
-        return rows.groupBy(*keys).agg(*aggregates)
-    found = quantiles(rows, keys, value, points)
-    if not aggregates:
-        return found
-    made = rows.groupBy(*keys).agg(*aggregates)
-    return found.join(made, keys)
+    return quantiles(rows, keys, value, points, aggregates) if points else rows.groupBy(*keys).agg(*aggregates)
 
 
-def quantiles(rows: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
-    """(keys, one column a point): exact quantiles, linear between the two values next to a rank; nulls do not count.
+def quantiles(rows: DataFrame, keys: list[str], value: str, points: dict[str, float], aggregates: list[Column] | None = None) -> DataFrame:
+    """(keys, one column a point, the aggregates): exact quantiles, linear between the two values next to a rank; nulls do not count.
 
-    Infinities are values like others, at either end, and NaN comes after all. Keys may be few and hold any number of values.
+    Infinities are values like others, at either end, and NaN comes after all. Keys may be few and hold any number of values: rows
+    are counted by places to which keys are dealt, and keys of places with many rows are ranked by ranges, all others each
+    within a task. Tasks follow the number of rows, so that what one of them holds does not grow with the input.
     """
+    aggregates, place = aggregates or [], F.pmod(F.xxhash64(*keys), F.lit(PLACES))
+    sizes = rows.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.sum("n").alias("all"), F.collect_list(F.when(F.col("n") > ROWS, F.col("place"))).alias("full")).first()
+    full, tasks = found["full"], min(-(-(found["all"] or 1) // ROWS), TASKS)
+    if not full:
+        return _by_key(rows, keys, value, points, aggregates, tasks)
+    large, small = rows.where(place.isin(full)), rows.where(~place.isin(full))
+    ranked = _by_range(large, keys, value, points, tasks)
+    if aggregates:
+        ranked = _joined(ranked, large.groupBy(*keys).agg(*aggregates), keys)
+    return ranked.unionByName(_by_key(small, keys, value, points, aggregates, tasks))
+
+
+def _by_key(rows: DataFrame, keys: list[str], value: str, points: dict[str, float], aggregates: list[Column], tasks: int) -> DataFrame:
+    """Ranks and aggregates of keys of which a task can sort many: rows are moved once."""
+    ordered = W.partitionBy(*keys).orderBy(F.asc_nulls_last("__v"))
+    values = rows.repartition(tasks, *keys).withColumn("__v", F.col(value).cast("double"))
+    values = values.withColumns({"__rank": F.row_number().over(ordered) - 1, "__n": F.count("__v").over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))}).where("__n > 0")
+
+    def point(p: float) -> Column:
+        at = F.lit(float(p)) * (F.col("__n") - 1)
+        w = at - F.floor(at)
+        return F.sum(F.when(F.col("__rank") == F.floor(at), (1 - w) * F.col("__v")).when((F.col("__rank") == F.floor(at) + 1) & (w > 0), w * F.col("__v")))
+
+    return values.groupBy(*keys).agg(*(point(p).alias(name) for name, p in points.items()), *aggregates)
+
+
+def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Joined by columns of which null equals null; the left side's are kept."""
+    renamed = right.withColumnsRenamed({c: f"__on{i}" for i, c in enumerate(on)})
+    same = functools.reduce(operator.and_, (F.col(c).eqNullSafe(F.col(f"__on{i}")) for i, c in enumerate(on)))
+    return left.join(renamed, same, how).drop(*(f"__on{i}" for i in range(len(on))))
+
+
+def _by_range(rows: DataFrame, keys: list[str], value: str, points: dict[str, float], tasks: int) -> DataFrame:
+    """Ranks of keys of any size: of the ranges of (keys, value) only those that hold a wanted rank are looked into."""
     order = [*keys, "__v"]
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    placed = cut(counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()))
+    # values are counted by task of the scan, so that a frequent one is not moved to one task row by row; a value may have several counts
+    counts = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"), F.spark_partition_id().alias("__scan"))
+    counts = counts.repartition(tasks, *order, "__scan").groupBy(*order, "__scan").agg(F.count(F.lit(1)).alias("__n")).drop("__scan")
+    placed = cut(counts.repartitionByRange(tasks, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()))
     by_key = W.partitionBy(*keys)
     before = F.sum("__n").over(by_key.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
     spans = placed.groupBy(*keys, "__part").agg(F.sum("__n").alias("__n"))
@@ -105,8 +145,8 @@ def quantiles(rows: DataFrame, keys: list[str], value: str, points: dict[str, fl
     ranks = ranks.select(*keys, "__part", "__from", "i", F.col("s.rank").alias("rank"), F.col("s.w").alias("w"), "__n").where("w > 0 AND rank >= __from AND rank < __from + __n").drop("__n")
     within = W.partitionBy(*keys, "__part").orderBy("__v").rowsBetween(W.unboundedPreceding, 0)
     wanted = ranks.select(*keys, "__part").dropDuplicates()
-    values = placed.join(wanted, [*keys, "__part"], "left_semi").withColumn("__to", F.sum("__n").over(within))
-    hit = values.join(ranks, [*keys, "__part"]).where("rank - __from < __to AND rank - __from >= __to - __n")
+    values = _joined(placed, wanted, [*keys, "__part"], "left_semi").withColumn("__to", F.sum("__n").over(within))
+    hit = _joined(values, ranks, [*keys, "__part"]).where("rank - __from < __to AND rank - __from >= __to - __n")
     each = [F.sum(F.when(F.col("i") == i, F.col("w") * F.col("__v"))).alias(name) for i, name in enumerate(points)]
     return hit.groupBy(*keys).agg(*each)
 

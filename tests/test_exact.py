@@ -21,6 +21,36 @@ def test_quantiles_of_large_small_and_tied_groups(spark):
     assert stats.quantiles(df.limit(0), ["k"], "v", points).collect() == []
 
 
+@pytest.mark.parametrize("a_task", [100, 1 << 18])
+def test_quantiles_by_range_and_by_key_agree(spark, monkeypatch, a_task):
+    """A key without a name, large and small keys, NaN and infinities; tasks follow the rows, not the session's partitions."""
+    monkeypatch.setattr(stats, "ROWS", a_task)
+    rng = np.random.default_rng(6)
+    groups = {None: rng.normal(size=700), "hot": np.repeat([1.0, 2.0], [900, 3]), "odd": np.array([np.nan, np.inf, 1.0]), "ends": np.array([np.inf, np.inf]), "half": np.array([2.0, np.nan])}
+    groups |= {f"s{i}": rng.normal(size=1 + i % 4) for i in range(300)}
+    rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("s1", None), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    out = stats.summarised(df, ["k"], "v", [stats.Quantiles(low=0.1, median=0.5), F.count("v").alias("n"), F.count(F.lit(1)).alias("all")])
+    got = {r.k: r for r in out.collect()}
+    assert out.columns == ["k", "low", "median", "n", "all"] and got.keys() == groups.keys()
+    for k, vs in groups.items():
+        v = np.sort(vs)
+        at = [0.1 * (len(v) - 1), 0.5 * (len(v) - 1)]
+        want = [v[int(a)] if a == int(a) else (1 - a % 1) * v[int(a)] + a % 1 * v[int(a) + 1] for a in at]
+        assert np.allclose([got[k].low, got[k].median], want, atol=1e-12, equal_nan=True) and (got[k].n, got[k].all) == (len(v), len(v) + (k == "s1"))
+    if a_task > len(rows):
+        assert out.rdd.getNumPartitions() == 1
+
+
+def test_quantiles_of_one_constant_key_by_range(spark, monkeypatch):
+    """The optimiser knows that such a key orders nothing; ranges keep their order all the same."""
+    monkeypatch.setattr(stats, "ROWS", 100)
+    v = np.random.default_rng(8).permutation(np.repeat(np.arange(500.0), 8))
+    df = spark.createDataFrame([(i % 2, float(x)) for i, x in enumerate(v)], "b long, v double").repartition(6).withColumn("run", F.lit(1))
+    got = {r.b: (r.low, r.median, r.high) for r in stats.quantiles(df, ["run", "b"], "v", {"low": 0.05, "median": 0.5, "high": 1.0}).collect()}
+    assert got == {b: tuple(np.percentile(v[b::2], [5, 50, 100])) for b in (0, 1)}
+
+
 def test_two_functions_of_one_step_and_one_that_fails(spark):
     px = spark.createDataFrame([(1, "B02", 0, 1.0), (1, "B02", 0, 3.0), (2, None, 4, 5.0)], "run_id long, band string, band_idx int, value double")
     runs = spark.createDataFrame([(1, "done"), (2, "done"), (3, "staged")], "run_id long, status string")
