@@ -14,10 +14,10 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +28,9 @@ from . import tiff
 
 TILES = "name string, band int, r int, c int, height int, width int, dtype string, data binary"
 RASTERS = "name string, height int, width int, bands int, dtype string, transform array<double>, epsg int, nodata double, metadata string"
-TAG, TILE, TILES_A_TASK = "metadata", 512, 16
+TAG, TILE = "metadata", 512
+#: Files and cells that a task reads, whichever is full first, and headers that are read at once when tiles are looked up.
+FILES_A_TASK, CELLS_A_TASK, HEADERS = 32, 16 * TILE * TILE, 16
 
 
 def _opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -50,8 +52,13 @@ def _name(file: str) -> str:
 
 @dataclass
 class TilePart(InputPartition):
-    file: str
-    numbers: tuple[int, ...]
+    """Files, each with the tiles that are read of it."""
+
+    files: tuple[tuple[str, tuple[int, ...]], ...]
+
+    @property
+    def numbers(self) -> tuple[int, ...]:
+        return tuple(n for _, numbers in self.files for n in numbers)
 
 
 class TiffReader(DataSourceReader):
@@ -60,7 +67,7 @@ class TiffReader(DataSourceReader):
         self.bands = {int(b) for b in options["bands"].split(",")} if options.get("bands") else None
         self.crop = tuple(int(x) for x in options["crop"].split(",")) if options.get("crop") else None
         self.written = options.get("written", "false") == "true"
-        self.a_task, self.tag = int(options.get("tiles_a_task", TILES_A_TASK)), options.get("tag", TAG)
+        self.a_task, self.tag = int(options["tiles_a_task"]) if options.get("tiles_a_task") else None, options.get("tag", TAG)
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
         """Conditions on the band narrow the list of partitions."""
@@ -83,38 +90,55 @@ class TiffReader(DataSourceReader):
         r, c, h, w = self.crop
         return row < r + h and row + header.tile_height > r and col < c + w and col + header.tile_width > c
 
+    def _header(self, file: str) -> tiff.Header:
+        fs, _ = _opened(self.path)
+        with fs.open_input_file(file) as f:
+            return tiff.read_header(f)
+
     def partitions(self) -> list[TilePart]:
+        files = _files(self.path)
         if self.rasters:
-            return [TilePart(f, ()) for f in _files(self.path)]
-        fs, _ = _opened(self.path)
-        out = []
-        for file in _files(self.path):
-            with fs.open_input_file(file) as f:
-                header = tiff.read_header(f)
-            numbers = [n for n in range(len(header.offsets)) if self._wanted(header, n)]
-            out += [TilePart(file, tuple(numbers[k : k + self.a_task])) for k in range(0, len(numbers), self.a_task)]
-        return out
+            return [TilePart(tuple((f, ()) for f in files[k : k + FILES_A_TASK])) for k in range(0, len(files), FILES_A_TASK)]
+        out, held, tiles = [], [], 0
+        with ThreadPoolExecutor(HEADERS) as pool:
+            for file, header in zip(files, pool.map(self._header, files), strict=True):
+                a_tile = header.tile_height * header.tile_width * (header.bands if header.interleaved else 1)
+                most = self.a_task or max(1, CELLS_A_TASK // a_tile)
+                numbers = [n for n in range(len(header.offsets)) if self._wanted(header, n)]
+                while numbers:
+                    # a part goes on with the next file while it has room, by that file's size of tiles
+                    if held and (tiles >= most or len(held) >= FILES_A_TASK):
+                        out.append(TilePart(tuple(held)))
+                        held, tiles = [], 0
+                    room = most - tiles
+                    held.append((file, tuple(numbers[:room])))
+                    tiles, numbers = tiles + len(numbers[:room]), numbers[room:]
+        return out + ([TilePart(tuple(held))] if held else [])
 
     def read(self, partition: TilePart) -> Iterator[tuple]:
         if partition is None:  # a folder without a raster
             return
         fs, _ = _opened(self.path)
-        with fs.open_input_file(partition.file) as f:
-            header = tiff.read_header(f)
-            if self.rasters:
-                meta = json.dumps(tiff.described(header.items, self.tag), sort_keys=True)
-                yield (_name(partition.file), header.height, header.width, header.bands, header.dtype, list(header.transform) if header.transform else None, header.epsg, header.nodata, meta)
-                return
-            for n in partition.numbers:
-                plane, row, col = header.place(n)
-                tile = tiff.read_tile(f, header, n)
-                if self.crop is not None:
-                    r, c, h, w = self.crop
-                    tile = tile[:, max(r - row, 0) : r + h - row, max(c - col, 0) : c + w - col]
-                    row, col = max(row, r), max(col, c)
-                for k in range(len(tile)):
-                    if self.bands is None or plane + k + 1 in self.bands:
-                        yield (_name(partition.file), plane + k + 1, row, col, *tile.shape[1:], header.dtype, np.ascontiguousarray(tile[k]).tobytes())
+        for file, numbers in partition.files:
+            with fs.open_input_file(file) as f:
+                yield from self._rows(f, file, numbers)
+
+    def _rows(self, f: pa.NativeFile, file: str, numbers: tuple[int, ...]) -> Iterator[tuple]:
+        header = tiff.read_header(f)
+        if self.rasters:
+            meta = json.dumps(tiff.described(header.items, self.tag), sort_keys=True)
+            yield (_name(file), header.height, header.width, header.bands, header.dtype, list(header.transform) if header.transform else None, header.epsg, header.nodata, meta)
+            return
+        for n in numbers:
+            plane, row, col = header.place(n)
+            tile = tiff.read_tile(f, header, n)
+            if self.crop is not None:
+                r, c, h, w = self.crop
+                tile = tile[:, max(r - row, 0) : r + h - row, max(c - col, 0) : c + w - col]
+                row, col = max(row, r), max(col, c)
+            for k in range(len(tile)):
+                if self.bands is None or plane + k + 1 in self.bands:
+                    yield (_name(file), plane + k + 1, row, col, *tile.shape[1:], header.dtype, np.ascontiguousarray(tile[k]).tobytes())
 
 
 @dataclass
@@ -208,11 +232,14 @@ def registered(spark: SparkSession) -> None:
     spark.dataSource.register(TiffSource)
 
 
-def read_tiles(spark: SparkSession, path: str, bands: tuple[int, ...] | None = None, crop: tuple[int, int, int, int] | None = None, tiles_a_task: int = TILES_A_TASK, written: bool = False) -> DataFrame:
+def read_tiles(spark: SparkSession, path: str, bands: tuple[int, ...] | None = None, crop: tuple[int, int, int, int] | None = None, tiles_a_task: int | None = None, written: bool = False) -> DataFrame:
     """(name, band from 1, r, c, height, width, dtype, data) of the tiles that hold a part of the crop (row, col, height, width), cut
-    to it; data is the tile's numbers, row by row, little-endian. ``written`` leaves out tiles that were never written."""
+    to it; data is the tile's numbers, row by row, little-endian. ``written`` leaves out tiles that were never written. A task
+    reads tiles of several files up to CELLS_A_TASK cells, or up to ``tiles_a_task`` tiles."""
     registered(spark)
-    reader = spark.read.format("tiff").option("tiles_a_task", tiles_a_task).option("written", str(written).lower())
+    reader = spark.read.format("tiff").option("written", str(written).lower())
+    if tiles_a_task is not None:
+        reader = reader.option("tiles_a_task", tiles_a_task)
     if bands is not None:
         reader = reader.option("bands", ",".join(map(str, bands)))
     if crop is not None:
@@ -242,17 +269,41 @@ def cells(tiles: DataFrame, missing: float | None = None) -> DataFrame:
 
 
 def tiled(grid: DataFrame, height: int, width: int, dtype: str, size: int = TILE, missing: float = 0.0) -> DataFrame:
-    """Tiles (name, band, r, c, data) of cells (name, band from 1, r, c, v); cells that are not there are ``missing``."""
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        r0, c0 = int(part["tr"].iloc[0]) * size, int(part["tc"].iloc[0]) * size
-        out = np.full((min(size, height - r0), min(size, width - c0)), missing, dtype)
-        known = part[part["v"].notna()] if np.dtype(dtype).kind != "f" else part
-        out[known["r"].to_numpy() - r0, known["c"].to_numpy() - c0] = known["v"].to_numpy().astype(dtype)
-        return pd.DataFrame({"name": [part["name"].iloc[0]], "band": [int(part["band"].iloc[0])], "r": [r0], "c": [c0], "data": [out.tobytes()]})
+    """Tiles (name, band, r, c, data) of cells (name, band from 1, r, c, v); cells that are not there are ``missing``.
+
+    Cells come sorted by tile and are filled in as they stream by, so that a task holds one open tile.
+    """
+    kind, place = np.dtype(dtype), ["name", "band", "tr", "tc"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, tile = None, None
+        for batch in batches:
+            names, done = batch.column("name"), []
+            numbers = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("band", "tr", "tc", "r", "c", "v")}
+            codes = [names.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False), numbers["band"], numbers["tr"], numbers["tc"]]
+            starts = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in codes], axis=0)])) if batch.num_rows else []
+            for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                here = (names[int(start)].as_py(), *(int(numbers[n][start]) for n in place[1:]))
+                r0, c0 = here[2] * size, here[3] * size
+                if here != key:
+                    done += [(key, tile)] if key else []
+                    key, tile = here, np.full((min(size, height - r0), min(size, width - c0)), missing, kind)
+                r, c, v = (numbers[n][start:end] for n in ("r", "c", "v"))
+                known = slice(None) if kind.kind == "f" else ~np.isnan(v)
+                tile[r[known] - r0, c[known] - c0] = v[known].astype(kind)
+            if done:
+                yield packed(done)
+        if key:
+            yield packed([(key, tile)])
+
+    def packed(tiles: list[tuple[tuple, np.ndarray]]) -> pa.RecordBatch:
+        name, band, tr, tc = zip(*(k for k, _ in tiles), strict=True)
+        ints = lambda x, by=1: pa.array(np.array(x, np.int32) * by, pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(name, pa.string()), ints(band), ints(tr, size), ints(tc, size), pa.array([t.tobytes() for _, t in tiles], pa.binary())], names=["name", "band", "r", "c", "data"])
 
     rows = grid.select(F.col("name").cast("string").alias("name"), F.col("band").cast("int").alias("band"), "r", "c", F.col("v").cast("double").alias("v"))
     rows = rows.withColumns({"tr": F.floor(F.col("r") / size).cast("int"), "tc": F.floor(F.col("c") / size).cast("int")})
-    return rows.groupBy("name", "band", "tr", "tc").applyInPandas(run, "name string, band int, r int, c int, data binary")
+    return rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "name string, band int, r int, c int, data binary")
 
 
 def write_tiles(tiles: DataFrame, path: str, height: int, width: int, bands: int, dtype: str, size: int = TILE, transform: tuple[float, ...] | None = None, epsg: int | None = None, nodata: float | None = None, metadata: dict | None = None, tag: str = TAG) -> None:

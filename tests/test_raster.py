@@ -141,3 +141,24 @@ def test_cells_that_a_raster_lacks_do_not_come_back(spark, tmp_path):
     raster.write_tiles(raster.tiled(grid, 7, 20, "f8", 16, missing=-9e99), str(tmp_path), 7, 20, 1, "f8", 16)
     assert sorted(map(tuple, raster.cells(raster.read_tiles(spark, str(tmp_path), written=True), -9e99).collect())) == rows
     assert raster.cells(raster.read_tiles(spark, str(tmp_path))).count() == 7 * 20
+
+
+def test_small_files_share_tasks_and_tiles_go_on_over_batches(spark, tmp_path, monkeypatch):
+    """70 files of 6 tiles; batches of 7 cells end within tiles, and tiles of an integer type skip cells without a value."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        grid = spark.range(70 * 20 * 40).select((F.col("id") % 70).alias("name"), F.lit(1).alias("band"), (F.col("id") / 70 % 20).cast("int").alias("r"), (F.col("id") / 1400).cast("int").alias("c"))
+        grid = grid.withColumn("v", F.when(F.col("c") != 3, (F.col("name") + F.col("r") * 100 + F.col("c")).cast("double")))
+        raster.write_tiles(raster.tiled(grid, 20, 40, "i2", 16, missing=-9), str(tmp_path), 20, 40, 1, "i2", 16)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    heads = raster.read_rasters(spark, str(tmp_path))
+    assert heads.rdd.getNumPartitions() == 3 and sorted(int(r.name) for r in heads.collect()) == list(range(70))
+    tiles = raster.read_tiles(spark, str(tmp_path))
+    assert tiles.rdd.getNumPartitions() == 3 and raster.read_tiles(spark, str(tmp_path), tiles_a_task=4).rdd.getNumPartitions() == 105
+    got = arrays(tiles)
+    r, c = np.mgrid[:20, :40]
+    for k in range(70):
+        assert np.array_equal(whole(got[str(k), 1]), np.where(c == 3, -9, k + r * 100 + c))
+    monkeypatch.setattr(raster, "CELLS_A_TASK", 512)
+    assert [len(p.numbers) for p in raster.TiffReader({"path": str(tmp_path)}, False).partitions()] == [2] * 210
