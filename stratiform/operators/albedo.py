@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import cut
 from .grids import dilated
 from .nearest import k_nearest
 from .spatial import farthest_points
@@ -34,17 +35,19 @@ def estimated(
     half, margin = window // 2, window // 2
     far = dilated(able.select("scene", "r", "c", (~F.col("clear")).cast("int").alias("v")), ["scene"], dilation) if dilation else able.select("scene", "r", "c", (~F.col("clear")).cast("int").alias("v"))
     inside = F.col("r").between(margin, height - 1 - margin) & F.col("c").between(margin, width - 1 - margin) if margin else F.lit(True)
-    samples = farthest_points(far.where((F.col("v") == 0) & inside).select("scene", "r", "c"), ["scene"], max_samples, seed)
+    # chosen samples and their means are written once, as all that follows reads them again and again; their small files must
+    # not lead to a broadcast, which would grow with the scenes
+    samples = cut(farthest_points(far.where((F.col("v") == 0) & inside).select("scene", "r", "c"), ["scene"], max_samples, seed))
     samples = samples.select("scene", (F.col("r").cast("long") * width + F.col("c")).alias("sid"), F.col("r").alias("sr"), F.col("c").alias("sc"))
     enough = samples.groupBy("scene").count().where(F.col("count") >= LEAST)
     samples = samples.join(enough.select("scene"), "scene", "left_semi")
 
     steps = lambda name: F.explode(F.sequence(F.col(name) - half, F.col(name) + half))
     around = samples.withColumn("r", steps("sr")).withColumn("c", steps("sc"))
-    around = around.join(able.where("clear").select("scene", "r", "c"), ["scene", "r", "c"])
+    around = around.join(able.where("clear").select("scene", "r", "c").hint("merge"), ["scene", "r", "c"])
     lit = lambda values, default: F.coalesce(F.element_at(F.create_map(*(x for b, v in values.items() for x in (F.lit(b), F.lit(float(v))))), F.col("band")), F.lit(default)) if values else F.lit(default)
-    means = around.join(digital.where("dn <> 0"), ["scene", "r", "c"]).groupBy("scene", "sid", "sr", "sc", "band").agg(F.avg("dn").alias("dn"))
-    means = means.withColumn("value", (F.col("dn") + lit(offsets, 0.0)) / quantification)
+    means = around.join(digital.where("dn <> 0").hint("merge"), ["scene", "r", "c"]).groupBy("scene", "sid", "sr", "sc", "band").agg(F.avg("dn").alias("dn"))
+    means = cut(means.withColumn("value", (F.col("dn") + lit(offsets, 0.0)) / quantification))
     whole = means.groupBy("scene", "sid", "sr", "sc").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(defaults)).drop("n")
     usable = whole.groupBy("scene").agg(F.count(F.lit(1)).alias("n_samples")).where(F.col("n_samples") >= LEAST)
     whole = whole.join(usable.select("scene"), "scene", "left_semi")
@@ -58,7 +61,7 @@ def estimated(
     where = whole.select("scene", "sid", (F.col("sc") * F.lit(float(res))).alias("sx"), (F.col("sr") * F.lit(float(res))).alias("sy"))
     near = k_nearest(asked, where, ["x", "y"], ["sx", "sy"], k, keys=["scene"])
     pairs = near.select("id.*", F.explode("near").alias("s")).select("scene", "r", "c", F.col("s.sid").alias("sid"), (1 / (F.col("s.d") + smoothing)).alias("w"))
-    fitted = pairs.join(means.select("scene", "sid", "band", "value"), ["scene", "sid"]).groupBy("scene", "band", "r", "c").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("fitted"))
+    fitted = pairs.join(means.select("scene", "sid", "band", "value").hint("merge"), ["scene", "sid"]).groupBy("scene", "band", "r", "c").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("fitted"))
 
     bands = F.explode(F.array(*(F.lit(b) for b in sorted(defaults))))
     rows = cells.withColumn("band", bands).join(usable, "scene", "left").join(fitted, ["scene", "band", "r", "c"], "left")
