@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import cut
+
 
 def metadata_files(spark: SparkSession, folder: str) -> DataFrame:
     """(scene, path, xml) of every metadata file of the products below a folder."""
@@ -99,7 +101,18 @@ def product_metadata(xml: Column) -> dict[str, Column]:
 
 def radiometric_offsets(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> DataFrame:
     """(scene, band_idx, offset) of products that name offsets."""
-    return scenes.select(key, F.explode(parsed(F.col(xml))["offsets"]).alias("o")).select(key, F.col("o.band_idx").cast("int").alias("band_idx"), F.nullif(F.col("o.offset"), F.lit("")).cast("double").alias("offset"))
+    return _offset_rows(scenes.select(key, parsed(F.col(xml))["offsets"].alias("offsets")), key)
+
+
+def _offset_rows(found: DataFrame, key: str) -> DataFrame:
+    return found.select(key, F.explode("offsets").alias("o")).select(key, F.col("o.band_idx").cast("int").alias("band_idx"), F.nullif(F.col("o.offset"), F.lit("")).cast("double").alias("offset"))
+
+
+def radiometry(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> tuple[DataFrame, DataFrame]:
+    """Quantification (scene, quantification) and offsets (scene, band_idx, offset) for ``reflectance``; documents are read once for both."""
+    found = parsed(F.col(xml))
+    read = cut(scenes.select(key, found["quantification"].alias("quantification"), found["offsets"].alias("offsets")))
+    return read.select(key, "quantification"), _offset_rows(read, key)
 
 
 def spectral_bands(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> DataFrame:
@@ -111,8 +124,10 @@ def spectral_bands(scenes: DataFrame, key: str = "scene", xml: str = "xml") -> D
 
 def reflectance(pixels: DataFrame, quantification: DataFrame, offsets: DataFrame, key: str = "scene") -> DataFrame:
     """The pixels (scene, band_idx, dn and more) with their reflectance: offset by band (scene, band_idx, offset; none is 0), over the
-    scene's quantification (scene, quantification); null where dn is 0, which is no data."""
-    rows = pixels.join(offsets, [key, "band_idx"], "left").join(quantification, key)
+    scene's quantification (scene, quantification); null where dn is 0, which is no data.
+
+    Neither is broadcast: Spark takes the size of metadata from files and columns it guesses, and scenes may be millions."""
+    rows = pixels.join(offsets.hint("merge"), [key, "band_idx"], "left").join(quantification.hint("merge"), key)
     value = (F.col("dn") + F.coalesce("offset", F.lit(0.0))) / F.col("quantification")
     return rows.withColumn("reflectance", F.when(F.col("dn") != 0, value)).drop("offset", "quantification")
 

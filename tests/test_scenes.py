@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stratiform.functions import algebra as A
 from stratiform.operators import albedo, grids, resize, spatial, stereo
+from stratiform.sources import scenes
 
 
 def frame(spark, x: np.ndarray, scene=0):
@@ -181,3 +182,17 @@ def test_cells_whose_digital_number_is_zero_null_or_absent(spark):
     g = spark.createDataFrame([(1, 0, c, 1.0 + c) for c in range(4)], "scene int, r int, c int, v double")
     digital = spark.createDataFrame([(1, 1, 1, 7), (1, 1, 3, 0), (1, 1, 5, None)], "scene int, r int, c int, v int")
     assert sorted(map(tuple, grids.valid_where_seen(g, digital, ["scene"], 2, 8, 2.0).select("c", "v").collect()), key=str) == [(0, 1.0), (1, None), (2, None)]
+
+
+def test_metadata_of_scenes_are_not_broadcast(spark):
+    """Scenes may be millions, whatever size Spark guesses from their file."""
+    xml = F.format_string("<m><QUANTIFICATION_VALUE>%d</QUANTIFICATION_VALUE><RADIO_ADD_OFFSET band_id='0'>-1000</RADIO_ADD_OFFSET><RADIO_ADD_OFFSET band_id='2'/></m>", F.when(F.col("id") == 0, 10000).otherwise(5000))
+    docs = spark.range(3).select(F.col("id").alias("scene"), xml.alias("xml"))
+    quantification, offsets = docs.select("scene", scenes.product_metadata(F.col("xml"))["quantification"].alias("quantification")), scenes.radiometric_offsets(docs)
+    px = spark.createDataFrame([(0, 0, 3000), (0, 1, 3000), (1, 0, 3000), (1, 2, 500), (2, 0, 0), (9, 0, 1)], "scene long, band_idx int, dn int")
+    for q, o in ((quantification, offsets), scenes.radiometry(docs)):
+        made = scenes.reflectance(px, q, o)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+        assert sorted((r.scene, r.band_idx, r.reflectance) for r in made.collect()) == [(0, 0, 0.2), (0, 1, 0.3), (1, 0, 0.4), (1, 2, 0.1), (2, 0, None)]
+    assert "Python" not in plan  # documents are read once, before
